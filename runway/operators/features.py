@@ -47,7 +47,8 @@ MAX_BROADCAST_HOURS = 2_000_000
 
 
 def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str, ...] = (),
-                 keep: tuple[str, ...] = (), hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                 keep: tuple[str, ...] = (), hot_rows: int | None = DEFAULT_HOT_ROWS,
+                 prior: bool = True) -> DataFrame:
     """Legs touching the airport, normalised (with the previous-leg flag) and hour keyed.
 
     The lag sees legs with ``train_start < FL_DATE < train_end``; the table then
@@ -55,7 +56,8 @@ def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str,
     """
     base = open_span(either_end(flights, params.airport), "FL_DATE",
                      params.train_start, params.train_end)
-    legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, hot_rows=hot_rows)
+    legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, hot_rows=hot_rows,
+                             prior=prior)
     legs = open_span(legs, "FL_DATE", params.train_start, params.inference_date)
     return with_hour_keys(legs)
 

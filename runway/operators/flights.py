@@ -108,11 +108,14 @@ def lag_by(df: DataFrame, value: str, key: str, order: list[str], out: str,
 
 def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
                       keep: tuple[str, ...] = (),
-                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                      hot_rows: int | None = DEFAULT_HOT_ROWS,
+                      prior: bool = True) -> DataFrame:
     """Raw legs -> the 35-column flight contract (plus ``keep`` columns).
 
     ``tie_breakers`` extend the window order after ``CRS_DEP_TIMESTAMP`` so the
-    previous leg is well defined when two legs share a scheduled time.
+    previous leg is well defined when two legs share a scheduled time.  With
+    ``prior=False`` the previous-leg flag is left NULL and no window runs (for
+    consumers that never read it).
     """
     fl_date = F.col("FL_DATE").cast("date")
     to_text = ("YEAR", "QUARTER", "MONTH", "DAY_OF_MONTH", "DAY_OF_WEEK",
@@ -132,8 +135,11 @@ def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
     extra = [c for c in dict.fromkeys(tie_breakers + keep) if c not in FLIGHT_COLUMNS]
     body = [derived.get(c, F.col(c)).alias(c) for c in FLIGHT_COLUMNS if c != "PR_ARR_DEL15"]
     typed = not_flagged(df).select(*body, *extra)
-    lagged = lag_by(typed, "ARR_DEL15", "TAIL_NUM",
-                    ["CRS_DEP_TIMESTAMP", *tie_breakers], "PR_ARR_DEL15", hot_rows=hot_rows)
+    if prior:
+        lagged = lag_by(typed, "ARR_DEL15", "TAIL_NUM",
+                        ["CRS_DEP_TIMESTAMP", *tie_breakers], "PR_ARR_DEL15", hot_rows=hot_rows)
+    else:
+        lagged = typed.withColumn("PR_ARR_DEL15", F.lit(None).cast("string"))
     return lagged.select(*FLIGHT_COLUMNS, *[c for c in keep if c not in FLIGHT_COLUMNS])
 
 
