@@ -28,6 +28,7 @@ from runway.operators.predicates import contains, either_end, open_span
 from runway.operators.stations import airport_rules, city_lookup, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
 from runway.params import JobParams
+from runway.sources.sinks import materialise
 
 # Columns of the final feature table, in the reference's order.
 FINAL_COLUMNS = [
@@ -48,18 +49,23 @@ MAX_BROADCAST_HOURS = 2_000_000
 
 def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str, ...] = (),
                  keep: tuple[str, ...] = (), hot_rows: int | None = DEFAULT_HOT_ROWS,
-                 prior: bool = True) -> DataFrame:
+                 prior: bool = True, cut_lineage: bool = True) -> DataFrame:
     """Legs touching the airport, normalised (with the previous-leg flag) and hour keyed.
 
     The lag sees legs with ``train_start < FL_DATE < train_end``; the table then
-    keeps ``train_start < FL_DATE < inference``.
+    keeps ``train_start < FL_DATE < inference``.  The result (one airport's
+    traffic) is written as Parquet under the shared checkpoint folder: every
+    later use reads it back (with pruning and pushdown) instead of re-running
+    scan, joins and window, and a lost executor never replays them.
     """
     base = open_span(either_end(flights, params.airport), "FL_DATE",
                      params.train_start, params.train_end)
     legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, hot_rows=hot_rows,
                              prior=prior)
-    legs = open_span(legs, "FL_DATE", params.train_start, params.inference_date)
-    return with_hour_keys(legs)
+    legs = with_hour_keys(open_span(legs, "FL_DATE", params.train_start, params.inference_date))
+    if cut_lineage:
+        legs = materialise(legs.sparkSession, legs, "legs")
+    return legs
 
 
 @dataclass
@@ -78,7 +84,8 @@ def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
     arr_codes = contains(legs, "DEST", params.airport).select(F.col("ORIGIN").alias("code"))
     codes = dep_codes.unionByName(arr_codes).distinct().join(city_lookup(legs), "code", "left")
     spark = legs.sparkSession
-    rules = airport_rules(codes, stations, hub_table(spark, params.hubs))
+    # one row per other-end airport; checkpointed because planning the match reads it
+    rules = airport_rules(codes, stations, hub_table(spark, params.hubs)).checkpoint()
     station_keys = obs.select("NAME", "CALL_SIGN").distinct()
     matches = match_stations(station_keys, rules)
     matched = partials.join(matches, (partials["NAME"].eqNullSafe(matches["NAME"]))

@@ -84,7 +84,8 @@ def lag_by(df: DataFrame, value: str, key: str, order: list[str], out: str,
     is_hot = F.col("_k").isNotNull()
     width = (F.col("_t1") - F.col("_t0") + 1) / F.col("_k")
     position = F.least(F.floor((number - F.col("_t0")) / width), F.col("_k") - 1)
-    keyed = keyed.withColumn("_chunk", F.when(is_hot, F.coalesce(position, F.lit(0)))
+    # NULL order values sort first, so they belong to chunk 0 (least() would skip them)
+    keyed = keyed.withColumn("_chunk", F.when(is_hot & number.isNotNull(), position)
                                          .otherwise(F.lit(0)).cast("long"))
 
     window = Window.partitionBy(key, "_chunk").orderBy(*order)

@@ -96,10 +96,12 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
     keys = points.select("_key").unionByName(queries.select("_key"))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(keys.approxQuantile("_key", probs, 0.001))) if probs else []
-    bucketizer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")],
-                            inputCol="_keyd", outputCol="_bd")
+    bucketizer = (Bucketizer(splits=[float("-inf"), *cuts, float("inf")],
+                             inputCol="_keyd", outputCol="_bd") if cuts else None)
 
     def bucketed(df: DataFrame) -> DataFrame:
+        if bucketizer is None:
+            return df.withColumn("_b", F.lit(0))
         out = bucketizer.transform(df.withColumn("_keyd", F.col("_key").cast("double")))
         return out.withColumn("_b", F.col("_bd").cast("int")).drop("_keyd", "_bd")
 

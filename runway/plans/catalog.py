@@ -339,7 +339,8 @@ def _rules(spark, d, legs):
     dep_codes = predicates.contains(legs, "ORIGIN", AIRPORT).select(F.col("DEST").alias("code"))
     arr_codes = predicates.contains(legs, "DEST", AIRPORT).select(F.col("ORIGIN").alias("code"))
     codes = dep_codes.unionByName(arr_codes).distinct().join(stations.city_lookup(legs), "code", "left")
-    return stations.airport_rules(codes, _stations(spark, d), stations.hub_table(spark, PARAMS.hubs))
+    rules = stations.airport_rules(codes, _stations(spark, d), stations.hub_table(spark, PARAMS.hubs))
+    return rules.checkpoint()
 
 
 @query

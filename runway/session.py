@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A whole-stage method above the JVM's JIT limit (8000 bytecodes) runs interpreted;
+    # past this size Spark falls back to per-operator code, which stays compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

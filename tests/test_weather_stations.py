@@ -1,0 +1,103 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from fixtures import REPORT_SCHEMA, report
+from runway.operators import stations, weather
+
+JFK = "JFK INTERNATIONAL AIRPORT, NY US"
+
+
+def test_routine_us_airport_filters(spark):
+    df = spark.createDataFrame([
+        report("A", "2018-01-02 05:10:00", JFK, "KJFK", rtype="FM-15"),
+        report("B", "2018-01-02 05:10:00", JFK, "KJFK", rtype="FM-12"),
+        report("C", "2018-01-02 05:10:00", JFK, "KJFK", rtype="FM-15 X"),
+        report("D", "2018-01-02 05:10:00", "TORONTO AIRPORT, ON CA", "CYYZ"),
+        report("E", "2018-01-02 05:10:00", "CENTRAL PARK, NY US", None),
+    ], REPORT_SCHEMA)
+    assert rows(weather.weather_raw(df), "STATION") == [("A",), ("C",)]   # infix keeps 'FM-15 X'
+    assert rows(weather.observations(df, None, None), "STATION") == [("A",)]  # exact scan drops it
+    assert weather.observations(df, None, None).first()["STATE"] == " NY US"
+    assert len(weather.weather_raw(df).columns) == 22
+
+
+def test_timestamp_span_keeps_start_day_after_midnight(spark):
+    df = spark.createDataFrame([report("A", "2018-01-01 00:51:00", JFK, "KJFK"),
+                                report("A", "2018-01-01 00:00:00", JFK, "KJFK")], REPORT_SCHEMA)
+    assert weather.observations(df, "2018-01-01", "2018-01-03").count() == 1
+
+
+def test_hourly_pools_stations_and_sums_precipitation(spark):
+    df = spark.createDataFrame([
+        report("A", "2018-01-02 05:10:00", JFK, "KJFK", tmp="+0056,1", aa1="01,0005,9,5"),
+        report("B", "2018-01-02 05:50:00", JFK, "KJFK", tmp="-0044,1", aa1="02,0010,9,5"),
+        report("A", "2018-01-02 06:10:00", JFK, "KJFK", aa1=None),
+        report("B", "2018-01-02 06:20:00", JFK, "KJFK", aa1=None),
+    ], REPORT_SCHEMA)
+    out = {r["time"]: r for r in weather.hourly(df).collect()}
+    h5 = out[dt.datetime(2018, 1, 2, 5)]
+    assert round(h5["avg_temp_f"], 6) == round((42.08 + 24.08) / 2, 6)
+    assert round(h5["tot_precip_mm"], 6) == 1.0
+    assert out[dt.datetime(2018, 1, 2, 6)]["tot_precip_mm"] is None   # all NULL -> NULL, not 0
+    # the pooled two-phase form gives the same numbers
+    pooled = {r["time"]: r for r in weather.pool_hourly(weather.station_hour_partials(df), ()).collect()}
+    for t, r in out.items():
+        for c in weather.HOURLY_COLUMNS:
+            a, b = r[c], pooled[t][c]
+            assert (a is None and b is None) or round(a, 9) == round(b, 9)
+
+
+def test_station_rules_and_matching(spark):
+    st = spark.createDataFrame([("1", "KJFK"), ("2", "KBOS "), ("3", None), ("4", "KBOSX")],
+                               "STATION string, CALL_SIGN string")
+    codes = spark.createDataFrame([("JFK", "New York"), ("BOS", "Boston"), ("STL", "St. Louis"),
+                                   ("MCI", None)], "code string, city string")
+    hubs = stations.hub_table(spark, {"JFK": "JFK INTERNATIONAL AIRPORT"})
+    rules = {r["code"]: (r["rule"], r["field"], r["needle"])
+             for r in stations.airport_rules(codes, st, hubs).collect()}
+    assert rules["JFK"] == ("hub", "NAME", "JFK INTERNATIONAL AIRPORT")
+    assert rules["BOS"] == ("call", "CALL_SIGN", "KBOS")          # trailing blank trimmed
+    assert rules["STL"] == ("city", "NAME", " LOUIS")
+    assert rules["MCI"] == ("city", "NAME", None)                  # no city: matches nothing
+    keys = spark.createDataFrame([
+        ("JFK INTERNATIONAL AIRPORT, NY US", "KJFK"),
+        ("LOGAN AIRPORT, MA US", "KBOS "),
+        ("LOGAN SOUTH AIRPORT, MA US", "KBOSX"),      # contains KBOS as well
+        ("ST. LOUIS LAMBERT AIRPORT, MO US", None),    # NULL call sign, matched by name
+        ("JFK INTERNATIONAL AIRPORT ST. LOUIS ANNEX, NY US", "KJFQ"),  # one station, two airports
+    ], "NAME string, CALL_SIGN string")
+    m = stations.match_stations(keys, stations.airport_rules(codes, st, hubs))
+    got = rows(m, "code", "NAME")
+    assert got == sorted([
+        ("BOS", "LOGAN AIRPORT, MA US"), ("BOS", "LOGAN SOUTH AIRPORT, MA US"),
+        ("JFK", "JFK INTERNATIONAL AIRPORT ST. LOUIS ANNEX, NY US"),
+        ("JFK", "JFK INTERNATIONAL AIRPORT, NY US"),
+        ("STL", "JFK INTERNATIONAL AIRPORT ST. LOUIS ANNEX, NY US"),
+        ("STL", "ST. LOUIS LAMBERT AIRPORT, MO US"),
+    ], key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_match_equals_brute_force_contains(spark):
+    names = ["PORT 1 AIRPORT, AF US", "PORT 10 AIRPORT, AF US", "X", "", None, "PORT 12 PORT 1"]
+    keys = spark.createDataFrame([(n, None) for n in names], "NAME string, CALL_SIGN string")
+    needles = ["PORT 1", "PORT 10", "AIRPORT", "", "Q"]
+    rules = spark.createDataFrame([(f"C{i}", "city", "NAME", n) for i, n in enumerate(needles)],
+                                  "code string, rule string, field string, needle string")
+    got = set(map(tuple, stations.match_stations(keys, rules).select("NAME", "code").collect()))
+    want = {(n, f"C{i}") for n in names if n is not None for i, s in enumerate(needles) if s in n}
+    assert got == want
+
+
+def test_missing_call_signs(spark):
+    st = spark.createDataFrame([("1", "KJFK "), ("2", None)], "STATION string, CALL_SIGN string")
+    codes = spark.createDataFrame([("JFK",), ("PWM",)], "code string")
+    assert rows(stations.missing_call_signs(codes, st), "code") == [("PWM",)]
+
+
+def test_city_lookup_takes_smallest(spark):
+    legs = spark.createDataFrame([("A", "X", "zz", "b"), ("A", "Y", "aa", "c")],
+                                 "ORIGIN string, DEST string, ORIGIN_CITY string, DEST_CITY string")
+    assert dict(stations.city_lookup(legs).collect())["A"] == "aa"
+    assert F is not None
