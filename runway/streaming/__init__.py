@@ -1,0 +1,5 @@
+"""Structured Streaming form of the hourly weather aggregate."""
+
+from runway.streaming.hourly import hourly_stream, start_hourly_stream
+
+__all__ = ["hourly_stream", "start_hourly_stream"]

@@ -1,0 +1,58 @@
+"""Hourly weather means over reports that keep arriving.
+
+The reference computes hourly means in batch.  When reports land as new files,
+the same aggregate runs as a Structured Streaming query: the routine/US/airport
+filters and the packed-field decoding are the batch operators unchanged, the
+per-hour aggregate keeps its partial state in the state store, and a watermark
+on the report hour bounds that state: an hour is final (and, in append mode,
+written once) when reports more than ``lateness`` newer have been seen.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from runway.operators.weather import _hourly_aggs, decode, scan_routine_us, weather_raw
+from runway.params import ROUTINE_REPORT
+from runway.session import shared_path
+
+
+def hourly_stream(reports: DataFrame, lateness: str = "2 hours", missing_codes: bool = False,
+                  report_type: str = ROUTINE_REPORT) -> DataFrame:
+    """Streaming (or batch) hourly aggregate of routine US airport reports.
+
+    Output columns equal ``runway.operators.weather.hourly``: ``time`` (the hour,
+    ``timestamp_ntz``) and the six hourly measures.
+    """
+    obs = weather_raw(scan_routine_us(reports, report_type), report_type)
+    obs = obs.where(F.col("NAME").like("% US"))
+    decoded = decode(obs, missing_codes)
+    t = F.col("time")
+    # watermarks need a TIMESTAMP; read the hour's wall clock as UTC (no session-zone dependence)
+    event = F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0),
+                             F.lit("UTC"))
+    return (decoded.withColumn("_event", event)
+                   .withWatermark("_event", lateness)
+                   .groupBy("_event", "time")
+                   .agg(*_hourly_aggs())
+                   .drop("_event"))
+
+
+def start_hourly_stream(spark: SparkSession, source: str, sink: str, schema: str,
+                        checkpoint: str | None = None, lateness: str = "2 hours",
+                        output_mode: str = "append", once: bool = False) -> StreamingQuery:
+    """Read report files from ``source`` as they arrive; write final hours to ``sink``.
+
+    The checkpoint (offsets and aggregate state) lives under the shared
+    checkpoint folder, so a restarted driver or lost executor resumes exactly.
+    """
+    stream = spark.readStream.schema(schema).parquet(source)
+    out = hourly_stream(stream, lateness=lateness)
+    writer = (out.writeStream.outputMode(output_mode)
+                 .option("checkpointLocation", checkpoint or shared_path(spark, "hourly-stream")))
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
+    if output_mode == "append":
+        return writer.format("parquet").start(sink)
+    return writer.format("memory").queryName(sink).start()

@@ -1,0 +1,52 @@
+import os
+import tempfile
+
+from fixtures import REPORT_SCHEMA, report
+from runway.operators import weather
+from runway.streaming import hourly_stream, start_hourly_stream
+
+JFK = "JFK INTERNATIONAL AIRPORT, NY US"
+
+
+def _reports(spark):
+    return spark.createDataFrame([
+        report("A", "2018-01-02 05:10:00", JFK, "KJFK", tmp="+0056,1"),
+        report("B", "2018-01-02 05:50:00", JFK, "KJFK", tmp="-0044,1", aa1="02,0010,9,5"),
+        report("A", "2018-01-02 06:10:00", JFK, "KJFK", aa1=None),
+        report("C", "2018-01-02 07:10:00", JFK, "KJFK", rtype="FM-12"),
+        report("A", "2018-01-02 12:10:00", JFK, "KJFK", tmp="+0010,1"),
+    ], REPORT_SCHEMA)
+
+
+def _as_dict(df):
+    return {r["time"]: tuple(None if v is None else round(v, 6) for v in list(r)[1:])
+            for r in df.select("time", *weather.HOURLY_COLUMNS).collect()}
+
+
+def test_stream_matches_batch(spark):
+    src = tempfile.mkdtemp(prefix="runway-stream-src-")
+    _reports(spark).write.mode("overwrite").parquet(os.path.join(src, "batch1"))
+    q = start_hourly_stream(spark, os.path.join(src, "batch1"), "hourly_update", REPORT_SCHEMA,
+                            checkpoint=tempfile.mkdtemp(prefix="runway-stream-ck-"),
+                            output_mode="update", once=True)
+    q.awaitTermination()
+    got = _as_dict(spark.table("hourly_update"))
+    want = _as_dict(weather.hourly(weather.observations(_reports(spark), None, None)))
+    assert got == want and len(got) == 3
+
+
+def test_append_mode_emits_only_closed_hours(spark):
+    src = tempfile.mkdtemp(prefix="runway-stream-src-")
+    sink = tempfile.mkdtemp(prefix="runway-stream-out-")
+    _reports(spark).write.mode("overwrite").parquet(os.path.join(src, "in"))
+    q = start_hourly_stream(spark, os.path.join(src, "in"), os.path.join(sink, "out"), REPORT_SCHEMA,
+                            checkpoint=tempfile.mkdtemp(prefix="runway-stream-ck-"),
+                            lateness="2 hours", once=True)
+    q.awaitTermination()
+    hours = sorted(r["time"].hour for r in spark.read.parquet(os.path.join(sink, "out")).collect())
+    assert hours == [5, 6]          # 12:00 stays open: not 2 hours older than the newest report
+
+
+def test_hourly_stream_is_also_a_batch_operator(spark):
+    assert _as_dict(hourly_stream(_reports(spark))) == _as_dict(
+        weather.hourly(weather.observations(_reports(spark), None, None)))
