@@ -86,7 +86,7 @@ def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
     spark = legs.sparkSession
     # one row per other-end airport; checkpointed because planning the match reads it
     rules = airport_rules(codes, stations, hub_table(spark, params.hubs)).checkpoint()
-    station_keys = obs.select("NAME", "CALL_SIGN").distinct()
+    station_keys = partials.select("NAME", "CALL_SIGN").distinct()   # reuses the partials' shuffle
     matches = match_stations(station_keys, rules)
     matched = partials.join(matches, (partials["NAME"].eqNullSafe(matches["NAME"]))
                             & (partials["CALL_SIGN"].eqNullSafe(matches["CALL_SIGN"])))

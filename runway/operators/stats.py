@@ -74,27 +74,31 @@ def pearson_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pairwise Pearson correlation in long form (col_a, col_b, corr).
 
     Pairwise complete: each pair uses the rows where both are non-NULL.  A
-    constant column gives NULL (not an error under ANSI).  All pairs are one
-    aggregate, so the data is read once.
+    constant column gives NULL (not an error under ANSI).  Every row emits one
+    (pair, x, y) record per column pair and a three-aggregate ``groupBy(pair)``
+    summarises them; partial aggregation leaves at most one row per pair and
+    task before the shuffle, so the data is read once and nothing is skewed.
     """
     if columns is None:
         columns = columns_of_type(df)
-    aggs = []
-    pairs = []
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x = F.when(both, F.col(a))
-            y = F.when(both, F.col(b))
-            tag = f"{i}_{len(pairs)}"
-            aggs += [F.covar_pop(x, y).alias(f"c{tag}"), F.stddev_pop(x).alias(f"sx{tag}"),
-                     F.stddev_pop(y).alias(f"sy{tag}")]
-            pairs.append((a, b, tag))
-    wide = df.agg(*aggs)
-    structs = []
-    for a, b, tag in pairs:
-        r = F.try_divide(F.col(f"c{tag}"), F.col(f"sx{tag}") * F.col(f"sy{tag}"))
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r.alias("corr")))
-    return wide.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    records = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"),
+                                 F.col(b).cast("double").alias("y"))
+                        for i, (a, b) in enumerate(pairs)])
+    long = df.select(F.inline(records)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    moments = long.groupBy("p").agg(F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"),
+                                    F.stddev_pop("y").alias("sy"))
+    # every pair appears, with a NULL correlation when it has no complete row
+    index = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("p"))
+    moments = index.join(moments, "p", "left")
+    names_a = F.array(*[F.lit(a) for a, _ in pairs])
+    names_b = F.array(*[F.lit(b) for _, b in pairs])
+    idx = F.col("p") + 1
+    r = F.try_divide(F.col("c"), F.col("sx") * F.col("sy"))
+    one = moments.select(F.element_at(names_a, idx).alias("col_a"),
+                         F.element_at(names_b, idx).alias("col_b"), r.alias("corr"))
+    mirrored = one.where(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    return one.unionByName(mirrored)

@@ -102,6 +102,9 @@ def test_pearson_pairwise_and_constant(spark):
     assert got[("x", "k")] is None and got[("k", "k")] is None
     assert abs(got[("x", "x")] - 1.0) < 1e-12
     assert len(got) == 9
+    empty = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, n double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in stats.pearson_pairs(empty).collect()}
+    assert got[("x", "n")] is None and got[("n", "n")] is None and len(got) == 4
 
 
 def test_carrier_statistics(spark):
