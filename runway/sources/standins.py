@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runway.sources.tables import read_table
+from runway.sources.tables import read_table, spread
 
 FOLD_START = "2024-01-01"     # first day of the folded flight calendar
 FOLD_DAYS = 30                # the events cover 30 days
@@ -38,7 +38,7 @@ def _block(hh: Column) -> Column:
 
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight legs in the schema of the job's flight table (see FIXTURES.md §1)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -127,7 +127,7 @@ def _signed_tenths(value: Column, suffix: str) -> Column:
 
 def weather_reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw weather reports in the schema of the job's weather table (FIXTURES.md §2)."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"))
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     place = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
