@@ -28,7 +28,7 @@ from runway.operators.predicates import contains, either_end, open_span
 from runway.operators.stations import airport_rules, city_lookup, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
 from runway.params import JobParams
-from runway.sources.sinks import materialise
+from runway.sources.sinks import materialise, write_replace
 
 # Columns of the final feature table, in the reference's order.
 FINAL_COLUMNS = [
@@ -133,3 +133,17 @@ def union_features(dep: DataFrame, arr: DataFrame) -> DataFrame:
     """Departures and arrivals in one table, by column name, with a ``side`` column."""
     return (dep.withColumn("side", F.lit("dep"))
                .unionByName(arr.withColumn("side", F.lit("arr"))))
+
+
+def write_feature_tables(dep: DataFrame, arr: DataFrame, out_dir: str, airport: str,
+                         partition_by: tuple[str, ...] = ("YEAR", "MONTH")) -> dict[str, str]:
+    """Replace the airport's departure and arrival feature tables under ``out_dir``.
+
+    Partitioned by year and month so later reads of a date range prune files.
+    Returns the two paths.
+    """
+    paths = {"dep": f"{out_dir.rstrip('/')}/airlines_dep_{airport}.parquet",
+             "arr": f"{out_dir.rstrip('/')}/airlines_arr_{airport}.parquet"}
+    write_replace(dep, paths["dep"], partition_by)
+    write_replace(arr, paths["arr"], partition_by)
+    return paths

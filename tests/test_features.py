@@ -52,3 +52,14 @@ def test_feature_tables(spark):
     assert round(a[0]["dep_avg_temp_f"], 6) == 35.6          # BOS weather at 09:00
     u = features.union_features(dep, arr)
     assert u.count() == 4 and set(r["side"] for r in u.collect()) == {"dep", "arr"}
+
+
+def test_write_feature_tables_round_trip(spark):
+    from runway.session import shared_path
+    flights, weather, stations = _inputs(spark)
+    dep, arr = features.feature_tables(flights, weather, stations, P, tie_breakers=("LEG_ID",))
+    paths = features.write_feature_tables(dep, arr, shared_path(spark, "features"), "JFK")
+    back = spark.read.parquet(paths["dep"])
+    assert back.count() == dep.count() == 3
+    assert set(back.columns) == set(features.FINAL_COLUMNS)
+    assert spark.read.parquet(paths["arr"]).where("MONTH = '1'").count() == 1
