@@ -94,17 +94,18 @@ def match_stations(stations: DataFrame, rules: DataFrame,
     airports and an airport several stations, as with the reference's filters.
     """
     rules = rules.where(F.col("needle").isNotNull())
+    # one small planning job: per tested field, the rule count and the needle lengths
+    plan = {r["field"]: r for r in rules.groupBy("field").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set(F.length("needle")).alias("lens")).collect()}
     out = None
     for field in ("NAME", "CALL_SIGN"):
-        subset = rules.where(F.col("field") == field).select("code", "needle")
-        stats = subset.agg(F.count(F.lit(1)).alias("n"),
-                           F.collect_set(F.length("needle")).alias("lens")).first()
-        if not stats["n"]:
+        if field not in plan:
             continue
-        lengths = sorted(stats["lens"])
+        subset = rules.where(F.col("field") == field).select("code", "needle")
+        lengths = sorted(plan[field]["lens"])
         probes = stations.select("NAME", "CALL_SIGN",
                                  F.explode(_substrings(F.col(field), lengths)).alias("_sub"))
-        side = F.broadcast(subset) if stats["n"] <= max_broadcast_rows else subset
+        side = F.broadcast(subset) if plan[field]["n"] <= max_broadcast_rows else subset
         hit = probes.join(side, probes["_sub"] == side["needle"]).select("NAME", "CALL_SIGN", "code")
         out = hit if out is None else out.unionByName(hit)
     if out is None:
