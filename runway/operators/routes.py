@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from runway.functions.text import comma_part
 from runway.operators.predicates import delayed_from, delayed_into
 from runway.params import MOTIF_MIN_DELAY, MOTIF_MIN_TRIP_GAP
-from runway.session import default_parallelism
+from runway.session import default_parallelism, ensure_checkpoint_dir
 
 
 def route_vertices(df: DataFrame, column: str = "ORIGIN") -> DataFrame:
@@ -65,7 +65,8 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
 
     No path is materialised: the number of partners of an ``ab`` edge is the
     number of ``bc`` edges above a threshold, a rank count.  Both sides are
-    first collapsed per distinct trip value, then cut into ranges of about equal
+    first collapsed per distinct trip value (and checkpointed, so the edge table
+    is scanned once), then cut into ranges of about equal
     size (quantiles over both sides); inside a range a running count sorted by
     trip value gives the partners in that range, and per-range totals summed
     over the ranges above give the rest.  Work is linear in the edges.
@@ -92,10 +93,20 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
                              F.coalesce(big, F.lit(False)).alias("_abbig"))
                     .agg(F.count(F.lit(1)).alias("_q")))
 
+    # Both sides, collapsed, in one checkpointed table: the edges are scanned once,
+    # although the cuts below and the counting after them both read these rows.
+    zero = F.lit(0).cast("long")
+    collapsed = (points.select("_key", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("a"),
+                               F.lit(None).cast("boolean").alias("_abbig"), zero.alias("_q"),
+                               "_all", "_big")
+                 .unionByName(queries.select("_key", F.lit(0).alias("_kind"), "a", "_abbig", "_q",
+                                             zero.alias("_all"), zero.alias("_big"))))
+    ensure_checkpoint_dir(edges.sparkSession)
+    collapsed = collapsed.checkpoint()
+
     # Range cuts at quantiles of both sides' keys (a sketch; `buckets` values on the driver).
-    keys = points.select("_key").unionByName(queries.select("_key"))
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(keys.approxQuantile("_key", probs, 0.001))) if probs else []
+    cuts = sorted(set(collapsed.approxQuantile("_key", probs, 0.001))) if probs else []
     bucketizer = (Bucketizer(splits=[float("-inf"), *cuts, float("inf")],
                              inputCol="_keyd", outputCol="_bd") if cuts else None)
 
@@ -105,14 +116,7 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
         out = bucketizer.transform(df.withColumn("_keyd", F.col("_key").cast("double")))
         return out.withColumn("_b", F.col("_bd").cast("int")).drop("_keyd", "_bd")
 
-    zero = F.lit(0).cast("long")
-    rows = (bucketed(points).select("_b", "_key", F.lit(1).alias("_kind"),
-                                    F.lit(None).cast("string").alias("a"),
-                                    F.lit(None).cast("boolean").alias("_abbig"),
-                                    zero.alias("_q"), "_all", "_big")
-            .unionByName(bucketed(queries).select("_b", "_key", F.lit(0).alias("_kind"), "a",
-                                                  "_abbig", "_q", zero.alias("_all"),
-                                                  zero.alias("_big"))))
+    rows = bucketed(collapsed)
     # Inside a range, sorted by key descending with queries before points of the
     # same key, the running sum at a query covers the points with a larger key.
     w = (Window.partitionBy("_b").orderBy(F.desc("_key"), F.asc("_kind"))
