@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runway.functions import packed, schema, text, timecols
+from runway.functions import schema, text, timecols
 from runway.operators import features, flights, pagerank, predicates, routes, stations, stats, weather
 from runway.params import JobParams
 from runway.sources import read_table, register_views, standins

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import rows
 from fixtures import REPORT_SCHEMA, report
 from runway.operators import stations, weather
@@ -100,4 +98,3 @@ def test_city_lookup_takes_smallest(spark):
     legs = spark.createDataFrame([("A", "X", "zz", "b"), ("A", "Y", "aa", "c")],
                                  "ORIGIN string, DEST string, ORIGIN_CITY string, DEST_CITY string")
     assert dict(stations.city_lookup(legs).collect())["A"] == "aa"
-    assert F is not None
