@@ -65,12 +65,14 @@ def _stations(spark, d):
     return standins.stations_raw(spark, d)
 
 
-def _prepared(spark, d, prior=True):
-    return features.prepare_legs(_legs(spark, d), PARAMS, tie_breakers=TIE, keep=TIE, prior=prior)
+def _prepared(spark, d, prior=True, cut_lineage=True):
+    """Prepared legs of the airport; written out only when a query reads them more than once."""
+    return features.prepare_legs(_legs(spark, d), PARAMS, tie_breakers=TIE, keep=TIE, prior=prior,
+                                 cut_lineage=cut_lineage)
 
 
 def _departures(spark, d, prior=False):
-    return predicates.contains(_prepared(spark, d, prior), "ORIGIN", AIRPORT)
+    return predicates.contains(_prepared(spark, d, prior, cut_lineage=False), "ORIGIN", AIRPORT)
 
 
 def _observations(spark, d):
@@ -323,7 +325,7 @@ def call_sign(spark, d):
 @query
 def dim_lookup(spark, d):
     """Airport -> city dictionary as a table."""
-    return stations.city_lookup(_prepared(spark, d, prior=False))
+    return stations.city_lookup(_prepared(spark, d, prior=False, cut_lineage=False))
 
 
 @query
