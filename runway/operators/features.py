@@ -74,25 +74,37 @@ class WeatherSides:
     remote: DataFrame   # (code, time, hourly columns) at every other-end airport
 
 
-def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
-                  params: JobParams, missing_codes: bool = False) -> WeatherSides:
-    obs = observations(weather, params.train_start, params.inference_date)
-    partials = station_hour_partials(obs, missing_codes=missing_codes)
-    local = pool_hourly(contains(partials, "CALL_SIGN", params.call_sign), keys=())
+def local_hourly(partials: DataFrame, params: JobParams) -> DataFrame:
+    """Hourly weather at the chosen airport: stations whose call sign contains K<airport>."""
+    return pool_hourly(contains(partials, "CALL_SIGN", params.call_sign), keys=())
 
+
+def remote_hourly(legs: DataFrame, partials: DataFrame, stations: DataFrame,
+                  params: JobParams) -> DataFrame:
+    """Hourly weather per other-end airport, stations picked by hub / city / call-sign rule."""
     dep_codes = contains(legs, "ORIGIN", params.airport).select(F.col("DEST").alias("code"))
     arr_codes = contains(legs, "DEST", params.airport).select(F.col("ORIGIN").alias("code"))
     codes = dep_codes.unionByName(arr_codes).distinct().join(city_lookup(legs), "code", "left")
-    spark = legs.sparkSession
-    rules = airport_rules(codes, stations, hub_table(spark, params.hubs))
+    rules = airport_rules(codes, stations, hub_table(legs.sparkSession, params.hubs))
     station_keys = partials.select("NAME", "CALL_SIGN").distinct()   # reuses the partials' shuffle
     matches = match_stations(station_keys, rules)
     matched = partials.join(matches, (partials["NAME"].eqNullSafe(matches["NAME"]))
                             & (partials["CALL_SIGN"].eqNullSafe(matches["CALL_SIGN"])))
-    remote = pool_hourly(matched.select("code", "time", *[c for c in partials.columns
-                                                         if c.startswith(("s_", "n_"))]),
-                         keys=("code",))
-    return WeatherSides(local=local, remote=remote)
+    sums = [c for c in partials.columns if c.startswith(("s_", "n_"))]
+    return pool_hourly(matched.select("code", "time", *sums), keys=("code",))
+
+
+def weather_partials(weather: DataFrame, params: JobParams, missing_codes: bool = False) -> DataFrame:
+    """Filtered reports of the span reduced to (station, hour) sums and counts."""
+    obs = observations(weather, params.train_start, params.inference_date)
+    return station_hour_partials(obs, missing_codes=missing_codes)
+
+
+def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
+                  params: JobParams, missing_codes: bool = False) -> WeatherSides:
+    partials = weather_partials(weather, params, missing_codes)
+    return WeatherSides(local=local_hourly(partials, params),
+                        remote=remote_hourly(legs, partials, stations, params))
 
 
 def _local_side(local: DataFrame, prefix: str, params: JobParams) -> DataFrame:

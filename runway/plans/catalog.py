@@ -361,10 +361,10 @@ def _sides(spark, d, legs):
 @query
 def local_weather(spark, d):
     """Departures left-joined to the airport's hourly weather at dep_time."""
-    legs = _prepared(spark, d, prior=False)
-    sides = _sides(spark, d, legs)
+    legs = _prepared(spark, d, prior=False, cut_lineage=False)
+    local = features.local_hourly(features.weather_partials(_reports(spark, d), PARAMS), PARAMS)
     dep = predicates.contains(legs, "ORIGIN", AIRPORT)
-    local = schema.prefix_columns(sides.local, "dep_")
+    local = schema.prefix_columns(local, "dep_")
     return dep.join(F.broadcast(local), "dep_time", "left").select(
         "LEG_ID", "dep_time", *[c for c in local.columns if c != "dep_time"])
 
