@@ -10,15 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed layout of the packed fields: column -> sub-field names by position.
-PACKED_LAYOUT = {
-    "TMP": ("temp", "temp_qual"),
-    "WND": ("wnd_deg", "wnd_1", "wnd_2", "wnd_speed", "wnd_4"),
-    "VIS": ("vis_m", "vis_1", "vis_2", "vis_3"),
-    "DEW": ("dew", "dew_1"),
-    "SLP": ("slp", "slp_1"),
-    "AA1": ("precip_hr_dur", "precip_depth", "precip_cond", "precip_qual"),
-}
+from runway.params import PACKED_LAYOUT
 
 # Placeholder values meaning "missing" in the packed format (used only when asked).
 MISSING_CODES = {"temp": 9999.0, "dew": 9999.0, "wnd_speed": 9999.0,

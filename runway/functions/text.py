@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from runway.params import CALL_SIGN_PREFIX
+from runway.params import (CALL_SIGN_PREFIX, CITY_DROP_FIRST, CITY_DROP_LAST, CITY_TO_SPACE,
+                           DELAY_LABEL_FORMAT)
 
 
 def _c(col) -> Column:
@@ -41,10 +42,10 @@ def city_key(city) -> Column:
     In order: drop ``" City"``, upper-case, ``/`` -> space, drop ``ST.``
     (so ``'St. Louis'`` -> ``' LOUIS'``, ``'Kansas City'`` -> ``'KANSAS'``).
     """
-    c = F.replace(_c(city), F.lit(" City"), F.lit(""))
+    c = F.replace(_c(city), F.lit(CITY_DROP_FIRST), F.lit(""))
     c = F.upper(c)
-    c = F.replace(c, F.lit("/"), F.lit(" "))
-    return F.replace(c, F.lit("ST."), F.lit(""))
+    c = F.replace(c, F.lit(CITY_TO_SPACE), F.lit(" "))
+    return F.replace(c, F.lit(CITY_DROP_LAST), F.lit(""))
 
 
 def call_sign(code) -> Column:
@@ -60,4 +61,4 @@ def delay_label(minutes) -> Column:
     x = _c(minutes).cast("double")
     hours = F.floor(x / 60).cast("double")
     mins = F.pmod(x, F.lit(60.0)).cast("int").cast("double")
-    return F.when(x.isNotNull(), F.format_string("%2.0fh%2.0fm", hours, mins))
+    return F.when(x.isNotNull(), F.format_string(DELAY_LABEL_FORMAT, hours, mins))

@@ -27,23 +27,9 @@ from runway.operators.flights import DEFAULT_HOT_ROWS, normalise_flights, with_h
 from runway.operators.predicates import contains, either_end, open_span
 from runway.operators.stations import airport_rules, city_lookup, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
-from runway.params import JobParams
+from runway.params import FINAL_COLUMNS, JobParams
 from runway.sources.sinks import materialise, write_replace
 
-# Columns of the final feature table, in the reference's order.
-FINAL_COLUMNS = [
-    "YEAR", "QUARTER", "MONTH", "DAY_OF_MONTH", "DAY_OF_WEEK", "FL_DATE", "OP_UNIQUE_CARRIER",
-    "TAIL_NUM", "OP_CARRIER_FL_NUM", "ORIGIN", "ORIGIN_CITY_NAME", "ORIGIN_STATE_ABR", "DEST",
-    "DEST_CITY_NAME", "DEST_STATE_ABR", "CRS_DEP_TIME", "CRS_DEP_TIME_HOUR", "DEP_TIME_HOUR",
-    "DEP_DELAY_NEW", "DEP_TIME_BLK", "CRS_ARR_TIME", "CRS_ARR_TIME_HOUR", "ARR_TIME_HOUR",
-    "ARR_DELAY_NEW", "ARR_TIME_BLK", "DISTANCE", "DISTANCE_GROUP", "DEP_DEL15", "ARR_DEL15",
-    "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIMESTAMP", "CRS_ARR_TIMESTAMP",
-    "PR_ARR_DEL15", "dep_time", "arr_time", "FL_PATH", "ORIGIN_CITY", "DEST_CITY",
-    "dep_avg_temp_f", "dep_tot_precip_mm", "dep_avg_wnd_mps", "dep_avg_vis_m",
-    "dep_avg_slp_hpa", "dep_avg_dewpt_f", "arr_avg_temp_f", "arr_tot_precip_mm",
-    "arr_avg_wnd_mps", "arr_avg_vis_m", "arr_avg_slp_hpa", "arr_avg_dewpt_f",
-]
-
 MAX_BROADCAST_HOURS = 2_000_000
 
 

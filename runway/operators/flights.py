@@ -22,17 +22,7 @@ from pyspark.sql import types as T
 from runway.functions.text import comma_part, concat_key
 from runway.functions.timecols import block_hour, hhmm_round_hour, hhmm_timestamp, trunc_hour
 from runway.operators.predicates import not_flagged
-
-# Contract columns of the normalised flight table, in the reference's order.
-FLIGHT_COLUMNS = [
-    "YEAR", "QUARTER", "MONTH", "DAY_OF_MONTH", "DAY_OF_WEEK", "FL_DATE", "FL_PATH",
-    "OP_UNIQUE_CARRIER", "TAIL_NUM", "OP_CARRIER_FL_NUM", "ORIGIN", "ORIGIN_CITY_NAME",
-    "ORIGIN_STATE_ABR", "DEST", "DEST_CITY_NAME", "DEST_STATE_ABR", "CRS_DEP_TIME",
-    "CRS_DEP_TIME_HOUR", "DEP_TIME_HOUR", "DEP_DELAY_NEW", "DEP_TIME_BLK", "CRS_ARR_TIME",
-    "CRS_ARR_TIME_HOUR", "ARR_TIME_HOUR", "ARR_DELAY_NEW", "ARR_TIME_BLK", "DISTANCE",
-    "DISTANCE_GROUP", "DEP_DEL15", "ARR_DEL15", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID",
-    "CRS_DEP_TIMESTAMP", "CRS_ARR_TIMESTAMP", "PR_ARR_DEL15",
-]
+from runway.params import FLIGHT_COLUMNS
 
 DEFAULT_HOT_ROWS = 2_000_000          # rows per window chunk of a hot key
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000

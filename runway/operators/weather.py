@@ -19,34 +19,19 @@ from runway.functions.packed import MEASURES, decoded_measures, text_sub_fields
 from runway.functions.text import comma_part
 from runway.functions.timecols import trunc_hour
 from runway.operators.predicates import country_is, like, open_span
-from runway.params import ROUTINE_REPORT
-
-# Contract columns of a weather report, in the reference's order.
-WEATHER_COLUMNS = ["STATION", "DATE", "LATITUDE", "LONGITUDE", "NAME", "REPORT_TYPE",
-                   "CALL_SIGN", "TMP", "WND", "CIG", "VIS", "DEW", "SLP", "AA1", "AJ1",
-                   "AT1", "GA1", "IA1", "MA1", "MD1", "OC1", "REM"]
-
-# Hourly output columns and the measure each one summarises (mean, except precipitation).
-HOURLY_COLUMNS = {
-    "avg_temp_f": ("avg", "temp_f"),
-    "tot_precip_mm": ("sum", "precip_mm"),
-    "avg_wnd_mps": ("avg", "wnd_mps"),
-    "avg_vis_m": ("avg", "vis_m"),
-    "avg_slp_hpa": ("avg", "slp_hpa"),
-    "avg_dewpt_f": ("avg", "dew_pt_f"),
-}
+from runway.params import AIRPORT_INFIX, HOURLY_COLUMNS, ROUTINE_REPORT, US_SUFFIX, WEATHER_COLUMNS
 
 
 def scan_routine_us(df: DataFrame, report_type: str = ROUTINE_REPORT) -> DataFrame:
     """Routine reports of US stations: ``REPORT_TYPE = 'FM-15' AND NAME LIKE '% US'``."""
-    return df.where((F.col("REPORT_TYPE") == report_type) & F.col("NAME").like("% US"))
+    return df.where((F.col("REPORT_TYPE") == report_type) & F.col("NAME").like(US_SUFFIX))
 
 
 def weather_raw(df: DataFrame, report_type: str = ROUTINE_REPORT) -> DataFrame:
     """US airport stations' routine reports, projected to the 22 contract columns."""
     df = country_is(df, "US")
     df = like(df, "REPORT_TYPE", f"%{report_type}%")
-    df = like(df, "NAME", "% AIRPORT%")
+    df = like(df, "NAME", AIRPORT_INFIX)
     return df.select(WEATHER_COLUMNS)
 
 
@@ -55,7 +40,7 @@ def observations(df: DataFrame, lo: str | None, hi: str | None,
     """Raw reports -> filtered reports in the open time span, with the STATE text."""
     df = weather_raw(scan_routine_us(df, report_type), report_type)
     df = open_span(df, "DATE", lo, hi)
-    df = like(df, "NAME", "% US")
+    df = like(df, "NAME", US_SUFFIX)
     return df.withColumn("STATE", comma_part("NAME", 1))
 
 

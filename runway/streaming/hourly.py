@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runway.operators.weather import _hourly_aggs, decode, scan_routine_us, weather_raw
-from runway.params import ROUTINE_REPORT
+from runway.params import ROUTINE_REPORT, US_SUFFIX
 from runway.session import shared_path
 
 
@@ -27,7 +27,7 @@ def hourly_stream(reports: DataFrame, lateness: str = "2 hours", missing_codes:
     ``timestamp_ntz``) and the six hourly measures.
     """
     obs = weather_raw(scan_routine_us(reports, report_type), report_type)
-    obs = obs.where(F.col("NAME").like("% US"))
+    obs = obs.where(F.col("NAME").like(US_SUFFIX))
     decoded = decode(obs, missing_codes)
     t = F.col("time")
     # watermarks need a TIMESTAMP; read the hour's wall clock as UTC (no session-zone dependence)
