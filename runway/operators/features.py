@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from runway.functions.schema import prefix_columns
 from runway.operators.flights import DEFAULT_HOT_ROWS, normalise_flights, with_hour_keys
 from runway.operators.predicates import contains, either_end, open_span
-from runway.operators.stations import airport_rules, city_lookup, hub_table, match_stations
+from runway.operators.stations import airport_rules, both_ends, city_lookup, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
 from runway.params import FINAL_COLUMNS, JobParams
 from runway.sources.sinks import materialise, write_replace
@@ -60,6 +60,14 @@ class WeatherSides:
     remote: DataFrame   # (code, time, hourly columns) at every other-end airport
 
 
+def other_end_codes(legs: DataFrame, airport: str) -> DataFrame:
+    """Distinct airports at the other end of the airport's departures and arrivals."""
+    dep_end = F.when(F.col("ORIGIN").contains(airport), F.col("DEST"))
+    arr_end = F.when(F.col("DEST").contains(airport), F.col("ORIGIN"))
+    return (both_ends(legs, (dep_end,), (arr_end,), ("code",))
+            .where(F.col("code").isNotNull()).distinct())
+
+
 def local_hourly(partials: DataFrame, params: JobParams) -> DataFrame:
     """Hourly weather at the chosen airport: stations whose call sign contains K<airport>."""
     return pool_hourly(contains(partials, "CALL_SIGN", params.call_sign), keys=())
@@ -68,9 +76,7 @@ def local_hourly(partials: DataFrame, params: JobParams) -> DataFrame:
 def remote_hourly(legs: DataFrame, partials: DataFrame, stations: DataFrame,
                   params: JobParams) -> DataFrame:
     """Hourly weather per other-end airport, stations picked by hub / city / call-sign rule."""
-    dep_codes = contains(legs, "ORIGIN", params.airport).select(F.col("DEST").alias("code"))
-    arr_codes = contains(legs, "DEST", params.airport).select(F.col("ORIGIN").alias("code"))
-    codes = dep_codes.unionByName(arr_codes).distinct().join(city_lookup(legs), "code", "left")
+    codes = other_end_codes(legs, params.airport).join(city_lookup(legs), "code", "left")
     rules = airport_rules(codes, stations, hub_table(legs.sparkSession, params.hubs))
     station_keys = partials.select("NAME", "CALL_SIGN").distinct()   # reuses the partials' shuffle
     matches = match_stations(station_keys, rules)
@@ -88,7 +94,14 @@ def weather_partials(weather: DataFrame, params: JobParams, missing_codes: bool
 
 def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
                   params: JobParams, missing_codes: bool = False) -> WeatherSides:
-    partials = weather_partials(weather, params, missing_codes)
+    """Local and remote hourly weather from one pass over the weather reports.
+
+    The (station, hour) partials - at most stations x hours of the span rows - are
+    written once under the shared checkpoint folder; the local series, the
+    station list and the remote series all read them instead of the reports.
+    """
+    partials = materialise(legs.sparkSession, weather_partials(weather, params, missing_codes),
+                           "station-hours")
     return WeatherSides(local=local_hourly(partials, params),
                         remote=remote_hourly(legs, partials, stations, params))
 

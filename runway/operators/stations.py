@@ -36,9 +36,20 @@ def city_lookup(legs: DataFrame) -> DataFrame:
     A code seen with several cities keeps the smallest, so the result is
     deterministic (the reference's dictionary kept an arbitrary one).
     """
-    ends = (legs.select(F.col("ORIGIN").alias("code"), F.col("ORIGIN_CITY").alias("city"))
-                .unionByName(legs.select(F.col("DEST").alias("code"), F.col("DEST_CITY").alias("city"))))
-    return ends.groupBy("code").agg(F.min("city").alias("city"))
+    return (both_ends(legs, ("ORIGIN", "ORIGIN_CITY"), ("DEST", "DEST_CITY"), ("code", "city"))
+            .groupBy("code").agg(F.min("city").alias("city")))
+
+
+def both_ends(legs: DataFrame, first: tuple, second: tuple, names: tuple) -> DataFrame:
+    """One row per leg end, read in a single pass (a union would scan the legs twice).
+
+    ``first`` and ``second`` are column-name tuples (or Columns) giving each end's
+    values, ``names`` the output column names.
+    """
+    def end(cols):
+        return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(cols, names)])
+
+    return legs.select(F.explode(F.array(end(first), end(second))).alias("_end")).select("_end.*")
 
 
 def call_sign_set(stations: DataFrame) -> DataFrame:

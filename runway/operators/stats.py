@@ -92,13 +92,16 @@ def pearson_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                                     F.stddev_pop("y").alias("sy"))
     # every pair appears, with a NULL correlation when it has no complete row
     index = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("p"))
-    moments = index.join(moments, "p", "left")
+    moments = index.join(F.broadcast(moments), "p", "left")   # both sides: one row per pair
     names_a = F.array(*[F.lit(a) for a, _ in pairs])
     names_b = F.array(*[F.lit(b) for _, b in pairs])
     idx = F.col("p") + 1
     r = F.try_divide(F.col("c"), F.col("sx") * F.col("sy"))
-    one = moments.select(F.element_at(names_a, idx).alias("col_a"),
-                         F.element_at(names_b, idx).alias("col_b"), r.alias("corr"))
-    mirrored = one.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return one.unionByName(mirrored)
+    a, b = F.element_at(names_a, idx), F.element_at(names_b, idx)
+
+    def cell(x, y):
+        return F.struct(x.alias("col_a"), y.alias("col_b"), r.alias("corr"))
+
+    # both orientations from one pass (a union would plan the input twice)
+    cells = F.when(a == b, F.array(cell(a, b))).otherwise(F.array(cell(a, b), cell(b, a)))
+    return moments.select(F.explode(cells).alias("m")).select("m.*")

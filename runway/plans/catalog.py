@@ -331,16 +331,12 @@ def dim_lookup(spark, d):
 @query
 def missing_call_sign(spark, d):
     """Airports whose call sign no station carries."""
-    legs = _legs(spark, d)
-    codes = (legs.select(F.col("ORIGIN").alias("code"))
-                 .unionByName(legs.select(F.col("DEST").alias("code"))).distinct())
+    codes = stations.both_ends(_legs(spark, d), ("ORIGIN",), ("DEST",), ("code",)).distinct()
     return stations.missing_call_signs(codes, _stations(spark, d))
 
 
 def _rules(spark, d, legs):
-    dep_codes = predicates.contains(legs, "ORIGIN", AIRPORT).select(F.col("DEST").alias("code"))
-    arr_codes = predicates.contains(legs, "DEST", AIRPORT).select(F.col("ORIGIN").alias("code"))
-    codes = dep_codes.unionByName(arr_codes).distinct().join(stations.city_lookup(legs), "code", "left")
+    codes = features.other_end_codes(legs, AIRPORT).join(stations.city_lookup(legs), "code", "left")
     return stations.airport_rules(codes, _stations(spark, d), stations.hub_table(spark, PARAMS.hubs))
 
 
