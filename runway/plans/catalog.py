@@ -5,8 +5,8 @@ stand-in views in ``runway.sources.standins`` and runs the library's operator
 on them.  Parameters that select an airport or a span are the job's own
 parameters (the reference's widgets), not row caps.
 
-Every double in an output is rounded to 6 places, as the SQL oracle does, so
-summation order cannot make equal results look different.
+Every double in an output is rounded to 6 places (after snapping to 9 decimals),
+as the SQL oracle does, so summation order cannot make equal results look different.
 """
 
 from __future__ import annotations
@@ -35,10 +35,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round doubles to ``digits`` places after snapping them to 9 decimals.
+
+    Two engines summing in different orders differ in the last bits; through a
+    DECIMAL(38, 9) both round the same decimal value, so a mean such as
+    x.xxxxxx5 does not fall on different sides of the rounding tie.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            snapped = F.round(F.col(f.name).try_cast("decimal(38,9)"), digits).cast(f.dataType)
+            cols.append(snapped.alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(cols)
@@ -98,7 +105,8 @@ def view_sql(spark, d):
     """The flight table as a temporary view, queried in SQL."""
     register_views(spark, {"airlines": _legs(spark, d)})
     return spark.sql(
-        "SELECT OP_UNIQUE_CARRIER, count(*) AS n_legs, sum(DISTANCE) AS total_distance "
+        "SELECT OP_UNIQUE_CARRIER, count(*) AS n_legs, "
+        "CAST(sum(CAST(DISTANCE AS DECIMAL(18, 4))) AS DOUBLE) AS total_distance "
         "FROM airlines WHERE CANCELLED = 0 GROUP BY OP_UNIQUE_CARRIER")
 
 
@@ -118,8 +126,9 @@ def sink_overwrite_roundtrip(spark, d):
     legs = predicates.either_end(_legs(spark, d), AIRPORT).select("FL_DATE", "ORIGIN", "DEST", "DISTANCE")
     replace_and_reload(spark, legs, path, partition_by=("FL_DATE",))
     back = replace_and_reload(spark, legs, path, partition_by=("FL_DATE",))
+    exact = F.sum(F.col("DISTANCE").cast("decimal(18,4)")).cast("double")   # order-independent sum
     return back.groupBy("ORIGIN", "DEST").agg(F.count(F.lit(1)).alias("n_legs"),
-                                              F.sum("DISTANCE").alias("total_distance"))
+                                              exact.alias("total_distance"))
 
 
 @query

@@ -11,7 +11,8 @@ plain SQL.  Spark and DuckDB differ in a few places, handled here:
 * ``'... 24:00'`` casts to the next day in DuckDB; ``try_strptime`` gives NULL as
   Spark's ``try_cast`` does.
 * DuckDB sorts NULLs last by default; windows spell out ``NULLS FIRST``.
-* Every double output is rounded to 6 places, like the Spark side.
+* Every double output is rounded to 6 places after snapping to 9 decimals,
+  like the Spark side (``_snapped``).
 """
 
 from __future__ import annotations
@@ -377,6 +378,40 @@ def _stats_base() -> str:
     return _with(LEGS_RAW, PREPARED, f"dep AS (SELECT * FROM fl WHERE contains(ORIGIN, '{AIRPORT}'))")
 
 
+def _snapped(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` as rounding of ``x`` snapped to 9 decimals.
+
+    Summation order leaves last-bit differences between engines; through a
+    DECIMAL(38, 9) both sides round the same decimal value (as ``catalog.rounded``).
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        while j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            j = sql.find("round(", j + 1)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        k, depth, cut = j + len("round("), 1, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                cut = k
+            k += 1
+        inner_start = j + len("round(")
+        if cut is not None and sql[cut + 1:k - 1].strip() == "6":
+            expr = _snapped(sql[inner_start:cut])
+            out.append(sql[i:j])
+            out.append(f"CAST(round(TRY_CAST({expr} AS DECIMAL(38, 9)), 6) AS DOUBLE)")
+        else:
+            out.append(sql[i:j] + "round(" + _snapped(sql[inner_start:k]))
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
     legs = _with(LEGS_RAW)
     reps = _with(REPORTS_RAW)
@@ -387,13 +422,15 @@ def oracle_sql() -> dict[str, str]:
 SELECT {REPORT_COLUMNS.replace('LATITUDE, LONGITUDE', 'round(LATITUDE, 6) AS LATITUDE, round(LONGITUDE, 6) AS LONGITUDE')}
 FROM reports WHERE REPORT_TYPE = 'FM-15' AND NAME LIKE '% US'"""
     out["view_sql"] = legs + """
-SELECT OP_UNIQUE_CARRIER, count(*) AS n_legs, round(sum(DISTANCE), 6) AS total_distance
+SELECT OP_UNIQUE_CARRIER, count(*) AS n_legs,
+       CAST(sum(CAST(DISTANCE AS DECIMAL(18, 4))) AS DOUBLE) AS total_distance
 FROM legs WHERE CANCELLED = 0 GROUP BY OP_UNIQUE_CARRIER"""
     out["param_window"] = legs + f"""
 SELECT LEG_ID, FL_DATE, DATE '{SPAN_HI}' + 1 AS inference_date FROM legs
 WHERE FL_DATE > DATE '{SPAN_LO}' AND FL_DATE < DATE '{SPAN_HI}' + 1"""
     out["sink_overwrite_roundtrip"] = legs + f"""
-SELECT ORIGIN, DEST, count(*) AS n_legs, round(sum(DISTANCE), 6) AS total_distance FROM legs
+SELECT ORIGIN, DEST, count(*) AS n_legs,
+       CAST(sum(CAST(DISTANCE AS DECIMAL(18, 4))) AS DOUBLE) AS total_distance FROM legs
 WHERE DEST = '{AIRPORT}' OR ORIGIN = '{AIRPORT}' GROUP BY ORIGIN, DEST"""
     out["conform_schema"] = """
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
@@ -578,4 +615,4 @@ SELECT OP_UNIQUE_CARRIER AS carrier, floor(DEP_DELAY_NEW / 15.0) * 15.0 AS bin_l
 FROM dep WHERE DEP_DELAY_NEW IS NOT NULL GROUP BY OP_UNIQUE_CARRIER, floor(DEP_DELAY_NEW / 15.0) * 15.0"""
     out["select_by_type"] = legs + "\nSELECT " + ", ".join(_r(c, c) for c in LEG_DOUBLES) + " FROM legs"
     out["corr_matrix"] = _corr_sql()
-    return out
+    return {k: _snapped(v) for k, v in out.items()}
