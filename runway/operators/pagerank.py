@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from runway.params import PAGERANK_ITERATIONS, PAGERANK_RESET, PAGERANK_TOP
 from runway.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_VERTICES = 5_000_000
+MAX_BROADCAST_VERTICES = 1_000_000   # (id, rank) rows: tens of MB at most
 
 
 def weighted_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:

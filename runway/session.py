@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     # A whole-stage method above the JVM's JIT limit (8000 bytecodes) runs interpreted;
     # past this size Spark falls back to per-operator code, which stays compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # remove reliable-checkpoint files once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
