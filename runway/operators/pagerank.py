@@ -25,9 +25,10 @@ MAX_BROADCAST_VERTICES = 1_000_000   # (id, rank) rows: tens of MB at most
 def weighted_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, w): edge multiplicity divided by the source's out-degree."""
     ids = vertices.select(F.col("id").alias("_v")).distinct()
-    kept = (edges.join(ids, F.col("src") == F.col("_v"), "left_semi")
-                 .join(ids, F.col("dst") == F.col("_v"), "left_semi"))
-    pairs = kept.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    # collapse parallel edges first (map-side), then keep pairs whose ends are vertices
+    pairs = (edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+                  .join(ids, F.col("src") == F.col("_v"), "left_semi")
+                  .join(ids, F.col("dst") == F.col("_v"), "left_semi"))
     outdeg = pairs.groupBy("src").agg(F.sum("n").alias("deg"))
     return pairs.join(outdeg, "src").select("src", "dst", (F.col("n") / F.col("deg")).alias("w"))
 
