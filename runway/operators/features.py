@@ -39,13 +39,18 @@ def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str,
     """Legs touching the airport, normalised (with the previous-leg flag) and hour keyed.
 
     The lag sees legs with ``train_start < FL_DATE < train_end``; the table then
-    keeps ``train_start < FL_DATE < inference``.  The result (one airport's
-    traffic) is written as Parquet under the shared checkpoint folder: every
+    keeps ``train_start < FL_DATE < inference``.  The airport's slice of the
+    flight table is written once before the window (so the flight table is
+    scanned once), and the result (one airport's traffic) is written as Parquet
+    under the shared checkpoint folder: every
     later use reads it back (with pruning and pushdown) instead of re-running
     scan, joins and window, and a lost executor never replays them.
     """
     base = open_span(either_end(flights, params.airport), "FL_DATE",
                      params.train_start, params.train_end)
+    if cut_lineage and prior:
+        # the skew check and the window both read the airport's slice, not the whole table
+        base = materialise(flights.sparkSession, base, "legs-slice")
     legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, hot_rows=hot_rows,
                              prior=prior)
     legs = with_hour_keys(open_span(legs, "FL_DATE", params.train_start, params.inference_date))
