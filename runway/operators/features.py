@@ -111,7 +111,8 @@ def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
                         remote=remote_hourly(legs, partials, stations, params))
 
 
-def _local_side(local: DataFrame, prefix: str, params: JobParams) -> DataFrame:
+def local_side(local: DataFrame, prefix: str, params: JobParams) -> DataFrame:
+    """Prefixed local series; broadcast when its hour bound (from the span) is small."""
     side = prefix_columns(local, prefix)
     return F.broadcast(side) if params.span_hours() <= MAX_BROADCAST_HOURS else side
 
@@ -120,7 +121,7 @@ def departure_features(legs: DataFrame, sides: WeatherSides, params: JobParams)
     """Departures of the airport with local weather at dep_time and remote at arr_time."""
     dep = contains(legs, "ORIGIN", params.airport)
     remote = prefix_columns(sides.remote.withColumnRenamed("code", "DEST"), "arr_", keep=("DEST",))
-    out = (dep.join(_local_side(sides.local, "dep_", params), "dep_time", "left")
+    out = (dep.join(local_side(sides.local, "dep_", params), "dep_time", "left")
               .join(remote, ["DEST", "arr_time"], "left"))
     return out.select(FINAL_COLUMNS)
 
@@ -129,7 +130,7 @@ def arrival_features(legs: DataFrame, sides: WeatherSides, params: JobParams) ->
     """Arrivals at the airport with local weather at arr_time and remote at dep_time."""
     arr = contains(legs, "DEST", params.airport)
     remote = prefix_columns(sides.remote.withColumnRenamed("code", "ORIGIN"), "dep_", keep=("ORIGIN",))
-    out = (arr.join(_local_side(sides.local, "arr_", params), "arr_time", "left")
+    out = (arr.join(local_side(sides.local, "arr_", params), "arr_time", "left")
               .join(remote, ["ORIGIN", "dep_time"], "left"))
     return out.select(FINAL_COLUMNS)
 

@@ -369,9 +369,9 @@ def local_weather(spark, d):
     legs = _prepared(spark, d, prior=False, cut_lineage=False)
     local = features.local_hourly(features.weather_partials(_reports(spark, d), PARAMS), PARAMS)
     dep = predicates.contains(legs, "ORIGIN", AIRPORT)
-    local = schema.prefix_columns(local, "dep_")
-    return dep.join(F.broadcast(local), "dep_time", "left").select(
-        "LEG_ID", "dep_time", *[c for c in local.columns if c != "dep_time"])
+    side = features.local_side(local, "dep_", PARAMS)     # broadcast only under the span's hour bound
+    return dep.join(side, "dep_time", "left").select(
+        "LEG_ID", "dep_time", *[c for c in side.columns if c != "dep_time"])
 
 
 @query
