@@ -487,7 +487,7 @@ def pagerank_top50(spark, d):
 
 @query
 def collect_distinct(spark, d):
-    """Distinct destinations collected into one sorted list (A2)."""
+    """Distinct destinations collected into one sorted, comma-joined list, with its size (A2)."""
     return _legs(spark, d).agg(
         F.array_join(F.array_sort(F.collect_set("DEST")), ",").alias("dests"),
         F.size(F.collect_set("DEST")).alias("n_dests"))
