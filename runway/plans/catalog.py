@@ -438,6 +438,13 @@ def delays_by_carrier(spark, d):
     return routes.delay_counts(_edges(spark, d, attrs={"operator": "OP_CARRIER"}), AIRPORT, ["operator"])
 
 
+@query
+def delays_into_by_carrier(spark, d):
+    """Delayed arrivals into the airport per carrier (A4 on the arrival edges)."""
+    e = _edges(spark, d, delay="ARR_DELAY_NEW", attrs={"operator": "OP_UNIQUE_CARRIER"}, dest_side=False)
+    return routes.delay_counts(e, AIRPORT, ["operator"], outbound=False)
+
+
 @query
 def delays_by_weekday_dst(spark, d):
     """Delayed departures per weekday and destination (A5)."""

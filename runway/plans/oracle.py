@@ -566,6 +566,9 @@ FROM legs WHERE DEST = '{AIRPORT}' AND ARR_DELAY_NEW > 0"""
     out["delays_by_carrier"] = legs + f"""
 SELECT OP_CARRIER AS operator, count(DEP_DELAY) AS n_delayed FROM legs
 WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY > 0 GROUP BY OP_CARRIER"""
+    out["delays_into_by_carrier"] = legs + f"""
+SELECT OP_UNIQUE_CARRIER AS operator, count(ARR_DELAY_NEW) AS n_delayed FROM legs
+WHERE DEST = '{AIRPORT}' AND ARR_DELAY_NEW > 0 GROUP BY OP_UNIQUE_CARRIER"""
     out["delays_by_weekday_dst"] = legs + f"""
 SELECT DAY_OF_WEEK AS day_of_week, DEST AS dst, count(DEP_DELAY_NEW) AS n_delayed FROM legs
 WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY_NEW > 0 GROUP BY DAY_OF_WEEK, DEST"""

@@ -55,3 +55,12 @@ def test_replace_and_reload_overwrites(spark):
     assert [tuple(r) for r in back.select("k", "p").collect()] == [(3, "a")]
     m = materialise(spark, first, "test-mat")
     assert sorted(r["k"] for r in m.collect()) == [1, 2]
+
+
+def test_spread_only_widens_narrow_scans(spark):
+    from runway.sources.tables import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many
+    assert sorted(r[0] for r in spread(one, 4).collect()) == list(range(100))
