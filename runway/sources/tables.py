@@ -25,11 +25,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     wait; heavy per-row work above it would then run on one core.  Large tables
     already split into many more tasks than cores, and are returned unchanged.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
