@@ -50,3 +50,13 @@ def test_two_runs_give_equal_rows(spark):
     first = sorted(map(tuple, q(spark, SF).collect()), key=str)
     second = sorted(map(tuple, q(spark, SF).collect()), key=str)
     assert first == second
+
+
+def test_normalise_with_split_hot_tails_equals_unsplit(spark, inputs):
+    from runway.operators import flights
+    legs = inputs[0]
+    cols = ("LEG_ID", "PR_ARR_DEL15")
+    split = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, hot_rows=20)
+    plain = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, hot_rows=None)
+    assert sorted(map(tuple, split.select(*cols).collect()), key=str) == \
+        sorted(map(tuple, plain.select(*cols).collect()), key=str)
