@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from runway.llm import quality, secrets
+from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.sources import read_table
+from runway.sources.sinks import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,3 +25,28 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class id of every document under 5-word shingle Jaccard >= 0.75."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages found in the documents: the best window of each document and item."""
+    return benchmark_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents")
+    stats = materialise(spark, docs.select("doc_id", quality.statistics("text").alias("stats")), "statistics")
+    model = quality.fit(quality.training_rows(stats, read_table(spark, sf_dir, "labels")))
+    return (stats.select("doc_id", quality.held_out().alias("held_out"), quality.scorer(model)("stats").alias("score"))
+            .withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int")))
+
+
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = secrets.secret_findings(docs, secrets.labelled_findings(docs))
+    return found.select("doc_id", "position", F.length("secret").alias("length"), F.sha2("secret", 256).alias("secret_sha256"),
+                        F.concat(F.substring("secret", 1, 4), F.lit("...")).alias("shown"), "probability", "is_secret")
