@@ -1,23 +1,68 @@
-"""The corpus pipeline: near-duplicate removal (further stages follow)."""
+"""The corpus pipeline: from raw documents to token ids.
+
+Five stages in order, each over everything that the stage before kept: drop
+what the quality classifier rejects, keep one document of each near-duplicate
+group, drop documents that hold a benchmark passage, mask secrets, encode
+with BPE (and decode again).  The first four return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runway.llm import bpe, quality, secrets
+from runway.llm.decontaminate import benchmark_hits
 from runway.llm.neardup import near_duplicates
+from runway.llm.queries import tokenizer_path
 from runway.sources.sinks import materialise
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of at least 0.3, learned from the labels of this table's documents."""
+    scored = docs.withColumn("__stats", quality.statistics("text"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(quality.training_rows(scored.withColumnRenamed("__stats", "stats"), labels))
+    return scored.where(quality.scorer(model)("__stats") >= quality.THRESHOLD).select(DOCUMENT_COLUMNS)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(DOCUMENT_COLUMNS)
 
 
-STAGES = [("near_duplicates", drop_near_duplicates)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return hits.where(F.size("benchmark_hits") == 0).select(DOCUMENT_COLUMNS)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mask and n_chars brought up to date."""
+    masked = secrets.redact(docs, secrets.labelled_findings(docs))
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(DOCUMENT_COLUMNS)
+
+
+def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as token ids, with the decoded text beside them."""
+    path = tokenizer_path()
+    ids = bpe.encode(docs, path, carry=("doc_id", "lang", "source"))
+    return ids.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                      bpe.decode("ids", path).alias("decoded"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("bpe", encode_bpe),
+]
+
+#: classifiers, MinHash and BPE have no SQL form; the tests hold the stages against brute force
 ORACLE_SQL = None
 
 

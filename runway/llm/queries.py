@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runway.llm import quality, secrets
+from runway.llm import bpe, quality, secrets
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.sources import read_table
 from runway.sources.sinks import materialise
 
+#: the public tokenizer that the queries use; any other file can be given to the operators
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -50,3 +59,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_findings(docs, secrets.labelled_findings(docs))
     return found.select("doc_id", "position", F.length("secret").alias("length"), F.sha2("secret", 256).alias("secret_sha256"),
                         F.concat(F.substring("secret", 1, 4), F.lit("...")).alias("shown"), "probability", "is_secret")
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document, decode the ids again; digests of both."""
+    path = tokenizer_path()
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path).withColumn("decoded", bpe.decode("ids", path))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
