@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runway.llm import bpe, quality, secrets
+from runway.llm import bpe, quality, secrets, sharding
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.sources import read_table
@@ -69,3 +69,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 equal shards by their ids (law `key`)."""
+    placed = sharding.assign_shards(read_table(spark, sf_dir, "documents"), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
