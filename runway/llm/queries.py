@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runway.llm import bpe, quality, secrets, sharding
+from runway.llm import bpe, quality, records, secrets, sharding
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.sources import read_table
@@ -76,3 +76,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 equal shards by their ids (law `key`)."""
     placed = sharding.assign_shards(read_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as framed binary records and read back."""
+    _, index = records.encode_to_files(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32", "part", "offset", "length")
