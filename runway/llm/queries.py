@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runway.llm import bpe, quality, records, secrets, sharding
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
+from runway.llm.topk import top_k
 from runway.sources import read_table
 from runway.sources.sinks import materialise
 
@@ -83,3 +84,9 @@ def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as framed binary records and read back."""
     _, index = records.encode_to_files(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
     return index.select("doc_id", "start", "n_tokens", "ids_crc32", "part", "offset", "length")
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors for every vector whose id is divisible by 20."""
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
