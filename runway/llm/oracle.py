@@ -45,3 +45,22 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+ORACLES["op3_substring_dedup"] = f"""
+WITH w AS (
+  SELECT doc_id, coalesce({_WORDS.format(text="text")}, []) AS w FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w WHERE len(w) >= 13
+), h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS x FROM g
+), m AS (SELECT x, min(doc_id) AS least FROM h GROUP BY x
+), r AS (SELECT doc_id, i FROM h JOIN m USING (x) WHERE least < doc_id
+), c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM r
+), words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM words ANTI JOIN c USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

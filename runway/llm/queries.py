@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runway.llm import bpe, quality, records, secrets, sharding
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
+from runway.llm.substrings import repeats
 from runway.llm.topk import top_k
 from runway.sources import read_table
 from runway.sources.sinks import materialise
@@ -90,3 +91,10 @@ def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best other vectors for every vector whose id is divisible by 20."""
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a run of 13 that an earlier document holds; digest of the rest."""
+    found = repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
