@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runway.llm import bpe, quality, records, secrets, sharding
+from runway.llm import bpe, html, quality, records, secrets, sharding
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.llm.substrings import repeats
@@ -98,3 +98,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a run of 13 that an earlier document holds; digest of the rest."""
     found = repeats(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    found = html.extract(pages, html.train_labeller(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
