@@ -1,0 +1,63 @@
+"""op1: planted secrets are found, harmless strings are not; redaction; no Python in the plan."""
+
+import hashlib
+
+from runway.llm import secrets
+
+
+def key(n):
+    return hashlib.sha1(str(n).encode()).hexdigest()
+
+
+def plant(lorem):
+    docs = [(i, f'{lorem(20)} token = "{key(i)}" {lorem(10)}') for i in range(10)]
+    docs += [(20 + i, f"{lorem(20)} 4{i}52935900253052 {lorem(10)}") for i in range(10)]
+    docs += [(40 + i, f"{lorem(20)} commit {key(100 + i)} {lorem(4)}") for i in range(5)]
+    docs += [(60, f'{lorem(5).upper()} TOKEN = "{key(1).upper()}"!!'), (61, None), (62, ""), (63, f"{lorem(9000)} token = \"{key(7)}\""),
+             (None, f'token = "{key(8)}"'), (64, f'token = "{key(9)}" and token = "{key(9)}"'), (65, " \n "), (66, f'token = "{key(2)}"'), (66, f'token = "{key(2)}"')]
+    docs += [(80 + i, lorem(50)) for i in range(30)]
+    return docs
+
+
+def test_findings(make_docs, lorem):
+    docs = plant(lorem)
+    df = make_docs(docs)
+    found = secrets.secret_findings(df, secrets.labelled_findings(df)).collect()
+    assert {r["doc_id"] for r in found if r["is_secret"]} == {*range(10), 60, 63, 64, 66, None}
+    assert {r["doc_id"] for r in found if not r["is_secret"]} >= {*range(20, 30), *range(40, 45)}
+    texts = dict(docs)
+    for r in found:
+        if r["doc_id"] not in (None, 66):
+            assert r["secret"] in texts[r["doc_id"]].split()[r["position"]]
+    assert sum(r["doc_id"] == 64 for r in found) == 2 and sum(r["doc_id"] == 66 for r in found) == 2
+
+
+def test_redaction(make_docs, lorem):
+    docs = plant(lorem)
+    df = make_docs(docs)
+    out = secrets.redact(df, secrets.labelled_findings(df))
+    assert out.columns == df.columns and out.count() == len(docs)
+    rows = {r["doc_id"]: r["text"] for r in out.collect()}
+    for i in range(10):
+        assert rows[i] == dict(docs)[i].replace(key(i), secrets.MASK)
+    assert rows[None] == f'token = "{secrets.MASK}"' and rows[61] is None and rows[62] == ""
+    assert all(rows[i] == t for i, t in docs if i is not None and 20 <= i < 50)
+
+
+def test_empty_table(make_docs, lorem):
+    train = make_docs([(i, lorem(30)) for i in range(20)])
+    none = make_docs([])
+    assert secrets.secret_findings(none, secrets.labelled_findings(train)).count() == 0
+    assert secrets.redact(none, secrets.labelled_findings(train)).count() == 0
+
+
+def test_candidates_have_their_neighbours(make_docs):
+    row = secrets.candidates(make_docs([(1, "  a b c = 0123456789abcdef01 z")])).first()
+    assert (row["position"], row["word"], row["before2"], row["before1"], row["after"]) == (4, "0123456789abcdef01", "c", "=", "z")
+
+
+def test_native_plan(make_docs, lorem):
+    df = make_docs(plant(lorem))
+    found = secrets.candidates(df)
+    plan = secrets.describe(found, secrets.dictionary(df))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
