@@ -7,7 +7,6 @@ Sub-packages:
 * ``operators`` - DataFrame -> DataFrame operators (filters, flights, weather,
   stations, features, routes, PageRank, statistics).
 * ``plans``     - the query catalogue used by ``__spark_entry__`` and ``bench.py``.
-* ``streaming`` - the hourly weather aggregate as a Structured Streaming job.
 """
 
 from runway.params import JobParams

@@ -63,11 +63,11 @@ def spark_type_for(dtype_name: str) -> T.DataType:
     return DTYPE_TO_SPARK.get(dtype_name, T.StringType())
 
 
-def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Cast ``df`` to a declared schema, by column name and in the schema's order.
 
-    Values that do not convert become NULL (``try_cast``) unless ``strict``,
-    in which case ANSI casting raises.  Missing columns become typed NULLs.
+    A value that does not convert raises (ANSI cast); with ``strict=False`` it
+    becomes NULL (``try_cast``).  Missing columns become typed NULLs.
     """
     cols = []
     present = set(df.columns)

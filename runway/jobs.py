@@ -17,8 +17,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from runway.operators import features, pagerank, routes
-from runway.params import DEFAULT_AIRPORT, DEFAULT_TRAIN_END, DEFAULT_TRAIN_START, JobParams
-from runway.session import build_session
+from runway.params import DEFAULT_AIRPORT, DEFAULT_TRAIN_END, DEFAULT_TRAIN_START, SELECTABLE_AIRPORTS, JobParams
+from runway.session import build_session, intermediates
 from runway.sources.sinks import write_replace
 
 
@@ -30,9 +30,10 @@ def load(spark: SparkSession, source: str) -> DataFrame:
 
 def run_features(spark: SparkSession, flights: str, weather: str, stations: str,
                  params: JobParams, out: str, tie_breakers: tuple[str, ...] = ()) -> dict[str, str]:
-    dep, arr = features.feature_tables(load(spark, flights), load(spark, weather),
-                                       load(spark, stations), params, tie_breakers=tie_breakers)
-    return features.write_feature_tables(dep, arr, out, params.airport)
+    with intermediates(spark):
+        dep, arr = features.feature_tables(load(spark, flights), load(spark, weather),
+                                           load(spark, stations), params, tie_breakers=tie_breakers)
+        return features.write_feature_tables(dep, arr, out, params.airport)
 
 
 def run_routes(spark: SparkSession, flights: str, airport: str, out: str) -> dict[str, str]:
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--flights", required=True)
     f.add_argument("--weather", required=True)
     f.add_argument("--stations", required=True)
-    f.add_argument("--airport", default=DEFAULT_AIRPORT)
+    f.add_argument("--airport", default=DEFAULT_AIRPORT, choices=SELECTABLE_AIRPORTS)
     f.add_argument("--train-start", default=DEFAULT_TRAIN_START)
     f.add_argument("--train-end", default=DEFAULT_TRAIN_END)
     f.add_argument("--inference", default=None, help="default: train end + 1 day")
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--out", required=True)
     r = sub.add_parser("routes", help="PageRank top 50 and delayed departures per carrier")
     r.add_argument("--flights", required=True)
-    r.add_argument("--airport", default=DEFAULT_AIRPORT)
+    r.add_argument("--airport", default=DEFAULT_AIRPORT, choices=SELECTABLE_AIRPORTS)
     r.add_argument("--out", required=True)
     args = parser.parse_args(argv)
 

@@ -9,10 +9,9 @@ airport in a loop.  Here it is one distributed plan per side:
     dep   = departures  LEFT JOIN local ON dep_time  LEFT JOIN remote ON (DEST, arr_time)
     arr   = arrivals    LEFT JOIN local ON arr_time  LEFT JOIN remote ON (ORIGIN, dep_time)
 
-``local`` has at most one row per hour of the span, a bound known from the
-parameters, so it is broadcast when that bound is small.  ``remote`` is left
-to adaptive execution, which broadcasts it only when its measured size is small
-and otherwise runs a shuffle join (with skew splitting on the leg side).
+Both weather joins are left to adaptive execution, which broadcasts a side only
+when its measured size is small and otherwise runs a shuffle join (with skew
+splitting on the leg side).
 """
 
 from __future__ import annotations
@@ -23,36 +22,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.functions.schema import prefix_columns
-from runway.operators.flights import DEFAULT_HOT_ROWS, normalise_flights, with_hour_keys
+from runway.operators.flights import normalise_flights, with_hour_keys
 from runway.operators.predicates import contains, either_end, open_span
-from runway.operators.stations import airport_rules, both_ends, city_lookup, hub_table, match_stations
+from runway.operators.stations import airport_rules, both_ends, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
 from runway.params import FINAL_COLUMNS, JobParams
 from runway.sources.sinks import materialise, write_replace
 
-MAX_BROADCAST_HOURS = 2_000_000
-
 
 def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str, ...] = (),
-                 keep: tuple[str, ...] = (), hot_rows: int | None = DEFAULT_HOT_ROWS,
-                 prior: bool = True, cut_lineage: bool = True) -> DataFrame:
+                 keep: tuple[str, ...] = (), prior: bool = True, cut_lineage: bool = True) -> DataFrame:
     """Legs touching the airport, normalised (with the previous-leg flag) and hour keyed.
 
     The lag sees legs with ``train_start < FL_DATE < train_end``; the table then
-    keeps ``train_start < FL_DATE < inference``.  The airport's slice of the
-    flight table is written once before the window (so the flight table is
-    scanned once), and the result (one airport's traffic) is written as Parquet
+    keeps ``train_start < FL_DATE < inference``.  The result (one airport's traffic) is written as Parquet
     under the shared checkpoint folder: every
     later use reads it back (with pruning and pushdown) instead of re-running
     scan, joins and window, and a lost executor never replays them.
     """
     base = open_span(either_end(flights, params.airport), "FL_DATE",
                      params.train_start, params.train_end)
-    if cut_lineage and prior:
-        # the skew check and the window both read the airport's slice, not the whole table
-        base = materialise(flights.sparkSession, base, "legs-slice")
-    legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, hot_rows=hot_rows,
-                             prior=prior)
+    legs = normalise_flights(base, tie_breakers=tie_breakers, keep=keep, prior=prior)
     legs = with_hour_keys(open_span(legs, "FL_DATE", params.train_start, params.inference_date))
     if cut_lineage:
         legs = materialise(legs.sparkSession, legs, "legs")
@@ -66,11 +56,22 @@ class WeatherSides:
 
 
 def other_end_codes(legs: DataFrame, airport: str) -> DataFrame:
-    """Distinct airports at the other end of the airport's departures and arrivals."""
-    dep_end = F.when(F.col("ORIGIN").contains(airport), F.col("DEST"))
-    arr_end = F.when(F.col("DEST").contains(airport), F.col("ORIGIN"))
-    return (both_ends(legs, (dep_end,), (arr_end,), ("code",))
-            .where(F.col("code").isNotNull()).distinct())
+    """(code, city) of the airports at the other end of the airport's departures and arrivals.
+
+    One pass over the legs: the city is the smallest that any end of a leg gives
+    for the code, as in ``city_lookup``.
+    """
+    far_dest, far_origin = F.col("ORIGIN").contains(airport), F.col("DEST").contains(airport)
+    ends = both_ends(legs, ("ORIGIN", "ORIGIN_CITY", far_origin), ("DEST", "DEST_CITY", far_dest), ("code", "city", "far"))
+    return (ends.where(F.col("code").isNotNull()).groupBy("code")
+                .agg(F.min("city").alias("city"), F.bool_or(F.coalesce("far", F.lit(False))).alias("far"))
+                .where("far").drop("far"))
+
+
+def other_end_rules(legs: DataFrame, stations: DataFrame, params: JobParams) -> DataFrame:
+    """The station rule of every other-end airport, written once (one row per airport)."""
+    rules = airport_rules(other_end_codes(legs, params.airport), stations, hub_table(legs.sparkSession, params.hubs))
+    return materialise(legs.sparkSession, rules, "rules")
 
 
 def local_hourly(partials: DataFrame, params: JobParams) -> DataFrame:
@@ -81,9 +82,8 @@ def local_hourly(partials: DataFrame, params: JobParams) -> DataFrame:
 def remote_hourly(legs: DataFrame, partials: DataFrame, stations: DataFrame,
                   params: JobParams) -> DataFrame:
     """Hourly weather per other-end airport, stations picked by hub / city / call-sign rule."""
-    codes = other_end_codes(legs, params.airport).join(city_lookup(legs), "code", "left")
-    rules = airport_rules(codes, stations, hub_table(legs.sparkSession, params.hubs))
-    station_keys = partials.select("NAME", "CALL_SIGN").distinct()   # reuses the partials' shuffle
+    rules = other_end_rules(legs, stations, params)
+    station_keys = partials.select("NAME", "CALL_SIGN").distinct()
     matches = match_stations(station_keys, rules)
     matched = partials.join(matches, (partials["NAME"].eqNullSafe(matches["NAME"]))
                             & (partials["CALL_SIGN"].eqNullSafe(matches["CALL_SIGN"])))
@@ -104,24 +104,19 @@ def weather_sides(legs: DataFrame, weather: DataFrame, stations: DataFrame,
     The (station, hour) partials - at most stations x hours of the span rows - are
     written once under the shared checkpoint folder; the local series, the
     station list and the remote series all read them instead of the reports.
+    The remote series (airports x hours) is written once too, for both tables.
     """
     partials = materialise(legs.sparkSession, weather_partials(weather, params, missing_codes),
                            "station-hours")
-    return WeatherSides(local=local_hourly(partials, params),
-                        remote=remote_hourly(legs, partials, stations, params))
-
-
-def local_side(local: DataFrame, prefix: str, params: JobParams) -> DataFrame:
-    """Prefixed local series; broadcast when its hour bound (from the span) is small."""
-    side = prefix_columns(local, prefix)
-    return F.broadcast(side) if params.span_hours() <= MAX_BROADCAST_HOURS else side
+    remote = materialise(legs.sparkSession, remote_hourly(legs, partials, stations, params), "remote-hours")
+    return WeatherSides(local=local_hourly(partials, params), remote=remote)
 
 
 def departure_features(legs: DataFrame, sides: WeatherSides, params: JobParams) -> DataFrame:
     """Departures of the airport with local weather at dep_time and remote at arr_time."""
     dep = contains(legs, "ORIGIN", params.airport)
     remote = prefix_columns(sides.remote.withColumnRenamed("code", "DEST"), "arr_", keep=("DEST",))
-    out = (dep.join(local_side(sides.local, "dep_", params), "dep_time", "left")
+    out = (dep.join(prefix_columns(sides.local, "dep_"), "dep_time", "left")
               .join(remote, ["DEST", "arr_time"], "left"))
     return out.select(FINAL_COLUMNS)
 
@@ -130,17 +125,16 @@ def arrival_features(legs: DataFrame, sides: WeatherSides, params: JobParams) ->
     """Arrivals at the airport with local weather at arr_time and remote at dep_time."""
     arr = contains(legs, "DEST", params.airport)
     remote = prefix_columns(sides.remote.withColumnRenamed("code", "ORIGIN"), "dep_", keep=("ORIGIN",))
-    out = (arr.join(local_side(sides.local, "arr_", params), "arr_time", "left")
+    out = (arr.join(prefix_columns(sides.local, "arr_"), "arr_time", "left")
               .join(remote, ["ORIGIN", "dep_time"], "left"))
     return out.select(FINAL_COLUMNS)
 
 
 def feature_tables(flights: DataFrame, weather: DataFrame, stations: DataFrame,
                    params: JobParams, tie_breakers: tuple[str, ...] = (),
-                   hot_rows: int | None = DEFAULT_HOT_ROWS,
                    missing_codes: bool = False) -> tuple[DataFrame, DataFrame]:
     """(departures, arrivals) feature tables of ``params.airport``, 51 columns each."""
-    legs = prepare_legs(flights, params, tie_breakers=tie_breakers, hot_rows=hot_rows)
+    legs = prepare_legs(flights, params, tie_breakers=tie_breakers)
     sides = weather_sides(legs, weather, stations, params, missing_codes=missing_codes)
     return departure_features(legs, sides, params), arrival_features(legs, sides, params)
 

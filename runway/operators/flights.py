@@ -7,100 +7,61 @@ diverted legs, type and derive 35 contract columns in one projection, and add
 The previous-leg lookup is a ``lag`` over a window partitioned by tail number.
 A single tail number (NULL above all, which every untracked leg shares) can
 hold a large share of all legs; one window partition would then be one task.
-``lag_by`` therefore cuts every key with more than ``hot_rows`` rows into time
-chunks, runs the window per (key, chunk) and repairs the first row of each
-chunk with the last value of the chunk before it.  The repair table has one
-row per chunk of a hot key, so its size is bounded by rows / hot_rows.
+``lag_by`` therefore cuts the rows into ranges of the whole order (key, then
+order columns) of about equal size, runs the window per (key, range) and hands the
+last value of a range over to the next one where a key goes on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from runway.functions.text import comma_part, concat_key
 from runway.functions.timecols import block_hour, hhmm_round_hour, hhmm_timestamp, trunc_hour
 from runway.operators.predicates import not_flagged
 from runway.params import FLIGHT_COLUMNS
-
-DEFAULT_HOT_ROWS = 2_000_000          # rows per window chunk of a hot key
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def _monotone_number(df: DataFrame, column: str) -> Column | None:
-    """A number that never decreases when ``column`` increases (None if unsupported)."""
-    data_type = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(data_type, T.TimestampNTZType):
-        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
-        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_seconds(c)
-    if isinstance(data_type, T.DateType):
-        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
-    if isinstance(data_type, T.NumericType):
-        return c.cast("double")
-    return None
+from runway.session import default_parallelism
+from runway.sources.sinks import materialise
 
 
 def lag_by(df: DataFrame, value: str, key: str, order: list[str], out: str,
-           hot_rows: int | None = DEFAULT_HOT_ROWS,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           ranges: int | None = None) -> DataFrame:
     """``out = lag(value, 1) over (partition by key order by order...)``, skew safe.
 
     Rows with a NULL ``key`` form one group, as in a Spark window.  ``order`` is
-    ascending with NULLs first; give enough columns to make it unique, or ties
-    are broken arbitrarily (as in the plain window).
-    """
-    plain = Window.partitionBy(key).orderBy(*order)
-    number = _monotone_number(df, order[0])
-    if hot_rows is None or number is None:
-        return df.withColumn(out, F.lag(value).over(plain))
-
-    stats = (df.groupBy(key)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_t0"),
-                    F.max(number).alias("_t1")))
-    hot = stats.where(F.col("_n") > hot_rows).select(
-        F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).alias("_k"), "_t0", "_t1")
-    size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_k").alias("chunks")).first()
-    if not size["keys"]:
-        return df.withColumn(out, F.lag(value).over(plain))
+    ascending with NULLs first, of any sortable types; give enough columns to make it
+    unique: ties are broken arbitrarily (as in the plain window) and stay in one range.
 
-    def sized(frame: DataFrame, rows: int) -> DataFrame:
-        return F.broadcast(frame) if rows <= max_broadcast_rows else frame
-
-    keyed = df.join(sized(hot, size["keys"]), F.col(key).eqNullSafe(F.col("_hk")), "left")
-    is_hot = F.col("_k").isNotNull()
-    width = (F.col("_t1") - F.col("_t0") + 1) / F.col("_k")
-    position = F.least(F.floor((number - F.col("_t0")) / width), F.col("_k") - 1)
-    # NULL order values sort first, so they belong to chunk 0 (least() would skip them)
-    keyed = keyed.withColumn("_chunk", F.when(is_hot & number.isNotNull(), position)
-                                         .otherwise(F.lit(0)).cast("long"))
-
-    window = Window.partitionBy(key, "_chunk").orderBy(*order)
-    lagged = (keyed.withColumn("_lag", F.lag(value).over(window))
-                   .withColumn("_rn", F.row_number().over(window)))
-
-    # Last value of every chunk of a hot key, handed to the chunk after it.
-    ordering = F.struct(*[F.col(c) for c in order])
-    last = (keyed.where(is_hot)
-                 .groupBy(key, "_chunk")
-                 .agg(F.max_by(F.col(value), ordering).alias("_last")))
-    handover = (last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")))
-                    .select(F.col(key).alias("_fk"), F.col("_chunk").alias("_fc"), "_prev"))
-    fixed = lagged.join(sized(handover, size["chunks"]),
-                        F.col(key).eqNullSafe(F.col("_fk")) & (F.col("_chunk") == F.col("_fc")),
+    ``df`` runs once: it is written, cut into ``ranges`` (default: the shuffle
+    partitions) by sampled borders of (key, order...), and the cut rows are
+    written again, so that a lost executor finds the same ranges.  However the keys
+    and times are spread, a range holds about 1 / ranges of the rows.
+    """
+    spark = df.sparkSession
+    rows = materialise(spark, df, "lag-rows")
+    cut = rows.repartitionByRange(ranges or default_parallelism(spark), key, *order)
+    cut = materialise(spark, cut.withColumn("_range", F.spark_partition_id()), "lag-ranges")
+
+    window = Window.partitionBy(key, "_range").orderBy(*order)
+    lagged = cut.withColumn("_lag", F.lag(value).over(window)).withColumn("_rn", F.row_number().over(window))
+    # the last value of a key in each range; of these only the keys that a border cuts
+    # matter, at most one per border
+    last = cut.groupBy(key, "_range").agg(
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
+    before = Window.partitionBy(key).orderBy("_range")
+    handover = (last.select(F.col(key).alias("_key"), "_range", F.lag("_last").over(before).alias("_prev"))
+                    .where(F.col("_prev").isNotNull()))
+    fixed = lagged.join(F.broadcast(handover.withColumnRenamed("_range", "_to")),
+                        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_to")) & (F.col("_rn") == 1),
                         "left")
-    result = fixed.withColumn(out, F.when(is_hot & (F.col("_rn") == 1), F.col("_prev"))
-                                    .otherwise(F.col("_lag")))
-    return result.drop("_hk", "_k", "_t0", "_t1", "_chunk", "_lag", "_rn", "_fk", "_fc", "_prev")
+    result = fixed.withColumn(out, F.when(F.col("_to").isNotNull(), F.col("_prev.v")).otherwise(F.col("_lag")))
+    return result.drop("_range", "_lag", "_rn", "_key", "_to", "_prev")
 
 
 def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
                       keep: tuple[str, ...] = (),
-                      hot_rows: int | None = DEFAULT_HOT_ROWS,
-                      prior: bool = True) -> DataFrame:
+                      prior: bool = True, ranges: int | None = None) -> DataFrame:
     """Raw legs -> the 35-column flight contract (plus ``keep`` columns).
 
     ``tie_breakers`` extend the window order after ``CRS_DEP_TIMESTAMP`` so the
@@ -128,7 +89,7 @@ def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
     typed = not_flagged(df).select(*body, *extra)
     if prior:
         lagged = lag_by(typed, "ARR_DEL15", "TAIL_NUM",
-                        ["CRS_DEP_TIMESTAMP", *tie_breakers], "PR_ARR_DEL15", hot_rows=hot_rows)
+                        ["CRS_DEP_TIMESTAMP", *tie_breakers], "PR_ARR_DEL15", ranges=ranges)
     else:
         lagged = typed.withColumn("PR_ARR_DEL15", F.lit(None).cast("string"))
     return lagged.select(*FLIGHT_COLUMNS, *[c for c in keep if c not in FLIGHT_COLUMNS])

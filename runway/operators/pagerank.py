@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from runway.params import PAGERANK_ITERATIONS, PAGERANK_RESET, PAGERANK_TOP
 from runway.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_VERTICES = 1_000_000   # (id, rank) rows: tens of MB at most
-
 
 def weighted_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, w): edge multiplicity divided by the source's out-degree."""
@@ -40,13 +38,11 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = PAGERANK_RESE
     ensure_checkpoint_dir(spark)
     ids = vertices.select("id").distinct().checkpoint()
     n_vertices = ids.count()
-    small = n_vertices <= MAX_BROADCAST_VERTICES
     weights = weighted_edges(ids, edges).checkpoint()
 
     ranks = ids.select("id", F.lit(1.0).alias("pagerank"))
     for _ in range(iterations):
-        side = F.broadcast(ranks) if small else ranks
-        contrib = (weights.join(side, weights["src"] == side["id"])
+        contrib = (weights.join(ranks, weights["src"] == ranks["id"])
                           .groupBy("dst").agg(F.sum(F.col("pagerank") * F.col("w")).alias("_in")))
         ranks = (ids.join(contrib, ids["id"] == contrib["dst"], "left")
                     .select("id", (F.lit(reset) + F.lit(1.0 - reset)

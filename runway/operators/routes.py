@@ -54,6 +54,13 @@ def delay_means(edges: DataFrame, code: str, keys: list[str]) -> DataFrame:
                                      .orderBy(F.desc("avg_delay"), *keys))
 
 
+def range_cuts(df: DataFrame, key: str, buckets: int) -> list[float]:
+    """Borders of ``buckets`` ranges of about equal size: quantiles whose rank error is a quarter
+    of a range's share at most, however many ranges there are."""
+    probs = [i / buckets for i in range(1, buckets)]
+    return sorted(set(df.approxQuantile(key, probs, 1 / (4 * buckets)))) if probs else []
+
+
 def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
                    trip: str = "tripId", min_delay: float = MOTIF_MIN_DELAY,
                    min_gap: int = MOTIF_MIN_TRIP_GAP, buckets: int | None = None) -> DataFrame:
@@ -104,9 +111,7 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
     ensure_checkpoint_dir(edges.sparkSession)
     collapsed = collapsed.checkpoint()
 
-    # Range cuts at quantiles of both sides' keys (a sketch; `buckets` values on the driver).
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(collapsed.approxQuantile("_key", probs, 0.001))) if probs else []
+    cuts = range_cuts(collapsed, "_key", buckets)
     bucketizer = (Bucketizer(splits=[float("-inf"), *cuts, float("inf")],
                              inputCol="_keyd", outputCol="_bd") if cuts else None)
 

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 from runway.functions.text import call_sign, city_key
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
 
 def hub_table(spark: SparkSession, hubs: dict[str, str]) -> DataFrame:
     """The fixed hub -> station-name table as a DataFrame."""
@@ -71,7 +69,7 @@ def airport_rules(codes: DataFrame, stations: DataFrame, hubs: DataFrame) -> Dat
     """
     missing = missing_call_signs(codes.select("code"), stations).select(
         "code", F.lit(True).alias("_missing"))
-    base = (codes.join(F.broadcast(hubs), "code", "left")
+    base = (codes.join(hubs, "code", "left")
                  .join(missing, "code", "left"))
     is_hub = F.col("hub_name").isNotNull()
     is_missing = F.col("_missing").isNotNull()
@@ -97,17 +95,16 @@ def _substrings(text: Column, lengths: list[int]) -> Column:
     return F.array_distinct(F.concat(*parts)) if parts else empty
 
 
-def match_stations(stations: DataFrame, rules: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def match_stations(stations: DataFrame, rules: DataFrame) -> DataFrame:
     """(NAME, CALL_SIGN, code) for every station an airport's rule selects.
 
-    ``stations`` holds distinct (NAME, CALL_SIGN).  A station can serve several
+    ``rules`` is read twice: pass a written table.  ``stations`` holds distinct (NAME, CALL_SIGN).  A station can serve several
     airports and an airport several stations, as with the reference's filters.
     """
     rules = rules.where(F.col("needle").isNotNull())
-    # one small planning job: per tested field, the rule count and the needle lengths
+    # one small planning job: the needle lengths of each tested field
     plan = {r["field"]: r for r in rules.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n"), F.collect_set(F.length("needle")).alias("lens")).collect()}
+        F.collect_set(F.length("needle")).alias("lens")).collect()}
     out = None
     for field in ("NAME", "CALL_SIGN"):
         if field not in plan:
@@ -116,8 +113,7 @@ def match_stations(stations: DataFrame, rules: DataFrame,
         lengths = sorted(plan[field]["lens"])
         probes = stations.select("NAME", "CALL_SIGN",
                                  F.explode(_substrings(F.col(field), lengths)).alias("_sub"))
-        side = F.broadcast(subset) if plan[field]["n"] <= max_broadcast_rows else subset
-        hit = probes.join(side, probes["_sub"] == side["needle"]).select("NAME", "CALL_SIGN", "code")
+        hit = probes.join(subset, probes["_sub"] == subset["needle"]).select("NAME", "CALL_SIGN", "code")
         out = hit if out is None else out.unionByName(hit)
     if out is None:
         spark = stations.sparkSession

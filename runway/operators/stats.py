@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 
 from runway.functions.schema import columns_of_type
 from runway.functions.text import delay_label
+from runway.session import default_parallelism
+from runway.sources.sinks import materialise
 
 
 def carrier_stats(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
                   delay: str = "DEP_DELAY_NEW") -> DataFrame:
     """min, max, count and mean delay per carrier (NULL delays ignored, NULL carrier
     dropped), sorted by count ascending."""
+    return _per_carrier(df, carrier, delay).orderBy("n_delay", "carrier")
+
+
+def _per_carrier(df: DataFrame, carrier: str, delay: str) -> DataFrame:
     return (df.where(F.col(carrier).isNotNull())
               .groupBy(F.col(carrier).alias("carrier"))
               .agg(F.min(delay).alias("min_delay"), F.max(delay).alias("max_delay"),
-                   F.count(delay).alias("n_delay"), F.avg(delay).alias("mean_delay"))
-              .orderBy("n_delay", "carrier"))
+                   F.count(delay).alias("n_delay"), F.avg(delay).alias("mean_delay")))
 
 
 def carrier_share(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
@@ -33,7 +38,7 @@ def carrier_share(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
     Counts are the per-carrier non-NULL delay counts (the pie sizes); the total
     is a window over the already aggregated rows (one per carrier).
     """
-    counts = carrier_stats(df, carrier, delay).select("carrier", "n_delay")
+    counts = _per_carrier(df, carrier, delay).select("carrier", "n_delay")
     pct = F.col("n_delay") * 100.0 / F.sum("n_delay").over(Window.partitionBy())
     return counts.select("carrier", "n_delay", pct.alias("share_pct"),
                          F.bround(pct, 0).alias("share_label"))
@@ -42,7 +47,7 @@ def carrier_share(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
 def carrier_mean_clipped(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
                          delay: str = "DEP_DELAY_NEW") -> DataFrame:
     """Mean delay per carrier clipped at zero, and its whole-minute label value."""
-    means = carrier_stats(df, carrier, delay).select("carrier", "mean_delay")
+    means = _per_carrier(df, carrier, delay).select("carrier", "mean_delay")
     clipped = F.greatest(F.col("mean_delay"), F.lit(0.0))
     return means.select("carrier", clipped.alias("mean_clipped"),
                         F.bround(clipped, 0).alias("mean_label"))
@@ -58,10 +63,33 @@ def delay_histogram(df: DataFrame, width: float = 15.0, carrier: str = "OP_UNIQU
 
 
 def delay_quantiles(df: DataFrame, probs=(0.25, 0.5, 0.75), carrier: str = "OP_UNIQUE_CARRIER",
-                    delay: str = "DEP_DELAY_NEW", accuracy: int = 10000) -> DataFrame:
-    """Approximate quantiles of delay per carrier (mergeable sketches, no sort)."""
-    return (df.groupBy(F.col(carrier).alias("carrier"))
-              .agg(F.percentile_approx(delay, list(probs), accuracy).alias("quantiles")))
+                    delay: str = "DEP_DELAY_NEW") -> DataFrame:
+    """Exact quantiles of delay per carrier (interpolated), one column q25, q50, ... each.
+
+    Delays are counted per (carrier, value) first, so the quantiles are taken over
+    the distinct values of a carrier with their frequencies.
+    """
+    counts = (df.where(F.col(delay).isNotNull()).groupBy(F.col(carrier).alias("carrier"), F.col(delay).alias("v"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    return counts.groupBy("carrier").agg(*[F.percentile("v", p, F.col("n")).alias(f"q{round(p * 100)}") for p in probs])
+
+
+def numbered_distinct(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-NULL values of a column with their place in sorted order (from 1).
+
+    The values are split into ranges, counted per range and numbered within
+    ranges, so no task sees them all.
+    """
+    spark = df.sparkSession
+    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
+    ranged = values.repartitionByRange(default_parallelism(spark), "value").withColumn("range", F.spark_partition_id())
+    ranged = materialise(spark, ranged, "distinct")       # the ranges stay as they are for both uses
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    totals = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    starts = totals.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    within = Window.partitionBy("range").orderBy("value")
+    return (ranged.withColumn("r", F.row_number().over(within)).join(F.broadcast(starts), "range")
+                  .select("value", (F.col("first") + F.col("r")).alias("place")))
 
 
 def delay_labels(df: DataFrame, delay: str = "DEP_DELAY_NEW",

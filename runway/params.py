@@ -137,9 +137,3 @@ class JobParams:
     @property
     def call_sign(self) -> str:
         return CALL_SIGN_PREFIX + self.airport
-
-    def span_hours(self) -> int:
-        """Upper bound on distinct hours in the weather span (sizes the hourly table)."""
-        lo = _dt.date.fromisoformat(self.train_start)
-        hi = _dt.date.fromisoformat(self.inference_date)
-        return max((hi - lo).days + 1, 0) * 24

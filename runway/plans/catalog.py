@@ -5,8 +5,9 @@ stand-in views in ``runway.sources.standins`` and runs the library's operator
 on them.  Parameters that select an airport or a span are the job's own
 parameters (the reference's widgets), not row caps.
 
-Every double in an output is rounded to 6 places (after snapping to 9 decimals),
-as the SQL oracle does, so summation order cannot make equal results look different.
+Results are what the library returns.  Only columns that are sums or means of
+doubles, whose last bits depend on the order of summation, are rounded (see
+``query``), so that two engines can be compared; nothing else is touched.
 """
 
 from __future__ import annotations
@@ -27,37 +28,33 @@ from runway.session import shared_path
 # Stand-in parameters: the airport and span the driver queries use.
 AIRPORT = "NATION_3"
 OTHER_AIRPORT = "NATION_7"
-PARAMS = JobParams(airport=AIRPORT, train_start="2024-01-01", train_end="2024-01-30")
+# stand-in hubs, so that the hub, city and call-sign rules of station matching all apply
+HUBS = {"NATION_5": "PORT 5 AIRPORT", "NATION_21": "PORT 21 AIRPORT"}
+PARAMS = JobParams(airport=AIRPORT, train_start="2024-01-01", train_end="2024-01-30", hubs=HUBS)
 TIE = ("LEG_ID",)
 SPAN_LO, SPAN_HI = "2024-01-10", "2024-01-20"
+HOURLY = ("avg_temp_f", "tot_precip_mm", "avg_wnd_mps", "avg_vis_m", "avg_slp_hpa", "avg_dewpt_f")
+WEATHER_MEANS = tuple(f"{side}_{c}" for side in ("dep", "arr") for c in HOURLY)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles to ``digits`` places after snapping them to 9 decimals.
-
-    Two engines summing in different orders differ in the last bits; through a
-    DECIMAL(38, 9) both round the same decimal value, so a mean such as
-    x.xxxxxx5 does not fall on different sides of the rounding tie.
-    """
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            snapped = F.round(F.col(f.name).try_cast("decimal(38,9)"), digits).cast(f.dataType)
-            cols.append(snapped.alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(cols)
+def settled(df: DataFrame, columns: tuple[str, ...], digits: int = 6) -> DataFrame:
+    """Round the named sums and means: to 9 places first, so that noise in the last bits
+    does not decide a tie, then to ``digits``.  NaN, infinities and large values stay."""
+    return df.withColumns({c: F.round(F.round(c, 9), digits) for c in columns})
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(spark, sf_dir))
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
-    return run
+def query(fn: Callable[[SparkSession, str], DataFrame] | None = None, *, sums: tuple[str, ...] = ()):
+    """Register a query; ``sums`` names its columns that depend on the order of summation."""
+    def register(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = fn(spark, sf_dir)
+            return settled(df, sums) if sums else df
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[fn.__name__] = run
+        return run
+    return register if fn is None else register(fn)
 
 
 def _legs(spark, d):
@@ -302,13 +299,13 @@ def decode_packed(spark, d):
         "STATION", "DATE", "temp_f", "wnd_mps", "vis_m", "dew_pt_f", "slp_hpa", "precip_mm")
 
 
-@query
+@query(sums=HOURLY)
 def hourly_obs(spark, d):
     """Hourly means and precipitation sum of routine reports."""
     return weather.hourly(_observations(spark, d))
 
 
-@query
+@query(sums=tuple(f"dep_{c}" for c in HOURLY))
 def prefix_columns(spark, d):
     """Hourly series with every column prefixed (J-6)."""
     return schema.prefix_columns(weather.hourly(_observations(spark, d)), "dep_")
@@ -344,17 +341,12 @@ def missing_call_sign(spark, d):
     return stations.missing_call_signs(codes, _stations(spark, d))
 
 
-def _rules(spark, d, legs):
-    codes = features.other_end_codes(legs, AIRPORT).join(stations.city_lookup(legs), "code", "left")
-    return stations.airport_rules(codes, _stations(spark, d), stations.hub_table(spark, PARAMS.hubs))
-
-
 @query
 def station_match(spark, d):
     """Stations assigned to every other-end airport by hub / city / call-sign rule."""
     legs = _prepared(spark, d, prior=False)
     keys = _observations(spark, d).select("NAME", "CALL_SIGN").distinct()
-    return stations.match_stations(keys, _rules(spark, d, legs))
+    return stations.match_stations(keys, features.other_end_rules(legs, _stations(spark, d), PARAMS))
 
 
 # --- features -----------------------------------------------------------------------
@@ -363,18 +355,18 @@ def _sides(spark, d, legs):
     return features.weather_sides(legs, _reports(spark, d), _stations(spark, d), PARAMS)
 
 
-@query
+@query(sums=tuple(f"dep_{c}" for c in HOURLY))
 def local_weather(spark, d):
     """Departures left-joined to the airport's hourly weather at dep_time."""
     legs = _prepared(spark, d, prior=False, cut_lineage=False)
     local = features.local_hourly(features.weather_partials(_reports(spark, d), PARAMS), PARAMS)
     dep = predicates.contains(legs, "ORIGIN", AIRPORT)
-    side = features.local_side(local, "dep_", PARAMS)     # broadcast only under the span's hour bound
+    side = schema.prefix_columns(local, "dep_")
     return dep.join(side, "dep_time", "left").select(
         "LEG_ID", "dep_time", *[c for c in side.columns if c != "dep_time"])
 
 
-@query
+@query(sums=tuple(f"arr_{c}" for c in HOURLY))
 def remote_weather(spark, d):
     """Departures left-joined to hourly weather at their destination."""
     legs = _prepared(spark, d, prior=False)
@@ -385,15 +377,23 @@ def remote_weather(spark, d):
         "LEG_ID", "DEST", "arr_time", *[c for c in remote.columns if c not in ("DEST", "arr_time")])
 
 
-@query
+def _departure_table(spark, d):
+    return features.feature_tables(_legs(spark, d), _reports(spark, d), _stations(spark, d), PARAMS, tie_breakers=TIE)[0]
+
+
+@query(sums=WEATHER_MEANS)
 def final_features(spark, d):
     """Departure feature table of the airport: 51 columns (J-3, flagship)."""
-    dep, _ = features.feature_tables(_legs(spark, d), _reports(spark, d), _stations(spark, d),
-                                     PARAMS, tie_breakers=TIE)
-    return dep
+    return _departure_table(spark, d)
 
 
-@query
+@query(sums=WEATHER_MEANS)
+def arrival_features(spark, d):
+    """Arrival feature table of the airport: 51 columns (J-3)."""
+    return features.feature_tables(_legs(spark, d), _reports(spark, d), _stations(spark, d), PARAMS, tie_breakers=TIE)[1]
+
+
+@query(sums=WEATHER_MEANS)
 def union_features(spark, d):
     """Departures and arrivals with weather, in one table."""
     dep, arr = features.feature_tables(_legs(spark, d), _reports(spark, d), _stations(spark, d),
@@ -407,6 +407,12 @@ def _edges(spark, d, delay="DEP_DELAY", attrs=None, dest_side=True):
     return routes.route_edges(_legs(spark, d), delay=delay, attrs=attrs, dest_side=dest_side)
 
 
+def _prepared_edges(spark, d, delay, attrs, dest_side=True):
+    """Edges of the prepared legs: inside the span, neither cancelled nor diverted."""
+    legs = _prepared(spark, d, prior=False, cut_lineage=False)
+    return routes.route_edges(legs, delay=delay, attrs=attrs, dest_side=dest_side)
+
+
 @query
 def route_vertices(spark, d):
     """Airport vertices: distinct origins (G1)."""
@@ -440,37 +446,36 @@ def delays_by_carrier(spark, d):
 
 @query
 def delays_into_by_carrier(spark, d):
-    """Delayed arrivals into the airport per carrier (A4 on the arrival edges)."""
-    e = _edges(spark, d, delay="ARR_DELAY_NEW", attrs={"operator": "OP_UNIQUE_CARRIER"}, dest_side=False)
+    """Delayed arrivals of the prepared arrival legs per carrier (A4 on the arrival edges)."""
+    e = _prepared_edges(spark, d, "ARR_DELAY_NEW", {"operator": "OP_UNIQUE_CARRIER"}, dest_side=False)
     return routes.delay_counts(e, AIRPORT, ["operator"], outbound=False)
 
 
 @query
 def delays_by_weekday_dst(spark, d):
-    """Delayed departures per weekday and destination (A5)."""
-    e = _edges(spark, d, delay="DEP_DELAY_NEW", attrs={"day_of_week": "DAY_OF_WEEK"})
+    """Delayed departures of the prepared legs per weekday and destination (A5)."""
+    e = _prepared_edges(spark, d, "DEP_DELAY_NEW", {"day_of_week": "DAY_OF_WEEK"})
     return routes.delay_counts(e, AIRPORT, ["day_of_week", "dst"])
 
 
 @query
 def delays_by_weekday_src(spark, d):
-    """Delayed arrivals per weekday and origin (A5)."""
-    e = _edges(spark, d, delay="ARR_DELAY_NEW", attrs={"day_of_week": "DAY_OF_WEEK"})
+    """Delayed arrivals of the prepared legs per weekday and origin (A5)."""
+    e = _prepared_edges(spark, d, "ARR_DELAY_NEW", {"day_of_week": "DAY_OF_WEEK"}, dest_side=False)
     return routes.delay_counts(e, AIRPORT, ["day_of_week", "src"], outbound=False)
 
 
-@query
+@query(sums=("avg_delay",))
 def mean_delay_by_dst(spark, d):
     """Mean delay of delayed departures per (origin, destination state, destination)."""
     return routes.delay_means(_edges(spark, d, attrs={"tripId": "ORIGIN_AIRPORT_SEQ_ID"}), AIRPORT,
                               ["src", "state_dst", "dst"])
 
 
-@query
+@query(sums=("avg_delay",))
 def mean_delay_by_path(spark, d):
-    """Mean delay of delayed departures per route."""
-    legs = _legs(spark, d).withColumn("FL_PATH", text.concat_key("ORIGIN", "DEST", sep="-"))
-    e = routes.route_edges(legs, delay="DEP_DELAY_NEW", attrs={"path": "FL_PATH"})
+    """Mean delay of delayed departures of the prepared legs per route."""
+    e = _prepared_edges(spark, d, "DEP_DELAY_NEW", {"path": "FL_PATH"})
     return routes.delay_means(e, AIRPORT, ["path"])
 
 
@@ -482,7 +487,7 @@ def two_hop_motif(spark, d):
     return routes.two_hop_counts(e, routes.route_vertices(legs), AIRPORT, OTHER_AIRPORT)
 
 
-@query
+@query(sums=("pagerank",))
 def pagerank_top50(spark, d):
     """PageRank of airports (reset 0.15, 5 rounds), top 50."""
     legs = _legs(spark, d)
@@ -494,10 +499,11 @@ def pagerank_top50(spark, d):
 
 @query
 def collect_distinct(spark, d):
-    """Distinct destinations collected into one sorted, comma-joined list, with its size (A2)."""
-    return _legs(spark, d).agg(
-        F.array_join(F.array_sort(F.collect_set("DEST")), ",").alias("dests"),
-        F.size(F.collect_set("DEST")).alias("n_dests"))
+    """Distinct destinations in order, one row each with its place (A2, T4).
+
+    The list stays a table: it is never gathered into one row.
+    """
+    return stats.numbered_distinct(_legs(spark, d), "DEST")
 
 
 @query
@@ -507,7 +513,7 @@ def distinct_pairs(spark, d):
     return legs.select("DEST", text.comma_part("DEST_CITY_NAME", 0).alias("DEST_CITY")).distinct()
 
 
-@query
+@query(sums=("mean_delay",))
 def carrier_stats(spark, d):
     """min / max / count / mean departure delay per carrier, by count."""
     return stats.carrier_stats(_departures(spark, d))
@@ -519,7 +525,7 @@ def carrier_share(spark, d):
     return stats.carrier_share(_departures(spark, d))
 
 
-@query
+@query(sums=("mean_clipped",))
 def carrier_mean_clipped(spark, d):
     """Mean departure delay per carrier clipped at zero."""
     return stats.carrier_mean_clipped(_departures(spark, d))
@@ -532,16 +538,22 @@ def delay_distribution(spark, d):
     return stats.delay_histogram(dep)
 
 
-@query
+@query(sums=("q25", "q50", "q75"))
+def delay_quantiles(spark, d):
+    """Exact quartiles of departure delay per carrier."""
+    return stats.delay_quantiles(_departures(spark, d))
+
+
+@query(sums=WEATHER_MEANS)
 def select_by_type(spark, d):
-    """The double-typed columns of the flight table (J-7)."""
-    return schema.select_by_type(_legs(spark, d), T.DoubleType)
+    """The double-typed columns of the departure feature table (J-7)."""
+    return schema.select_by_type(_departure_table(spark, d), T.DoubleType)
 
 
-@query
+@query(sums=("corr",))
 def corr_matrix(spark, d):
-    """Pairwise Pearson correlation of the flight table's double columns."""
-    return stats.pearson_pairs(_legs(spark, d))
+    """Pairwise Pearson correlation of the departure feature table's double columns."""
+    return stats.pearson_pairs(_departure_table(spark, d))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

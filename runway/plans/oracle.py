@@ -11,13 +11,15 @@ plain SQL.  Spark and DuckDB differ in a few places, handled here:
 * ``'... 24:00'`` casts to the next day in DuckDB; ``try_strptime`` gives NULL as
   Spark's ``try_cast`` does.
 * DuckDB sorts NULLs last by default; windows spell out ``NULLS FIRST``.
-* Every double output is rounded to 6 places after snapping to 9 decimals,
-  like the Spark side (``_snapped``).
+* Sums and means of doubles are rounded to 9 and then 6 places on both sides,
+  since their last bits depend on the order of summation (``_mean``).
 """
 
 from __future__ import annotations
 
-from runway.params import HUB_STATION_NAMES
+from runway.params import FLIGHT_COLUMNS as FLIGHT_NAMES
+from runway.params import WEATHER_COLUMNS
+from runway.plans.catalog import HUBS
 
 AIRPORT = "NATION_3"
 OTHER_AIRPORT = "NATION_7"
@@ -145,8 +147,7 @@ reports AS (
 ),
 stations AS (SELECT DISTINCT STATION, CALL_SIGN FROM reports)"""
 
-REPORT_COLUMNS = ("STATION, \"DATE\", LATITUDE, LONGITUDE, NAME, REPORT_TYPE, CALL_SIGN, TMP, WND, CIG, "
-                  "VIS, DEW, SLP, AA1, AJ1, AT1, GA1, IA1, MA1, MD1, OC1, REM")
+REPORT_COLUMNS = ", ".join(f'"{c}"' for c in WEATHER_COLUMNS)
 
 
 def _norm(source: str, name: str = "norm") -> str:
@@ -188,21 +189,9 @@ def _norm(source: str, name: str = "norm") -> str:
 )"""
 
 
-FLIGHT_COLUMN_NAMES = [
-    '"YEAR"', '"QUARTER"', '"MONTH"', "DAY_OF_MONTH", "DAY_OF_WEEK", "FL_DATE", "FL_PATH",
-    "OP_UNIQUE_CARRIER", "TAIL_NUM", "OP_CARRIER_FL_NUM", "ORIGIN", "ORIGIN_CITY_NAME",
-    "ORIGIN_STATE_ABR", "DEST", "DEST_CITY_NAME", "DEST_STATE_ABR", "CRS_DEP_TIME",
-    "CRS_DEP_TIME_HOUR", "DEP_TIME_HOUR", "DEP_DELAY_NEW", "DEP_TIME_BLK", "CRS_ARR_TIME",
-    "CRS_ARR_TIME_HOUR", "ARR_TIME_HOUR", "ARR_DELAY_NEW", "ARR_TIME_BLK", "DISTANCE",
-    "DISTANCE_GROUP", "DEP_DEL15", "ARR_DEL15", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID",
-    "CRS_DEP_TIMESTAMP", "CRS_ARR_TIMESTAMP", "PR_ARR_DEL15",
-]
-
-
 def _flight_select(alias: str = "") -> str:
     pre = f"{alias}." if alias else ""
-    return ", ".join(f"round({pre}DISTANCE, 6) AS DISTANCE" if c == "DISTANCE" else f"{pre}{c}"
-                     for c in FLIGHT_COLUMN_NAMES)
+    return ", ".join(f'{pre}"{c}"' for c in FLIGHT_NAMES)
 
 
 FLIGHT_COLUMNS = _flight_select()
@@ -246,11 +235,16 @@ def _decoded(source: str) -> str:
     FROM {source}"""
 
 
-HOURLY_AGGS = ("round(avg(temp_f), 6) AS avg_temp_f, round(sum(precip_mm), 6) AS tot_precip_mm, "
-               "round(avg(wnd_mps), 6) AS avg_wnd_mps, round(avg(vis_m), 6) AS avg_vis_m, "
-               "round(avg(slp_hpa), 6) AS avg_slp_hpa, round(avg(dew_pt_f), 6) AS avg_dewpt_f")
+def _mean(expr: str, alias: str) -> str:
+    """A sum or mean of doubles as both engines compare it."""
+    return f"round(round({expr}, 9), 6) AS {alias}"
+
 
-_hubs = ", ".join(f"('{code}', '{name}')" for code, name in sorted(HUB_STATION_NAMES.items()))
+HOURLY_AGGS = ", ".join([_mean("avg(temp_f)", "avg_temp_f"), _mean("sum(precip_mm)", "tot_precip_mm"),
+                         _mean("avg(wnd_mps)", "avg_wnd_mps"), _mean("avg(vis_m)", "avg_vis_m"),
+                         _mean("avg(slp_hpa)", "avg_slp_hpa"), _mean("avg(dew_pt_f)", "avg_dewpt_f")])
+
+_hubs = ", ".join(f"('{code}', '{name}')" for code, name in sorted(HUBS.items()))
 
 WEATHER_SIDES = f"""
 dec AS ({_decoded("obs WHERE REPORT_TYPE = 'FM-15'")}),
@@ -319,21 +313,8 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-def _r(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
-
-
-LEG_DOUBLES = ["DEP_DELAY", "DEP_DELAY_NEW", "DEP_DEL15", "ARR_DELAY", "ARR_DELAY_NEW", "ARR_DEL15",
-               "CANCELLED", "DIVERTED", "CRS_ELAPSED_TIME", "DISTANCE"]
-
-SCAN_FLIGHTS_COLS = ("\"YEAR\", \"QUARTER\", \"MONTH\", DAY_OF_MONTH, DAY_OF_WEEK, FL_DATE, OP_UNIQUE_CARRIER, "
-                     "OP_CARRIER, TAIL_NUM, OP_CARRIER_FL_NUM, ORIGIN, ORIGIN_CITY_NAME, ORIGIN_STATE_ABR, DEST, "
-                     "DEST_CITY_NAME, DEST_STATE_ABR, ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, ORIGIN_AIRPORT_SEQ_ID, "
-                     "CRS_DEP_TIME, DEP_TIME_BLK, round(DEP_DELAY, 6) AS DEP_DELAY, round(DEP_DELAY_NEW, 6) AS DEP_DELAY_NEW, "
-                     "DEP_DEL15, CRS_ARR_TIME, ARR_TIME_BLK, round(ARR_DELAY, 6) AS ARR_DELAY, "
-                     "round(ARR_DELAY_NEW, 6) AS ARR_DELAY_NEW, ARR_DEL15, CANCELLED, DIVERTED, "
-                     "round(CRS_ELAPSED_TIME, 6) AS CRS_ELAPSED_TIME, round(DISTANCE, 6) AS DISTANCE, "
-                     "DISTANCE_GROUP, LEG_ID")
+FEATURE_DOUBLES = ["DEP_DELAY_NEW", "ARR_DELAY_NEW", "DISTANCE",
+                   *(f"dep_{c}" for c in HOURLY), *(f"arr_{c}" for c in HOURLY)]
 
 
 def _pagerank_sql() -> str:
@@ -355,71 +336,37 @@ pairs AS (SELECT src, dst, count(*) AS n FROM e GROUP BY src, dst),
 deg AS (SELECT src, sum(n) AS d FROM pairs GROUP BY src),
 w AS (SELECT p.src, p.dst, CAST(p.n AS DOUBLE) / d.d AS w FROM pairs p JOIN deg d ON p.src = d.src),
 r0 AS (SELECT id, 1.0::DOUBLE AS pr FROM v)""", *rounds) + """
-SELECT id, round(pr * (SELECT count(*) FROM v) / (SELECT sum(pr) FROM r5), 6) AS pagerank
+SELECT id, round(round(pr * (SELECT count(*) FROM v) / (SELECT sum(pr) FROM r5), 9), 6) AS pagerank
 FROM r5 ORDER BY pagerank DESC, id LIMIT 50"""
 
 
-def _corr_sql() -> str:
+def _corr_sql(sides: str) -> str:
     parts = []
-    for i, a in enumerate(LEG_DOUBLES):
-        for b in LEG_DOUBLES[i:]:
+    for i, a in enumerate(FEATURE_DOUBLES):
+        for b in FEATURE_DOUBLES[i:]:
             both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
             x = f"CASE WHEN {both} THEN {a} END"
             y = f"CASE WHEN {both} THEN {b} END"
             r = (f"CASE WHEN stddev_pop({x}) * stddev_pop({y}) = 0 THEN NULL "
                  f"ELSE covar_pop({x}, {y}) / (stddev_pop({x}) * stddev_pop({y})) END")
-            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({r}, 6) AS corr FROM legs")
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {_mean(r, 'corr')} FROM feat")
             if a != b:
-                parts.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, round({r}, 6) AS corr FROM legs")
-    return _with(LEGS_RAW) + "\n" + "\nUNION ALL ".join(parts)
+                parts.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, {_mean(r, 'corr')} FROM feat")
+    return f"{sides},\nfeat AS MATERIALIZED ({_features_select('dep')})\n" + "\nUNION ALL ".join(parts)
 
 
 def _stats_base() -> str:
     return _with(LEGS_RAW, PREPARED, f"dep AS (SELECT * FROM fl WHERE contains(ORIGIN, '{AIRPORT}'))")
 
 
-def _snapped(sql: str) -> str:
-    """Rewrite every ``round(x, 6)`` as rounding of ``x`` snapped to 9 decimals.
-
-    Summation order leaves last-bit differences between engines; through a
-    DECIMAL(38, 9) both sides round the same decimal value (as ``catalog.rounded``).
-    """
-    out, i = [], 0
-    while True:
-        j = sql.find("round(", i)
-        while j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
-            j = sql.find("round(", j + 1)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        k, depth, cut = j + len("round("), 1, None
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                cut = k
-            k += 1
-        inner_start = j + len("round(")
-        if cut is not None and sql[cut + 1:k - 1].strip() == "6":
-            expr = _snapped(sql[inner_start:cut])
-            out.append(sql[i:j])
-            out.append(f"CAST(round(TRY_CAST({expr} AS DECIMAL(38, 9)), 6) AS DOUBLE)")
-        else:
-            out.append(sql[i:j] + "round(" + _snapped(sql[inner_start:k]))
-        i = k
-
-
 def oracle_sql() -> dict[str, str]:
     legs = _with(LEGS_RAW)
     reps = _with(REPORTS_RAW)
     out: dict[str, str] = {}
 
-    out["scan_flights"] = legs + f"\nSELECT {SCAN_FLIGHTS_COLS} FROM legs"
+    out["scan_flights"] = legs + "\nSELECT * FROM legs"
     out["scan_weather_pred"] = reps + f"""
-SELECT {REPORT_COLUMNS.replace('LATITUDE, LONGITUDE', 'round(LATITUDE, 6) AS LATITUDE, round(LONGITUDE, 6) AS LONGITUDE')}
+SELECT {REPORT_COLUMNS}
 FROM reports WHERE REPORT_TYPE = 'FM-15' AND NAME LIKE '% US'"""
     out["view_sql"] = legs + """
 SELECT OP_UNIQUE_CARRIER, count(*) AS n_legs,
@@ -434,7 +381,7 @@ SELECT ORIGIN, DEST, count(*) AS n_legs,
 WHERE DEST = '{AIRPORT}' OR ORIGIN = '{AIRPORT}' GROUP BY ORIGIN, DEST"""
     out["conform_schema"] = """
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
-       round(CAST(l_quantity AS FLOAT), 6) AS l_quantity, CAST(l_returnflag AS VARCHAR) AS l_returnflag
+       CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_returnflag AS VARCHAR) AS l_returnflag
 FROM lineitem"""
 
     out["filter_either_end"] = legs + f"""
@@ -496,19 +443,19 @@ SELECT LEG_ID, string_split(ORIGIN_CITY_NAME, ',')[1] AS ORIGIN_CITY,
        string_split(DEST_CITY_NAME, ',')[1] AS DEST_CITY,
        string_split(DEST_CITY_NAME, ',')[2] AS DEST_STATE_TEXT FROM legs"""
     out["delay_label"] = legs + """
-SELECT LEG_ID, round(DEP_DELAY, 6) AS delay,
+SELECT LEG_ID, DEP_DELAY AS delay,
        CASE WHEN DEP_DELAY IS NULL THEN NULL
             ELSE printf('%2.0fh%2.0fm', floor(DEP_DELAY / 60),
                         trunc(DEP_DELAY - 60 * floor(DEP_DELAY / 60))) END AS label
 FROM legs"""
 
     out["select_weather"] = reps + f"""
-SELECT {REPORT_COLUMNS.replace('LATITUDE, LONGITUDE', 'round(LATITUDE, 6) AS LATITUDE, round(LONGITUDE, 6) AS LONGITUDE')}
+SELECT {REPORT_COLUMNS}
 FROM reports
 WHERE substring(NAME, -2, 2) = 'US' AND REPORT_TYPE LIKE '%FM-15%' AND NAME LIKE '% AIRPORT%'"""
     out["decode_packed"] = reps + f"""
-SELECT STATION, "DATE", {_r('temp_f', 'temp_f')}, {_r('wnd_mps', 'wnd_mps')}, {_r('vis_m', 'vis_m')},
-       {_r('dew_pt_f', 'dew_pt_f')}, {_r('slp_hpa', 'slp_hpa')}, {_r('precip_mm', 'precip_mm')}
+SELECT STATION, "DATE", temp_f, wnd_mps, vis_m,
+       dew_pt_f, slp_hpa, precip_mm
 FROM ({_decoded('reports')})"""
     out["hourly_obs"] = _with(REPORTS_RAW, OBS) + f"""
 SELECT time, {HOURLY_AGGS} FROM ({_decoded("obs WHERE REPORT_TYPE = 'FM-15'")}) GROUP BY time"""
@@ -546,6 +493,7 @@ SELECT f.LEG_ID, f.DEST, f.arr_time, {rw}
 FROM fl f LEFT JOIN remote_w rw ON f.DEST = rw.code AND f.arr_time = rw.time
 WHERE contains(f.ORIGIN, '{AIRPORT}')"""
     out["final_features"] = sides + _features_select("dep")
+    out["arrival_features"] = sides + _features_select("arr")
     out["union_features"] = sides + f"""
 SELECT *, 'dep' AS side FROM ({_features_select('dep')})
 UNION ALL
@@ -553,34 +501,35 @@ SELECT *, 'arr' AS side FROM ({_features_select('arr')})"""
 
     out["route_vertices"] = legs + "\nSELECT DISTINCT ORIGIN AS id FROM legs"
     out["route_edges"] = legs + """
-SELECT ORIGIN_AIRPORT_SEQ_ID AS tripId, round(DEP_DELAY, 6) AS delay, ORIGIN AS src, DEST AS dst,
+SELECT ORIGIN_AIRPORT_SEQ_ID AS tripId, DEP_DELAY AS delay, ORIGIN AS src, DEST AS dst,
        string_split(DEST_CITY_NAME, ',')[1] AS city_dst, DEST_STATE_ABR AS state_dst FROM legs"""
     out["edges_out_delayed"] = legs + f"""
-SELECT OP_CARRIER AS operator, round(DEP_DELAY, 6) AS delay, ORIGIN AS src, DEST AS dst,
+SELECT OP_CARRIER AS operator, DEP_DELAY AS delay, ORIGIN AS src, DEST AS dst,
        string_split(DEST_CITY_NAME, ',')[1] AS city_dst, DEST_STATE_ABR AS state_dst
 FROM legs WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY > 0"""
     out["edges_in_delayed"] = legs + f"""
-SELECT OP_UNIQUE_CARRIER AS operator, round(ARR_DELAY_NEW, 6) AS delay, ORIGIN AS src, DEST AS dst,
+SELECT OP_UNIQUE_CARRIER AS operator, ARR_DELAY_NEW AS delay, ORIGIN AS src, DEST AS dst,
        string_split(ORIGIN_CITY_NAME, ',')[1] AS city_org, ORIGIN_STATE_ABR AS state_org
 FROM legs WHERE DEST = '{AIRPORT}' AND ARR_DELAY_NEW > 0"""
     out["delays_by_carrier"] = legs + f"""
 SELECT OP_CARRIER AS operator, count(DEP_DELAY) AS n_delayed FROM legs
 WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY > 0 GROUP BY OP_CARRIER"""
-    out["delays_into_by_carrier"] = legs + f"""
-SELECT OP_UNIQUE_CARRIER AS operator, count(ARR_DELAY_NEW) AS n_delayed FROM legs
+    prepared = _with(LEGS_RAW, PREPARED)
+    out["delays_into_by_carrier"] = prepared + f"""
+SELECT OP_UNIQUE_CARRIER AS operator, count(ARR_DELAY_NEW) AS n_delayed FROM fl
 WHERE DEST = '{AIRPORT}' AND ARR_DELAY_NEW > 0 GROUP BY OP_UNIQUE_CARRIER"""
-    out["delays_by_weekday_dst"] = legs + f"""
-SELECT DAY_OF_WEEK AS day_of_week, DEST AS dst, count(DEP_DELAY_NEW) AS n_delayed FROM legs
+    out["delays_by_weekday_dst"] = prepared + f"""
+SELECT DAY_OF_WEEK AS day_of_week, DEST AS dst, count(DEP_DELAY_NEW) AS n_delayed FROM fl
 WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY_NEW > 0 GROUP BY DAY_OF_WEEK, DEST"""
-    out["delays_by_weekday_src"] = legs + f"""
-SELECT DAY_OF_WEEK AS day_of_week, ORIGIN AS src, count(ARR_DELAY_NEW) AS n_delayed FROM legs
+    out["delays_by_weekday_src"] = prepared + f"""
+SELECT DAY_OF_WEEK AS day_of_week, ORIGIN AS src, count(ARR_DELAY_NEW) AS n_delayed FROM fl
 WHERE DEST = '{AIRPORT}' AND ARR_DELAY_NEW > 0 GROUP BY DAY_OF_WEEK, ORIGIN"""
     out["mean_delay_by_dst"] = legs + f"""
-SELECT ORIGIN AS src, DEST_STATE_ABR AS state_dst, DEST AS dst, round(avg(DEP_DELAY), 6) AS avg_delay
+SELECT ORIGIN AS src, DEST_STATE_ABR AS state_dst, DEST AS dst, {_mean('avg(DEP_DELAY)', 'avg_delay')}
 FROM legs WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY > 0 GROUP BY ORIGIN, DEST_STATE_ABR, DEST"""
-    out["mean_delay_by_path"] = legs + f"""
-SELECT ORIGIN || '-' || DEST AS path, round(avg(DEP_DELAY_NEW), 6) AS avg_delay
-FROM legs WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY_NEW > 0 GROUP BY ORIGIN || '-' || DEST"""
+    out["mean_delay_by_path"] = prepared + f"""
+SELECT FL_PATH AS path, {_mean('avg(DEP_DELAY_NEW)', 'avg_delay')}
+FROM fl WHERE ORIGIN = '{AIRPORT}' AND DEP_DELAY_NEW > 0 GROUP BY FL_PATH"""
     out["two_hop_motif"] = legs + f""",
 v AS (SELECT DISTINCT ORIGIN AS id FROM legs),
 e AS (SELECT ORIGIN_AIRPORT_SEQ_ID AS trip, DEP_DELAY AS delay, ORIGIN AS src, DEST AS dst FROM legs)
@@ -594,28 +543,32 @@ GROUP BY ab.src"""
     out["pagerank_top50"] = _pagerank_sql()
 
     out["collect_distinct"] = legs + """
-SELECT array_to_string(list_sort(list_distinct(list(DEST))), ',') AS dests,
-       CAST(count(DISTINCT DEST) AS INTEGER) AS n_dests FROM legs"""
+SELECT DEST AS value, row_number() OVER (ORDER BY DEST) AS place FROM (SELECT DISTINCT DEST FROM legs WHERE DEST IS NOT NULL)"""
     out["distinct_pairs"] = legs + """
 SELECT DISTINCT DEST, string_split(DEST_CITY_NAME, ',')[1] AS DEST_CITY FROM legs"""
     base = _stats_base()
-    out["carrier_stats"] = base + """
-SELECT OP_UNIQUE_CARRIER AS carrier, round(min(DEP_DELAY_NEW), 6) AS min_delay,
-       round(max(DEP_DELAY_NEW), 6) AS max_delay, count(DEP_DELAY_NEW) AS n_delay,
-       round(avg(DEP_DELAY_NEW), 6) AS mean_delay
+    out["carrier_stats"] = base + f"""
+SELECT OP_UNIQUE_CARRIER AS carrier, min(DEP_DELAY_NEW) AS min_delay,
+       max(DEP_DELAY_NEW) AS max_delay, count(DEP_DELAY_NEW) AS n_delay,
+       {_mean('avg(DEP_DELAY_NEW)', 'mean_delay')}
 FROM dep WHERE OP_UNIQUE_CARRIER IS NOT NULL GROUP BY OP_UNIQUE_CARRIER"""
     out["carrier_share"] = base + """,
 c AS (SELECT OP_UNIQUE_CARRIER AS carrier, count(DEP_DELAY_NEW) AS n_delay FROM dep
       WHERE OP_UNIQUE_CARRIER IS NOT NULL GROUP BY OP_UNIQUE_CARRIER)
-SELECT carrier, n_delay, round(n_delay * 100.0::DOUBLE / sum(n_delay) OVER (), 6) AS share_pct,
+SELECT carrier, n_delay, n_delay * 100.0::DOUBLE / sum(n_delay) OVER () AS share_pct,
        round_even(n_delay * 100.0::DOUBLE / sum(n_delay) OVER (), 0) AS share_label FROM c"""
-    out["carrier_mean_clipped"] = base + """,
+    out["carrier_mean_clipped"] = base + f""",
 c AS (SELECT OP_UNIQUE_CARRIER AS carrier, avg(DEP_DELAY_NEW) AS m FROM dep
       WHERE OP_UNIQUE_CARRIER IS NOT NULL GROUP BY OP_UNIQUE_CARRIER)
-SELECT carrier, round(greatest(m, 0.0::DOUBLE), 6) AS mean_clipped, round_even(greatest(m, 0.0::DOUBLE), 0) AS mean_label FROM c"""
+SELECT carrier, {_mean('greatest(m, 0.0::DOUBLE)', 'mean_clipped')}, round_even(greatest(m, 0.0::DOUBLE), 0) AS mean_label FROM c"""
     out["delay_distribution"] = base + """
 SELECT OP_UNIQUE_CARRIER AS carrier, floor(DEP_DELAY_NEW / 15.0) * 15.0 AS bin_lo, count(*) AS n
 FROM dep WHERE DEP_DELAY_NEW IS NOT NULL GROUP BY OP_UNIQUE_CARRIER, floor(DEP_DELAY_NEW / 15.0) * 15.0"""
-    out["select_by_type"] = legs + "\nSELECT " + ", ".join(_r(c, c) for c in LEG_DOUBLES) + " FROM legs"
-    out["corr_matrix"] = _corr_sql()
-    return {k: _snapped(v) for k, v in out.items()}
+    out["delay_quantiles"] = base + """
+SELECT OP_UNIQUE_CARRIER AS carrier, round(round(quantile_cont(DEP_DELAY_NEW, 0.25), 9), 6) AS q25,
+       round(round(quantile_cont(DEP_DELAY_NEW, 0.5), 9), 6) AS q50,
+       round(round(quantile_cont(DEP_DELAY_NEW, 0.75), 9), 6) AS q75
+FROM dep WHERE DEP_DELAY_NEW IS NOT NULL GROUP BY OP_UNIQUE_CARRIER"""
+    out["select_by_type"] = sides + f"SELECT {', '.join(FEATURE_DOUBLES)} FROM ({_features_select('dep')})"
+    out["corr_matrix"] = _corr_sql(sides)
+    return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,10 +49,16 @@ def build_session(master: str | None = None, app: str = "runway",
     return spark
 
 
+def private_folder_allowed(master: str) -> bool:
+    """Whether a machine-local folder can serve as the shared one: only when all runs in one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder created.
+    Only a local session that names none (tests) gets a private folder; on a
+    cluster each executor would write to its own disk, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,15 +66,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not private_folder_allowed(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="runway-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+_written: list[str] = []      # intermediate tables of this process, oldest first
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
+    """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/runway-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/runway-{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside the block at its end, also on failure.
+
+    For jobs that end with a written result; a query that returns a lazy
+    DataFrame still needs its tables.
+    """
+    before = len(_written)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _written[before:]:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+        del _written[before:]
 
 
 def default_parallelism(spark: SparkSession) -> int:

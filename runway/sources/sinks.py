@@ -11,10 +11,14 @@ def write_replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                   max_records_per_file: int | None = None) -> None:
     """Replace the dataset at ``path`` with ``df`` (overwrite, optionally partitioned).
 
-    Spark's overwrite commits through the output committer, so a failed task or
-    a lost executor does not leave a half-written dataset behind.  Never point
-    ``path`` at a dataset the same plan reads.
+    Rows are rebalanced by the partition columns first, so a partition is written by
+    few tasks and a large one by several.  Spark's overwrite removes the old
+    dataset before it writes, so a failed job leaves none: it is committed
+    whole or not at all, but the old rows are gone.  Never point ``path`` at a
+    dataset the same plan reads.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -18,21 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least ``min_partitions`` tasks (default: the cluster's parallelism).
-
-    A file written as one Parquet row group is one scan task, however many cores
-    wait; heavy per-row work above it would then run on one core.  Large tables
-    already split into many more tasks than cores, and are returned unchanged.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
     """Register frames as temporary views so the same plan can be written in SQL."""
     for name, df in frames.items():

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -58,21 +59,35 @@ def _random_legs(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "k string, t timestamp_ntz, tie string, v string")
 
 
-def test_lag_by_chunked_equals_plain_window(spark):
-    df = _random_legs(spark)
-    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "tie")))
-    chunked = flights.lag_by(df, "v", "k", ["t", "tie"], "p", hot_rows=50)
-    a = sorted(tuple(r) for r in plain.select("tie", "p").collect())
-    b = sorted(tuple(r) for r in chunked.select("tie", "p").collect())
-    assert a == b
-    assert chunked.count() == df.count()
+def _same_as_plain(df, ranges, order=("t", "tie")):
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy(*order)))
+    cut = flights.lag_by(df, "v", "k", list(order), "p", ranges=ranges)
+    assert cut.columns == plain.columns
+    assert sorted(map(tuple, cut.select("tie", "p").collect()), key=str) == sorted(map(tuple, plain.select("tie", "p").collect()), key=str)
 
 
-def test_lag_by_chunks_hot_keys_only_when_large(spark):
-    df = _random_legs(spark, n=400, seed=3)
-    out = flights.lag_by(df, "v", "k", ["t", "tie"], "p", hot_rows=10_000)
-    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "tie")))
-    assert sorted(map(tuple, out.select("tie", "p").collect())) == sorted(map(tuple, plain.select("tie", "p").collect()))
+def test_lag_by_equals_plain_window(spark):
+    _same_as_plain(_random_legs(spark), 60)
+    _same_as_plain(_random_legs(spark, n=400, seed=3), 1)
+    _same_as_plain(_random_legs(spark, n=0), 4)
+
+
+def _one_key(spark, kind, n=20_000):
+    t = {"one timestamp": F.when(F.col("id") % 20 < 19, F.lit("2024-01-01 10:00:00")).otherwise(F.lit("2024-01-02 10:00:00")),
+         "no timestamp": F.lit(None)}.get(kind, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")))
+    return spark.range(n).select(
+        F.lit(None).cast("string").alias("k"), t.cast("string" if kind == "text" else "timestamp_ntz").alias("t"),
+        F.lpad(((F.col("id") * 7919) % n).cast("string"), 6, "0").alias("tie"), (F.col("id") % 3).cast("string").alias("v"))
+
+
+@pytest.mark.parametrize("kind", ["one timestamp", "no timestamp", "text"])
+def test_lag_by_ranges_of_a_hot_key_are_bounded(spark, kind, monkeypatch):
+    df, seen = _one_key(spark, kind), []
+    keep = flights.materialise
+    monkeypatch.setattr(flights, "materialise", lambda s, x, name: seen.append(keep(s, x, name)) or seen[-1])
+    _same_as_plain(df, 40)
+    largest = seen[1].groupBy("k", "_range").count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * 20_000 / 40
 
 
 def test_final_columns_list():

@@ -56,7 +56,7 @@ def test_normalise_with_split_hot_tails_equals_unsplit(spark, inputs):
     from runway.operators import flights
     legs = inputs[0]
     cols = ("LEG_ID", "PR_ARR_DEL15")
-    split = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, hot_rows=20)
-    plain = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, hot_rows=None)
+    split = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, ranges=30)
+    plain = flights.normalise_flights(legs, tie_breakers=catalog.TIE, keep=catalog.TIE, ranges=1)
     assert sorted(map(tuple, split.select(*cols).collect()), key=str) == \
         sorted(map(tuple, plain.select(*cols).collect()), key=str)

@@ -1,9 +1,13 @@
+import bisect
 import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from runway.operators import pagerank, routes, stats
+from fixtures import FLIGHT_SCHEMA, leg
+from runway.operators import features, pagerank, routes, stats
+from runway.params import JobParams
 
 
 def _brute_two_hop(edges, vertices, mid, end, min_delay=500.0, gap=10000):
@@ -120,3 +124,33 @@ def test_carrier_statistics(spark):
     assert clip == {"AA": (0.0, 0.0), "BB": (2.5, 2.0)}           # half to even, as the label format
     hist = sorted((tuple(r) for r in stats.delay_histogram(df, width=5.0).collect()), key=str)
     assert hist == sorted([("AA", -5.0, 1), ("AA", 10.0, 1), ("BB", 0.0, 1), (None, 95.0, 1)], key=str)
+
+
+def test_motif_ranges_follow_their_number(spark):
+    df = spark.range(200_000).select((F.col("id") * F.col("id") % 1_000_003).alias("k"))
+    cuts = routes.range_cuts(df, "k", 5000)
+    keys = sorted(r["k"] for r in df.collect())
+    edges = [bisect.bisect_left(keys, c) for c in cuts]
+    sizes = [b - a for a, b in zip([0, *edges], [*edges, len(keys)])]
+    assert max(sizes) <= 3 * len(keys) / 5000
+
+
+def test_quantiles_are_exact(spark):
+    df = spark.createDataFrame([("A", float(v)) for v in (0, 0, 1, 2, 10)] + [("B", None), ("C", 4.0)], "c string, d double")
+    got = {r["carrier"]: tuple(r)[1:] for r in stats.delay_quantiles(df, carrier="c", delay="d").collect()}
+    assert got == {"A": (0.0, 1.0, 2.0), "C": (4.0, 4.0, 4.0)}
+
+
+def test_numbered_distinct(spark):
+    df = spark.createDataFrame([(v,) for v in ("b", "a", None, "c", "a")], "x string")
+    assert sorted(map(tuple, stats.numbered_distinct(df, "x").collect())) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_exploration_counts_prepared_legs_only(spark):
+    legs = spark.createDataFrame([
+        leg("L1", "BOS", "JFK", "2018-01-02", 600, 700), leg("L2", "BOS", "JFK", "2018-01-02", 800, 900, diverted=1.0),
+        leg("L3", "BOS", "JFK", "2018-01-02", 800, 900, cancelled=1.0), leg("L4", "BOS", "JFK", "2018-02-02", 800, 900)], FLIGHT_SCHEMA)
+    params = JobParams(airport="JFK", train_start="2018-01-01", train_end="2018-01-10")
+    prepared = features.prepare_legs(legs, params, prior=False, cut_lineage=False)
+    edges = routes.route_edges(prepared, delay="ARR_DELAY_NEW", attrs={"operator": "OP_UNIQUE_CARRIER"}, dest_side=False)
+    assert [tuple(r) for r in routes.delay_counts(edges, "JFK", ["operator"], outbound=False).collect()] == [("AA", 1)]

@@ -1,10 +1,15 @@
 import datetime as dt
+import math
+import os
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runway.functions import schema
 from runway.operators import predicates
-from runway.session import shared_path
+from runway.plans import catalog
+from runway.session import intermediates, private_folder_allowed, shared_path
 from runway.sources.sinks import materialise, replace_and_reload
 
 
@@ -26,11 +31,13 @@ def test_conform_casts_orders_and_fills(spark):
                              T.StructField("a", schema.spark_type_for("int64")),
                              T.StructField("z", schema.spark_type_for("datetime64[ns]")),
                              T.StructField("c", schema.spark_type_for("int32"))])
-    out = schema.conform(df, declared)
+    out = schema.conform(df, declared, strict=False)
     assert out.columns == ["b", "a", "z", "c"]
     assert [f.dataType for f in out.schema.fields] == [T.FloatType(), T.LongType(), T.TimestampType(),
                                                        T.IntegerType()]
     assert tuple(out.first()) == (1.5, 7, None, None)      # 'x' -> int fails softly to NULL
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        schema.conform(df, declared).collect()
 
 
 def test_prefix_and_select_by_type(spark):
@@ -57,10 +64,33 @@ def test_replace_and_reload_overwrites(spark):
     assert sorted(r["k"] for r in m.collect()) == [1, 2]
 
 
-def test_spread_only_widens_narrow_scans(spark):
-    from runway.sources.tables import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many
-    assert sorted(r[0] for r in spread(one, 4).collect()) == list(range(100))
+def test_partitioned_write_makes_few_files(spark):
+    path = shared_path(spark, "test-files")
+    df = spark.range(4000).repartition(16).withColumn("p", (F.col("id") % 3).cast("string"))
+    assert replace_and_reload(spark, df, path, partition_by=("p",)).count() == 4000
+    files = [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 6
+
+
+def test_intermediates_are_removed_also_on_failure(spark):
+    keep = shared_path(spark, "kept")
+    paths = []
+    with pytest.raises(RuntimeError), intermediates(spark):
+        paths.append(shared_path(spark, "gone"))
+        spark.range(3).write.parquet(paths[0])
+        raise RuntimeError
+    spark.range(3).write.parquet(keep)
+    assert not os.path.exists(paths[0].removeprefix("file:")) and os.path.exists(keep.removeprefix("file:"))
+
+
+def test_only_a_local_session_may_use_a_private_folder():
+    assert private_folder_allowed("local") and private_folder_allowed("local[*]")
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        assert not private_folder_allowed(master)
+
+
+def test_compared_columns_keep_special_values(spark):
+    df = spark.sql("SELECT double('NaN') a, double('Infinity') b, 1e30D c, 1e-7D d, -double('Infinity') e")
+    kept = catalog.settled(df, ("a", "b", "c", "e")).first()
+    assert math.isnan(kept["a"]) and kept["b"] == math.inf and kept["c"] == 1e30 and kept["e"] == -math.inf
+    assert kept["d"] == 1e-7                                # not a sum: untouched
