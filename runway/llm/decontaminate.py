@@ -107,21 +107,28 @@ class ItemIndex:
         near = self.tables[m][0][prints[:, 0]].copy()
         for b in range(1, BLOCKS):
             near |= self.tables[m][b][prints[:, b]]
-        for w, i in zip(*np.nonzero(near), strict=True):
-            distance = int(_POP[prints[w] ^ self.prints[m][i]].sum())
-            if distance > RADIUS:
-                continue
+        windows, which = np.nonzero(near)
+        distance = _POP[prints[windows] ^ self.prints[m][which]].sum(axis=1)
+        close = distance <= RADIUS
+        windows, which, distance = windows[close], which[close], distance[close]
+        for i in np.unique(which):
             item, counts, _, members = items[i]
-            window = shingles[starts[w]:starts[w] + size]
-            if np.isin(window, members).sum() < SIMILARITY * m:
-                continue
-            mine = Counter(window.tolist())
-            common = sum(min(v, counts[k]) for k, v in mine.items() if k in counts)
-            similarity = common / (size + m - common)
-            if similarity >= SIMILARITY:
-                found = (similarity, -int(starts[w]), size + WORDS - 1, distance)
-                if item not in best or found[:2] > best[item][:2]:
-                    best[item] = found
+            total = np.concatenate([[0], np.cumsum(np.isin(shingles[lo:hi], members))])
+            mine = np.flatnonzero(which == i)
+            begin = starts[windows[mine]]
+            shared = total[begin - lo + size] - total[begin - lo]   # no fewer than the common count
+            for j in np.lexsort((begin, -shared)):
+                # the similarity is at most that of `shared` common shingles; later windows share no more
+                most = shared[j] / max(1, size + m - shared[j])
+                if most < SIMILARITY or (item in best and most < best[item][0]):
+                    break
+                held = Counter(shingles[begin[j]:begin[j] + size].tolist())
+                common = sum(min(v, counts[k]) for k, v in held.items() if k in counts)
+                similarity = common / (size + m - common)
+                if similarity >= SIMILARITY:
+                    found = (similarity, -int(begin[j]), size + WORDS - 1, int(distance[mine[j]]))
+                    if item not in best or found[:2] > best[item][:2]:
+                        best[item] = found
 
 
 def _finder(index: ItemIndex):
