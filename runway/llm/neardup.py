@@ -19,9 +19,9 @@ in fewer than ``MATCHES`` = 70 with probability 2e-7.
 A posting list is never expanded into its pairs.  Each text first meets only its
 best hub (the smallest id of a list, most lists in common), then the hubs and
 list neighbours that are still in another component.  What is left are the pairs
-of one list in different components; those are joined under three exact
-bounds: agreement, set sizes, and shingles that no other text of the unresolved
-lists holds (they cannot be common).  No list, pair or text is capped or dropped.
+of one list in different components; an exact prefix and position filter on their
+full shingle sets, with the agreement threshold, leaves few of them to confirm.
+No list, pair or text is capped or dropped.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runway.llm.graph import connected_components
@@ -41,6 +41,7 @@ WORDS = 5            # words of a shingle
 PERCENT = 75         # a link: 100 * intersection >= PERCENT * union
 COORDS = 128         # signature length K
 MATCHES = 70         # agreements M that make a pair a candidate
+RARE = 100           # the last step orders shingles of up to so many texts by that number
 
 _rng = np.random.default_rng(20_240_131)
 _XOR = _rng.integers(0, 1 << 32, COORDS, dtype=np.uint32)
@@ -169,42 +170,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = hubs.groupBy("b").agg(F.max_by("a", F.struct("lists", F.negate("a"))).alias("a")).select("a", "b")
     links = materialise(spark, _links(best, sigs, sets), "links")
 
-    # 2. hubs and list neighbours that are still apart
-    def labelled(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = (pairs.join(comp.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left")
-                     .withColumn(f"c_{side}", F.coalesce(f"c_{side}", side)))
-        return pairs.where("c_a != c_b").select("a", "b")
+    # 2. hubs and list neighbours that are still in another component
+    def with_component(rows: DataFrame, comp: DataFrame) -> DataFrame:
+        return (rows.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
+                .withColumn("component", F.coalesce("component", "doc")))
 
-    comp = connected_components(links)
-    chain = _neighbours(listed)
-    near = hubs.select("a", "b").unionByName(chain).distinct()
-    tried = best
-    near = labelled(near.join(tried, ["a", "b"], "left_anti"), comp)
+    apart = materialise(spark, with_component(listed.select("token", "doc", "n"), connected_components(links)), "apart")
+    first = apart.groupBy("token").agg(F.min(F.struct("doc", "component")).alias("hub"))
+    to_hub = (apart.join(first, "token").where("component != hub.component")
+              .select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")))
+    near = materialise(spark, to_hub.unionByName(_neighbours(apart)).distinct().join(best, ["a", "b"], "left_anti"), "near")
     links = materialise(spark, links.unionByName(_links(near, sigs, sets)), "links")
     comp = materialise(spark, connected_components(links), "components")
 
-    # 3. what is left: pairs of one list in different components
-    rest = (listed.select("token", "doc").join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-            .withColumn("component", F.coalesce("component", "doc")))
-    mixed = (rest.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("n > 2 and lo != hi").select("token"))
+    # 3. what is left: pairs of one list in different components (a list of two is done)
+    rest = with_component(apart.where("n > 2").select("token", "doc"), comp)
+    mixed = (rest.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo != hi").select("token"))
     rest = materialise(spark, rest.join(mixed, "token", "left_semi"), "unresolved")
-    open_docs = rest.select("doc").distinct()
-    own = _own_shingles(sets.join(open_docs, "doc", "left_semi"))
-    facts = (sigs.join(open_docs, "doc", "left_semi").join(own, "doc")
-             # the set must keep enough common shingles for the smallest possible union, its own size
-             .where(f"100 * (n_shingles - own) >= {PERCENT} * n_shingles"))
-    side = rest.join(facts, "doc").select("token", "doc", "component", "n_shingles", "own", "sig")
-    side = materialise(spark, side, "sides")
-    x, y = side.alias("x"), side.alias("y")
-    most = F.least(F.expr("x.n_shingles - x.own"), F.expr("y.n_shingles - y.own"))
-    left = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc") < F.col("y.doc"))
-                  & (F.col("x.component") != F.col("y.component"))
-                  & (100 * most >= PERCENT * (F.expr("x.n_shingles + y.n_shingles") - most))
-                  & (_agreement("x.sig", "y.sig") >= MATCHES)).select(
-        F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-    left = left.join(near, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti")
+    left = _last_pairs(sets, sigs, rest.groupBy("doc").agg(F.min("component").alias("component")))
+    left = left.join(near, ["a", "b"], "left_anti").join(best, ["a", "b"], "left_anti")
     links = materialise(spark, links.unionByName(_links(left, sigs, sets)), "links")
 
     comp = connected_components(links)
@@ -217,24 +202,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _neighbours(listed: DataFrame) -> DataFrame:
-    """Each text with the next one of its lists, in an order of each list's own.
+def _neighbours(lists: DataFrame) -> DataFrame:
+    """Each text with the next one of its lists, in an order of each list's own, where their components differ.
 
-    A list is split by a hash of (list, text) into parts of about 1,000 texts and
+    A list is split by a hash of (list, text) into parts of about 100 texts and
     only neighbours within a part are paired, so a list that many texts share is
     not sorted by one task.
     """
-    from pyspark.sql import Window
-
-    mixed = listed.withColumn("r", F.xxhash64("token", "doc"))
-    mixed = mixed.withColumn("part", F.pmod(F.col("r"), F.greatest(F.lit(1), F.expr("n div 1000"))))
+    mixed = lists.withColumn("r", F.xxhash64("token", "doc"))
+    mixed = mixed.withColumn("part", F.pmod(F.col("r"), F.greatest(F.lit(1), F.expr("n div 100"))))
     w = Window.partitionBy("token", "part").orderBy("r", "doc")
-    pairs = mixed.where("n > 2").withColumn("next", F.lead("doc").over(w)).where("next is not null")
-    return pairs.select(F.least("doc", "next").alias("a"), F.greatest("doc", "next").alias("b")).where("a < b")
+    pairs = mixed.withColumn("next", F.lead(F.struct("doc", "component")).over(w)).where("next.component != component")
+    return pairs.select(F.least("doc", "next.doc").alias("a"), F.greatest("doc", "next.doc").alias("b"))
+
 
+def _last_pairs(sets: DataFrame, sigs: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """Pairs (a, b) of unresolved texts in different components that can still be links.
+
+    An exact prefix filter on the full sets: with the shingles in one common
+    order, rare ones first, two sets with a Jaccard of PERCENT share a shingle in the
+    first n - PERCENT% n + 1 of each, and where they first meet, at places i and j, no
+    more than 1 + min(n - i, m - j) shingles can be common.  In a family of near
+    copies the rare shingles are those of the edits, so few texts meet.  Shingles in
+    more than RARE of the unresolved texts come after the rare ones, in hash order.
+    """
+    spark = sets.sparkSession
+    unresolved = materialise(spark, unresolved, "unresolved")
+    mine = sets.join(unresolved.select("doc"), "doc", "left_semi")
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(doc, own): the shingles of each set that no other set of ``sets`` holds."""
     def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for doc, raw in zip(pdf["doc"], pdf["members"], strict=True):
@@ -243,7 +238,28 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
                     part = s[at:at + 100_000]
                     yield pd.DataFrame({"doc": np.full(len(part), doc, dtype=np.int64), "s": part})
 
-    rows = sets.mapInPandas(flat, "doc long, s long")
-    alone = rows.groupBy("s").agg(F.count("*").alias("n"), F.min("doc").alias("doc")).where("n = 1")
-    counts = alone.groupBy("doc").agg(F.count("*").alias("own"))
-    return sets.select("doc").join(counts, "doc", "left").select("doc", F.coalesce("own", F.lit(0)).alias("own"))
+    rows = mine.mapInPandas(flat, "doc long, s long")
+    rare = rows.groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") <= RARE)
+    known = rows.join(rare, "s")
+
+    def prefix(sets_of: pd.DataFrame, known_of: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"doc": [], "token": [], "place": [], "n": []}, dtype="int64")]
+        for doc, raw in zip(sets_of["doc"], sets_of["members"], strict=True):
+            s = _unpack(raw).view(np.int64)
+            held = known_of.drop_duplicates("s").set_index("s")["df"]
+            df = pd.Series(s).map(held).fillna(RARE + 1).to_numpy(dtype=np.int64)
+            order = np.lexsort((s, df))[: len(s) - -(-PERCENT * len(s) // 100) + 1]
+            place = np.arange(1, len(order) + 1)
+            shared = df[order] > 1           # a shingle of this text alone meets nobody
+            out.append(pd.DataFrame({"doc": doc, "token": s[order][shared], "place": place[shared], "n": len(s)}).astype("int64"))
+        return pd.concat(out)
+
+    heads = mine.groupBy("doc").cogroup(known.groupBy("doc")).applyInPandas(prefix, "doc long, token long, place long, n long")
+    heads = materialise(spark, heads.join(unresolved, "doc").join(sigs.select("doc", "sig"), "doc"), "prefixes")
+    x, y = heads.alias("x"), heads.alias("y")
+    both = F.expr("x.n + y.n")
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc") < F.col("y.doc"))
+                  & (F.col("x.component") != F.col("y.component"))
+                  & ((100 + PERCENT) * (1 + F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place"))) >= PERCENT * both)
+                  & (_agreement("x.sig", "y.sig") >= MATCHES)).select(
+        F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
