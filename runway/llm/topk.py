@@ -46,7 +46,7 @@ class Run:
         scores = np.zeros(len(self.ids), dtype=self.columns.dtype)
         for t in terms[:essential]:
             at = self.postings[t]
-            if len(at) == len(scores):
+            if 2 * len(at) >= len(scores):  # a long list: with its zeros, in place
                 scores += query[t] * self.columns[t]
             else:
                 scores[at] += query[t] * self.columns[t][at]
