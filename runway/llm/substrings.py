@@ -69,18 +69,19 @@ class Block:
             g = grams[starts + j]
             less = g < best
             best[less], where[less] = g[less], starts[less] + j
-        self.anchors, self.places = best, where
+        # neighbouring windows mostly share their anchor: one entry per run of windows
+        first = np.ones(len(where), dtype=bool)
+        first[1:] = where[1:] != where[:-1]
+        self.run, self.anchors = np.cumsum(first) - 1, best[first]
 
     def anchor_list(self) -> tuple[np.ndarray, np.ndarray]:
         """The block's distinct anchors, sorted, and which of them stand at several places of the block."""
-        first = np.ones(len(self.places), dtype=bool)
-        first[1:] = self.places[1:] != self.places[:-1]
-        values, counts = np.unique(self.anchors[first], return_counts=True)
+        values, counts = np.unique(self.anchors, return_counts=True)
         return values, counts > 1
 
     def seeded(self, values: np.ndarray, keep: np.ndarray) -> np.ndarray:
         """Which windows belong to an anchor that is kept."""
-        return keep[np.searchsorted(values, self.anchors)] if len(values) else np.zeros(0, dtype=bool)
+        return keep[np.searchsorted(values, self.anchors)][self.run] if len(values) else np.zeros(0, dtype=bool)
 
     def repeated(self, seeded: np.ndarray, values: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         """Which windows start in an earlier document, of this block or of an earlier one."""
