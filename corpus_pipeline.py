@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runway.llm import bpe, quality, secrets
+from runway.llm.batches import limit_batches
 from runway.llm.decontaminate import benchmark_hits
 from runway.llm.neardup import near_duplicates
 from runway.llm.queries import tokenizer_path
@@ -22,6 +23,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least 0.3, learned from the labels of this table's documents."""
+    limit_batches(spark)
     scored = docs.withColumn("__stats", quality.statistics("text"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(quality.training_rows(scored.withColumnRenamed("__stats", "stats"), labels))
@@ -30,24 +32,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
+    limit_batches(spark)
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(DOCUMENT_COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    limit_batches(spark)
     hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return hits.where(F.size("benchmark_hits") == 0).select(DOCUMENT_COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mask and n_chars brought up to date."""
+    limit_batches(spark)
     masked = secrets.redact(docs, secrets.labelled_findings(docs))
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(DOCUMENT_COLUMNS)
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as token ids, with the decoded text beside them."""
+    limit_batches(spark)
     path = tokenizer_path()
     ids = bpe.encode(docs, path, carry=("doc_id", "lang", "source"))
     return ids.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),

@@ -1,12 +1,12 @@
 """BPE encoding and decoding over a distinct-word table.
 
 The tokenizer never joins pieces over ASCII white space, so a text's ids are the
-ids of its words (runs without ASCII white space) in order.  Texts are dealt to
-blocks of about ``BLOCK_BYTES``; each block names its distinct words once, the
-words meet in buckets by a hash, where each distinct word is encoded once, and
-the ids go back to the blocks that asked, in the order they asked.  A block then
-joins them to its texts by position.  The texts are shuffled once: both passes
-over the blocks read the same exchange.
+ids of its words (runs without ASCII white space) in order; trailing punctuation
+counts as a word of its own (see ``Parts``).  Consecutive texts form compressed
+blocks of about ``BLOCK_BYTES``; each block names its distinct words once, the words meet in buckets by a hash, where each distinct word is encoded
+once, and the ids go back to the blocks that asked, in the order they asked.  A
+block then joins them to its texts by position.  The blocks are shuffled once: both
+passes over them read the same exchange.
 
 Words travel in compressed lists of one block and one bucket; a bucket works off
 its lists one at a time and holds only its own distinct words.  Decoding looks
@@ -16,18 +16,24 @@ each id up in the table of pieces, whose size is that of the vocabulary.
 from __future__ import annotations
 
 import os
-import zlib
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_BYTES = 24 << 20     # text of a block
-BUCKETS = 1024             # most buckets of words
+from runway.llm.wordhash import joined_words, mix, span_hashes
+
+BLOCK_BYTES = 8 << 20      # text of a block
+BUCKETS = 1 << 16          # most buckets of words
+TAIL_BYTES = 16            # longest trailing punctuation that is a part of its own
 
 
 def load(path: str):
@@ -43,7 +49,7 @@ def load(path: str):
 def encode_words(tokenizer, words: list[bytes]) -> list[bytes]:
     """The ids of each word as little-endian 32-bit integers."""
     texts = [w.decode("utf-8", "replace") for w in words]
-    return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def raw_text(text: str | None) -> bytes:
@@ -63,15 +69,105 @@ def _unpack(raw: bytes) -> list[bytes]:
     return [body[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def _buckets(texts, buckets: int) -> list[list[bytes]]:
-    """The distinct words of a block's texts, sorted, by bucket."""
-    words: set[bytes] = set()
-    for t in texts:
-        words.update(raw_text(t).split())
-    out: list[list[bytes]] = [[] for _ in range(buckets)]
-    for w in sorted(words):
-        out[zlib.crc32(w) % buckets].append(w)
-    return out
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+
+class Parts:
+    """Texts cut into word parts, with the distinct parts in order of first use.
+
+    A word's trailing punctuation is a part of its own if an ASCII letter or digit
+    stands before it, and parts that differ in the case of ASCII letters are one: the
+    tokenizer splits and lowers there too.  A word that may spell a special token ("<|")
+    is one part, with its case.  Parts are told apart by a 64-bit hash.
+    """
+
+    def __init__(self, texts: list[bytes]) -> None:
+        buf, starts, ends, at = joined_words(texts)
+        self.raw = buf.tobytes()
+        special = np.zeros(len(starts), dtype=bool)
+        found = [m.start() for m in re.finditer(rb"<\|", self.raw)]
+        special[np.searchsorted(starts, found, side="right") - 1] = True
+        # where the trailing punctuation of each word begins; longer runs of it stay with their word
+        cut, more = ends.copy(), np.flatnonzero(~special)
+        for _ in range(TAIL_BYTES):
+            more = more[(cut[more] > starts[more]) & _PUNCTUATION[buf[cut[more] - 1]]]
+            cut[more] -= 1
+        special[more] = True
+        two = (cut > starts) & (cut < ends) & ~special
+        two[two] = _ALNUM[buf[cut[two] - 1]]
+        n_parts = 1 + two
+        begin = np.cumsum(n_parts) - n_parts
+        starts, ends = np.repeat(starts, n_parts), np.repeat(ends, n_parts)
+        ends[begin[two]] = starts[begin[two] + 1] = cut[two]
+        self.at = np.concatenate([begin, [len(starts)]])[at]
+        with np.errstate(over="ignore"):
+            key = span_hashes(buf, starts, ends, lower=True)
+            exact = begin[special]
+            key[exact] = mix(span_hashes(buf, starts[exact], ends[exact], lower=False))
+        self.which, self.keys = pd.factorize(key)
+        first = np.empty(len(self.keys), dtype=np.int64)
+        first[self.which[::-1]] = np.arange(len(self.which) - 1, -1, -1)
+        self.starts, self.ends = starts[first].tolist(), ends[first].tolist()
+
+    def word(self, i: int) -> bytes:
+        """The i-th distinct part."""
+        return self.raw[self.starts[i]:self.ends[i]]
+
+    def ids(self, held: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text, given the ids of each distinct part."""
+        flat = np.frombuffer(b"".join(held), dtype="<u4")
+        size = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
+        # every part's ids in order: a run of `flat` for each
+        sizes = size[self.which]
+        after = np.cumsum(sizes)
+        from_flat = (np.cumsum(size) - size)[self.which] - (after - sizes)
+        out = flat[np.arange(after[-1] if len(after) else 0) + np.repeat(from_flat, sizes)]
+        bounds = np.concatenate([[0], after])[self.at]
+        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def by_bucket(self, buckets: int) -> list[np.ndarray]:
+        """The distinct parts' numbers by bucket, in order."""
+        bucket = (self.keys % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows (last column: text) as compressed Arrow data, with a number for each run."""
+    from pyspark import TaskContext
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+
+    def block() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=options) as out:
+            out.write_table(table)
+        return pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = min(batch.num_rows, int(np.searchsorted(ends, done + BLOCK_BYTES - size)) + 1)
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - done
+            at = to
+            if size >= BLOCK_BYTES:
+                yield block()
+                number, held, size = number + 1, [], 0
+    if held:
+        yield block()
+
+
+def _rows(data: bytes) -> pd.DataFrame:
+    """The rows of a block; whole numbers stay whole beside NULLs."""
+    whole = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.int16(): pd.Int16Dtype(), pa.int8(): pd.Int8Dtype()}
+    return pa.ipc.open_stream(data).read_all().to_pandas(types_mapper=whole.get)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -81,42 +177,46 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry:
     that a text spells out are encoded as the library does.  Repeated rows stay
     as many; other columns are ignored.
     """
-    base = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], F.col(text_col).cast("string").alias("text"))
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    buckets = min(blocks, BUCKETS)
     names = [f"c{i}" for i in range(len(carry))]
-    dealt = base.withColumn("block", F.pmod(F.xxhash64(*names, "text"), F.lit(blocks))).repartition("block")
+    base = docs.select(*[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)], F.col(text_col).cast("string").alias("text"))
+    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(max(1, -(-total // BLOCK_BYTES)), BUCKETS)
+    dealt = base.mapInArrow(_blocks, "block long, data binary").repartition("block")
+
+    def parts_of(data: bytes) -> tuple[pd.DataFrame, Parts]:
+        rows = _rows(data)
+        return rows, Parts([raw_text(t) for t in rows["text"]])
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        lists = _buckets(pdf["text"], buckets)
-        return pd.DataFrame({"block": int(pdf["block"].iloc[0]), "bucket": range(buckets), "data": [_pack(x) for x in lists]})
-
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer, known = load(tokenizer_path), {}
-        for pdf in batches:
-            replies = []
-            for data in pdf["data"]:
-                words = _unpack(data)
-                new = [w for w in words if w not in known]
-                for at in range(0, len(new), 10_000):
-                    part = new[at:at + 10_000]
-                    known.update(zip(part, encode_words(tokenizer, part), strict=True))
-                replies.append(_pack([known[w] for w in words]))
-            yield pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "data": replies})
+        _, parts = parts_of(pdf["data"].iloc[0])
+        lists = [[parts.word(i) for i in x.tolist()] for x in parts.by_bucket(buckets)]
+        some = [i for i, x in enumerate(lists) if x]
+        return pd.DataFrame({"block": pd.Series([int(pdf["block"].iloc[0])] * len(some), dtype="int64"),
+                             "bucket": pd.Series(some, dtype="int64"), "data": [_pack(lists[i]) for i in some]})
+
+    def answer(lists: pd.DataFrame) -> pd.DataFrame:
+        tokenizer, known, replies = load(tokenizer_path), {}, []
+        for data in lists["data"]:
+            words = _unpack(data)
+            new = [w for w in words if w not in known]
+            for at in range(0, len(new), 10_000):
+                part = new[at:at + 10_000]
+                known.update(zip(part, encode_words(tokenizer, part), strict=True))
+            replies.append(_pack([known[w] for w in words]))
+        return pd.DataFrame({"block": lists["block"], "bucket": lists["bucket"], "data": replies})
 
     out_type = T.StructType([*[T.StructField(n, base.schema[n].dataType) for n in names], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    def place(texts: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        ids: dict[bytes, bytes] = {}
-        lists = _buckets(texts["text"], buckets)
+    def place(block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        rows, parts = parts_of(block["data"].iloc[0])
+        lists, held = parts.by_bucket(buckets), [b""] * len(parts.keys)
         for bucket, data in zip(replies["bucket"], replies["data"], strict=True):
-            ids.update(zip(lists[bucket], _unpack(data), strict=True))
-        found = [np.frombuffer(b"".join([ids[w] for w in raw_text(t).split()]), dtype="<i4") for t in texts["text"]]
-        return texts[names].assign(ids=found)
+            for i, ids in zip(lists[bucket].tolist(), _unpack(data), strict=True):
+                held[i] = ids
+        return rows[names].assign(ids=[x.view("<i4") for x in parts.ids(held)])
 
     shape = "block long, bucket long, data binary"
-    replies = (dealt.groupBy("block").applyInPandas(ask, shape).repartition("bucket").mapInPandas(answer, shape))
+    replies = dealt.groupBy("block").applyInPandas(ask, shape).groupBy("bucket").applyInPandas(answer, shape)
     encoded = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(place, out_type)
     return encoded.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "ids")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runway.llm import bpe, html, quality, records, secrets, sharding
+from runway.llm.batches import limit_batches
 from runway.llm.decontaminate import benchmark_matches
 from runway.llm.neardup import near_duplicates
 from runway.llm.substrings import repeats
@@ -28,8 +29,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        limit_batches(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query

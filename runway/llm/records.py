@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runway.llm.bpe import encode_words, load, raw_text
+from runway.llm.bpe import Parts, encode_words, load, raw_text
 from runway.session import shared_path
 from runway.sources.sinks import materialise
 
 FILE_BYTES = 24 << 20       # text per file, about
 RUN_BYTES = 4 << 20         # payload of a run of records, about
-CACHE_WORDS = 300_000       # words whose ids a task remembers; more are encoded again
-LONG_WORD = 64              # words from this many bytes on are not remembered
+CACHE_PARTS = 1_200_000       # word parts whose ids a worker remembers; more start the table anew
+BATCH_BYTES = 4 << 20       # text that is encoded at once, about
 FLAG_ID, FLAG_WIDE = 1, 2
 
 _CHUNK = 1024
@@ -147,26 +147,41 @@ def unframe(data: bytes) -> Iterator[tuple[int, bytes]]:
 
 
 class WordCache:
-    """Encodes texts word by word and remembers the ids of up to CACHE_WORDS words."""
+    """Encodes texts by their word parts (``bpe.Parts``) and remembers the ids of up to CACHE_PARTS of them.
+
+    The table belongs to the Python worker, so the next task starts with it.
+    """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.known = load(path), {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list({w for words in split for w in words})
-        extra = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            extra.update(zip(part, encode_words(self.tokenizer, part), strict=True))
-        known.update((w, i) for w, i in extra.items() if len(w) < LONG_WORD)
-        look = known if len(extra) == 0 or max(map(len, extra)) < LONG_WORD else {**known, **extra}
-        return [b"".join([look[w] for w in words]) for words in split]
+        self.tokenizer, self.known, self.ids = load(path), {}, []
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        parts = Parts(texts)
+        slot = list(map(self.known.get, parts.keys.tolist()))
+        new = [i for i, s in enumerate(slot) if s is None]
+        if len(self.ids) + len(new) > CACHE_PARTS:
+            self.known, self.ids = {}, []
+            new = list(range(len(slot)))
+        for lo in range(0, len(new), 10_000):
+            some = new[lo:lo + 10_000]
+            places = range(len(self.ids), len(self.ids) + len(some))
+            self.ids += encode_words(self.tokenizer, [parts.word(i) for i in some])
+            for i, place in zip(some, places, strict=True):
+                slot[i] = place
+            self.known.update(zip(parts.keys[some].tolist(), places, strict=True))
+        return parts.ids([self.ids[s] for s in slot])
+
+
+_caches: dict[str, WordCache] = {}
+
+
+def word_cache(path: str) -> WordCache:
+    """This Python worker's cache for a tokenizer."""
+    if path not in _caches:
+        _caches.clear()
+        _caches[path] = WordCache(path)
+    return _caches[path]
 
 
 def payload(doc: int | None, ids: np.ndarray) -> bytes:
@@ -180,6 +195,12 @@ def parse(data: bytes) -> tuple[int | None, np.ndarray]:
     return (doc if flags & FLAG_ID else None), np.frombuffer(data, "<u4" if flags & FLAG_WIDE else "<u2", offset=9).astype("<u4")
 
 
+def _runs_of(group: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of equal values."""
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    return (edges[:-1], edges[1:]) if len(group) else ([], [])
+
+
 def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id``, and write the records to ``folder`` in ascending id order.
 
@@ -194,14 +215,14 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     ordered = base.repartitionByRange(max(1, -(-size // FILE_BYTES)), "doc", "tie").sortWithinPartitions("doc", "tie")
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, held, held_bytes = WordCache(tokenizer_path), [], 0
-        end = np.array([end_id], dtype="<u4").tobytes()
+        cache, held, held_bytes = word_cache(tokenizer_path), [], 0
+        end = np.array([end_id], dtype="<u4")
         for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part = pdf.iloc[at:at + 500]
-                ids = cache.encode([raw_text(t) for t in part["text"]])
-                for doc, raw in zip(part["doc"], ids, strict=True):
-                    p = payload(None if pd.isna(doc) else int(doc), np.frombuffer(raw + end, dtype="<u4"))
+            texts = [raw_text(t) for t in pdf["text"]]
+            group = np.cumsum([len(t) for t in texts]) // BATCH_BYTES
+            for at, to in zip(*_runs_of(group), strict=True):
+                for doc, found in zip(pdf["doc"].iloc[at:to], cache.encode(texts[at:to]), strict=True):
+                    p = payload(None if pd.isna(doc) else int(doc), np.concatenate([found, end]))
                     held.append(p)
                     held_bytes += len(p)
                     if held_bytes >= RUN_BYTES:

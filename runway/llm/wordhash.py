@@ -44,44 +44,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _piece_hashes(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of one byte array."""
-    solid = np.empty(len(a) + 2, dtype=np.int8)
-    solid[0] = solid[-1] = 0
-    np.logical_not(_SPACE[a], out=solid[1:-1].view(bool))
-    edge = np.flatnonzero(solid[1:] != solid[:-1])
-    starts, ends = edge[0::2], edge[1::2]
-    total = np.empty(len(a) + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _power("up", len(a)), out=total[1:])
-    h = (total[ends] - total[starts]) * _power("down", len(a) + 1)[starts]
-    return starts, ends, mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
 def word_hashes(texts: Iterable[str | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of ``texts`` and the offsets (one more than texts) of each text's words."""
-    raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
+    buf, starts, ends, at = joined_words([b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts])
+    return span_hashes(buf, starts, ends, lower), at
+
+
+def joined_words(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Encoded texts joined by line feeds, as bytes; every word's start and end; the offsets of each text's words."""
     sizes = np.fromiter((len(r) + 1 for r in raw), dtype=np.int64, count=len(raw))
-    begins = np.concatenate([[0], np.cumsum(sizes)])
     buf = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
-    hashes, places, at = [], [], 0
-    while at < len(buf):
-        end = min(at + _PIECE, len(buf))
-        while end < len(buf):  # cut at white space
-            space = np.flatnonzero(_SPACE[buf[end:end + 4096]])
-            if len(space):
-                end += int(space[0])
-                break
-            end = min(end + 4096, len(buf))
-        a = buf[at:end]
-        starts, _, h = _piece_hashes(_LOWER[a] if lower else a)
-        hashes.append(h)
-        places.append(starts + at)
-        at = end
-    if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(raw) + 1, np.int64)
-    where = np.concatenate(places)
-    return np.concatenate(hashes), np.searchsorted(where, begins).astype(np.int64)
+    solid = np.zeros(len(buf) + 2, dtype=bool)
+    np.logical_not(_SPACE[buf], out=solid[1:-1])
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = edge[0::2], edge[1::2]
+    return buf, starts, ends, np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])).astype(np.int64)
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """Hashes of ascending, disjoint byte spans, worked off in pieces."""
+    out, i = np.empty(len(starts), dtype=np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _PIECE)))
+        base = int(starts[i])
+        a = buf[base:int(ends[j - 1])]
+        if lower:
+            a = _LOWER[a]
+        total = np.empty(len(a) + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _power("up", len(a)), out=total[1:])
+        s, e = starts[i:j] - base, ends[i:j] - base
+        h = (total[e] - total[s]) * _power("down", len(a) + 1)[s]
+        out[i:j] = mix(h + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        i = j
+    return out
 
 
 _MULT = np.array([pow(0xD1342543DE82EF95, i + 1, 1 << 64) | 1 for i in range(64)], dtype=np.uint64)
