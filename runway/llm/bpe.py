@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from runway.llm.wordhash import joined_words, mix, span_hashes
 
-BLOCK_BYTES = 8 << 20      # text of a block
+BLOCK_BYTES = 4 << 20      # text of a block
 BUCKETS = 1 << 16          # most buckets of words
 TAIL_BYTES = 16            # longest trailing punctuation that is a part of its own
 
