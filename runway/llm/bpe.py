@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,13 +228,16 @@ def pieces(tokenizer_path: str) -> list[str]:
     return [by_id.get(i, "") for i in range(max(by_id) + 1)]
 
 
-def decode(ids_col: str, tokenizer_path: str):
-    """The text of a column of ids: their pieces joined as the tokenizer's decoder joins them."""
+def decode(ids_col: str, tokenizer_path: str) -> Column:
+    """The text of a column of ids: their pieces joined by spaces, as a tokenizer without a decoder joins them.
+
+    The table of pieces, as large as the vocabulary, is one constant of the plan;
+    each id is looked up in it by its number.  NULL ids give the empty text.
+    """
     if load(tokenizer_path).decoder is not None:
         raise ValueError("decode() joins plain pieces; this tokenizer has a decoder of its own")
-    table = np.array(pieces(tokenizer_path), dtype=object)
-
-    @F.pandas_udf(T.StringType())
-    def text(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: "" if x is None else " ".join(table[np.asarray(x, dtype=np.int64)].tolist()))
-    return text(F.col(ids_col))
+    table = pieces(tokenizer_path)
+    if any("\x01" in p for p in table):
+        raise ValueError("a piece holds the separator")
+    constant = F.split(F.lit("\x01".join(table)), "\x01")
+    return F.coalesce(F.array_join(F.transform(ids_col, lambda i: F.get(constant, i)), " "), F.lit(""))
