@@ -175,7 +175,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (rows.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
                 .withColumn("component", F.coalesce("component", "doc")))
 
-    apart = materialise(spark, with_component(listed.select("token", "doc", "n"), connected_components(links)), "apart")
+    # one hop is enough to tell most: texts that are linked to the same hub are connected
+    linked = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    apart = materialise(spark, with_component(listed.select("token", "doc", "n"), linked), "apart")
     first = apart.groupBy("token").agg(F.min(F.struct("doc", "component")).alias("hub"))
     to_hub = (apart.join(first, "token").where("component != hub.component")
               .select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")))
@@ -190,9 +192,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = materialise(spark, rest.join(mixed, "token", "left_semi"), "unresolved")
     left = _last_pairs(sets, sigs, rest.groupBy("doc").agg(F.min("component").alias("component")))
     left = left.join(near, ["a", "b"], "left_anti").join(best, ["a", "b"], "left_anti")
-    links = materialise(spark, links.unionByName(_links(left, sigs, sets)), "links")
+    late = materialise(spark, _links(left, sigs, sets), "links")
+    if not late.isEmpty():  # join the components that the last links connect
+        for side in ("a", "b"):
+            late = with_component(late.withColumnRenamed(side, "doc"), comp).withColumn(side, F.col("component")).drop("doc", "component")
+        merged = connected_components(late.select("a", "b")).select(F.col("node").alias("component"), F.col("component").alias("root"))
+        known = comp.unionByName(merged.select(F.col("component").alias("node"), "component")).distinct()
+        comp = known.join(merged, "component", "left").select("node", F.coalesce("root", "component").alias("component")).distinct()
 
-    comp = connected_components(links)
     of_class = classes.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select(
         "k1", "k2", "n_words", F.coalesce("component", "doc").alias("component"))
     return (profile.join(of_class, ["k1", "k2", "n_words"], "left")
