@@ -1,8 +1,9 @@
 """Secret scan: candidate strings, random forest against false positives, redaction.
 
 Only DataFrame functions and Spark's own random forest are used.  A candidate is
-a word with a run of at least ``MIN_LENGTH`` key-like characters that holds a
-digit or is longer than a usual word.  The forest sees its length, character
+a run of at least ``MIN_LENGTH`` key-like characters that holds a digit or is
+longer than a usual word; a word with several runs (NAME=secret, a URL, compact JSON)
+has a candidate for each.  The forest sees its length, character
 transitions, how much of it is made of words of the corpus (the dictionary, counted
 over all documents), its path and its neighbouring words, and is trained from labelled
 findings.  Candidates that it scores at ``THRESHOLD`` or more are secrets.
@@ -14,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runway.sources.sinks import materialise
@@ -24,7 +25,10 @@ THRESHOLD = 0.5
 DICTIONARY_MIN = 3      # a letter run is a dictionary word from this many occurrences in the corpus on
 MASK = "<SECRET>"
 
-_RUN = "[A-Za-z0-9+/_-]{16,}={0,2}"
+# the "=" of NAME=value is no padding
+_RUN = "[A-Za-z0-9+/_-]{16,}(?:={1,2}+(?=[\"'`]?(?:[^A-Za-z0-9\"'`]|$)))?"
+# the text before a run, the run, and whether a separator makes it the name of what follows
+_PARTS = f"(?s)\\G(.*?)({_RUN})(?=([\"'`\\]]{{0,3}}[=:]|))"
 _CANDIDATE = f"[A-Za-z0-9+/_-]{{24,}}|(?=[A-Za-z+/_-]{{0,15}}[0-9])[A-Za-z0-9+/_-]{{16,}}"
 _SPACE = r"[\x20\x09-\x0D]+"
 _KEYWORDS = "(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private)"
@@ -35,13 +39,15 @@ _CONFIG_PATH = r"(?i)(\.env|config|\.ya?ml|\.json|\.properties|credential|settin
 
 FEATURES = ["length", "digit_share", "upper_share", "letter_share", "vowel_share", "transitions", "case_changes",
             "distinct_share", "hexadecimal", "numeric", "separators", "longest_letters", "coverage", "test_path",
-            "config_path", "keyword_near", "keyword_lead", "assigned", "quoted", "benign_near", "placeholder"]
+            "config_path", "keyword_near", "keyword_lead", "assigned", "quoted", "benign_near", "placeholder", "named"]
 
 
 def candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = "source", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per candidate: the carried columns, path, position (word number from 0), word, before2, before1, after.
+    """One row per candidate: the carried columns, path, position (word number from 0), word, before2, before1, after, run, lead, named.
 
     Words are runs without ASCII white space.  NULL and empty texts have none.
+    ``run`` is the candidate itself, ``lead`` what stands before it in its word, back to
+    the second run before it, ``named`` whether a separator follows.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     words = docs.where(F.col(text_col).rlike(_CANDIDATE)).select(
@@ -49,8 +55,20 @@ def candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = "
     found = words.select(*carry, "__path", "__w", F.explode(F.filter(
         F.transform("__w", lambda w, i: F.when(w.rlike(_CANDIDATE), i)), lambda i: i.isNotNull())).alias("position"))
     at = lambda d: F.get("__w", F.col("position") + d)
-    return found.select(*carry, F.col("__path").alias("path"), "position", at(0).alias("word"),
-                        at(-2).alias("before2"), at(-1).alias("before1"), at(1).alias("after"))
+    return _expand(found.select(*carry, F.col("__path").alias("path"), "position", at(0).alias("word"),
+                                at(-2).alias("before2"), at(-1).alias("before1"), at(1).alias("after"))).drop("nth")
+
+
+def _expand(words: DataFrame) -> DataFrame:
+    """Words -> one row per candidate of each, with ``nth`` (from 0), ``run``, ``lead`` and ``named``."""
+    part = lambda k: F.regexp_extract_all("word", F.lit(_PARTS), F.lit(k))
+    d = words.withColumns({"__gaps": part(1), "__runs": part(2), "__tails": part(3)})
+    before = lambda a, i: F.coalesce(F.get(a, i - 1), F.lit(""))
+    runs = F.transform("__runs", lambda r, i: F.struct(
+        r.alias("run"), F.concat(before("__gaps", i), before("__runs", i), F.get("__gaps", i)).alias("lead"),
+        (F.get("__tails", i) != "").alias("named")))
+    return (d.select(*words.columns, F.posexplode(F.filter(runs, lambda c: c["run"].rlike(_CANDIDATE))).alias("nth", "__c"))
+            .select(*words.columns, "nth", "__c.*"))
 
 
 def _pieces(run: str) -> F.Column:
@@ -65,9 +83,8 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def describe(found: DataFrame, words: DataFrame) -> DataFrame:
-    """``found`` (candidate columns) with ``run`` and the columns of FEATURES; ``words`` is the dictionary."""
-    d = found.withColumn("run", F.regexp_extract("word", _RUN, 0)).withColumn(
-        "lead", F.regexp_extract("word", f"^(.*?){_RUN}", 1))
+    """``found`` (candidate columns) with the columns of FEATURES; ``words`` is the dictionary."""
+    d = found
     # dictionary coverage of each distinct run: letters in pieces that are dictionary words
     pieces = d.select("run").distinct().select("run", F.explode(_pieces("run")).alias("piece"))
     covered = (pieces.join(words, "piece").groupBy("run").agg(F.sum(F.length("piece")).alias("__covered")))
@@ -93,16 +110,23 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         "assigned": flag(F.col("before1").rlike("[=:]>?$") | F.col("lead").rlike("[=:][\"']?$")),
         "quoted": flag(F.col("lead").rlike("[\"'`]$")),
         "benign_near": flag(near.rlike(_BENIGN)), "placeholder": flag(F.col("run").rlike(_PLACEHOLDER)),
+        "named": flag(F.col("named")),
     }).drop("__covered", "lead")
 
 
 def fit(findings: DataFrame, words: DataFrame, trees: int = 40, depth: int = 8, seed: int = 5) -> PipelineModel:
     """Train the forest on labelled findings: path, word, before2, before1, after and ``label`` (1 secret, 0 not).
 
-    Rows with another label, or whose word holds no candidate, are ignored; at
-    least one row of each label is needed.
+    A label 0 holds for every candidate of the word, a label 1 for the last one: those
+    before it count as 0 if they are names, and not at all otherwise.  Rows with
+    another label, or whose word holds no candidate, are ignored; at least one row
+    of each label is needed.
     """
-    rows = describe(findings.where("label in (0, 1)").where(F.col("word").rlike(_CANDIDATE)), words)
+    found = _expand(findings.where("label in (0, 1)").withColumn("__row", F.monotonically_increasing_id()))
+    last = F.col("nth") == F.max("nth").over(Window.partitionBy("__row"))
+    found = found.withColumn("__last", last).where("label = 0 or __last or named").withColumn(
+        "label", F.when(F.col("__last"), F.col("label")).otherwise(F.lit(0)))
+    rows = describe(found, words)
     rows = rows.select(*FEATURES, F.col("label").cast("double").alias("label"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(rows)
@@ -172,6 +196,13 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
         finding(1, "src4", "secret", "=", q(hex64)), finding(1, "src5", "Authorization:", "Bearer", alnum.substr(1, 60)),
         finding(1, "src6", word(1), "token:", F.concat(F.lit("ghp_"), alnum.substr(3, 36))),
         finding(1, "src7", "aws_access_key_id", "=", F.concat(F.lit("AKIA"), F.upper(alnum.substr(7, 16)))),
+        finding(1, "src8", word(1), word(2), F.concat(F.lit("AWS_SECRET_ACCESS_KEY="), alnum.substr(9, 40))),
+        finding(1, "app/.env", word(1), "export", F.concat(F.lit("GITHUB_ACCESS_TOKEN=ghp_"), alnum.substr(2, 36))),
+        finding(1, "src9", word(1), word(2), F.concat(F.lit("https://host.com/api/v1/"), word(3), F.lit("/list?token="), hex40)),
+        finding(1, "src2", word(1), word(2), F.concat(F.lit('{"access_token":"'), alnum.substr(11, 32), F.lit('","refresh_token":"'), hex40, F.lit('"}'))),
+        finding(0, "src8", word(1), word(2), "AWS_SECRET_ACCESS_KEY_ID_2"), finding(0, "src9", "the", word(1), "aws_secret_access_key_name"),
+        finding(0, "src2", word(1), word(2), F.concat(F.lit("https://host.com/api/v1/"), word(3), F.lit("/list/"), word(4), F.lit("/v2"))),
+        finding(0, "src3", word(1), word(2), F.concat(F.lit("https://host.com/api/v2/item?commit="), hex40)),
         finding(0, "src1", word(1), word(2), digits), finding(0, "src2", "card", word(2), digits),
         finding(0, "src3", word(1), word(2), F.concat(digits, F.lit("!!"))),
         finding(0, "src4", word(1), "commit", hex40), finding(0, "src5", "sha1", "=", q(hex40)),

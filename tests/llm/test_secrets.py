@@ -61,3 +61,24 @@ def test_native_plan(make_docs, lorem):
     found = secrets.candidates(df)
     plan = secrets.describe(found, secrets.dictionary(df))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_run_of_a_word_is_a_candidate(make_docs, lorem):
+    """NAME=secret, URLs, id:secret and two secrets in one word: each run is scored, the secrets are masked, the names stay."""
+    uuid = "0f8fad5b-d9cb-469f-a165-70867728950e"
+    aws = "wJalrXUtnFEMI7K7MDENGbPxRfiCY3zz9KeyQ41x"
+    ghp = "ghp_" + "aB3dE5gH7jK9mN1pQ3sT5vW7yZ9bC1dE3fG5"
+    texts = {
+        1: (f"{lorem(5)} AWS_SECRET_ACCESS_KEY={aws} {lorem(5)} AWS_SECRET_ACCESS_KEY {lorem(2)}", [aws]),
+        2: (f"{lorem(5)} GITHUB_ACCESS_TOKEN={ghp} {lorem(5)}", [ghp]),
+        3: (f"{lorem(5)} https://host.com/api/v1/resource/list?token={key(3)} {lorem(5)}", [key(3)]),
+        4: (f'{lorem(5)} {{"access_token":"{key(4)}","refresh_token":"{key(5)}"}} {lorem(5)}', [key(4), key(5)]),
+    }
+    df = make_docs([(i, t) for i, (t, _) in texts.items()] + [(5, f"{uuid}:{key(6)}")] + [(80 + i, lorem(50)) for i in range(60)])
+    runs = {(r["doc_id"], r["run"]) for r in secrets.candidates(df).collect()}
+    assert runs >= {(i, s) for i, (_, found) in texts.items() for s in found} | {(5, uuid), (5, key(6))}
+    rows = {r["doc_id"]: r["text"] for r in secrets.redact(df, secrets.labelled_findings(df)).collect()}
+    for i, (text, found) in texts.items():
+        for s in found:
+            text = text.replace(s, secrets.MASK)
+        assert rows[i] == text
