@@ -1,9 +1,10 @@
 """Secret scan: candidate strings, random forest against false positives, redaction.
 
 Only DataFrame functions and Spark's own random forest are used.  A candidate is
-a run of at least ``MIN_LENGTH`` key-like characters that holds a digit or is
-longer than a usual word; a word with several runs (NAME=secret, a URL, compact JSON)
-has a candidate for each.  The forest sees its length, character
+a run of at least ``MIN_LENGTH`` key-like characters, or a value of any length and
+characters that follows a keyword and "=" or ":" in its word or the two words
+before, or the password of a URL.  A word with several of them (NAME=secret, a
+URL, compact JSON) has a candidate for each.  The forest sees its length, character
 transitions, how much of it is made of words of the corpus (the dictionary, counted
 over all documents), its path and its neighbouring words, and is trained from labelled
 findings.  Candidates that it scores at ``THRESHOLD`` or more are secrets.
@@ -29,9 +30,17 @@ MASK = "<SECRET>"
 _RUN = "[A-Za-z0-9+/_-]{16,}(?:={1,2}+(?=[\"'`]?(?:[^A-Za-z0-9\"'`]|$)))?"
 # the text before a run, the run, and whether a separator makes it the name of what follows
 _PARTS = f"(?s)\\G(.*?)({_RUN})(?=([\"'`\\]]{{0,3}}[=:]|))"
-_CANDIDATE = f"[A-Za-z0-9+/_-]{{24,}}|(?=[A-Za-z+/_-]{{0,15}}[0-9])[A-Za-z0-9+/_-]{{16,}}"
+_CANDIDATE = f"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}"
 _SPACE = r"[\x20\x09-\x0D]+"
 _KEYWORDS = "(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private)"
+# a value: up to the closing quote, or without quotes up to the next name or the punctuation at the end
+_VALUE = (r"""((?<=")[^"]+?(?=\\?(?:"|$))|(?<=')[^']+?(?=\\?(?:'|$))|(?<=`)[^`]+?(?=`|$)"""
+          r"""|(?<!["'`])(?:(?![&,;][\w.-]*=)(?![,;.)\]}>\\]{0,8}(?:$|["'`]))[^"'`])++)""")
+_ASSIGNS = _KEYWORDS + "[^=:]*[=:]"
+_IN_WORD = "(?s)(" + _KEYWORDS.replace("(?i)(", "(?i:") + r"""[\w.\-\[\]"'`\\]{0,60}[=:]{1,2}>?\\?["'`]?)""" + _VALUE
+_WHOLE = r"""(?s)^([=:(\[{<]*>?\\?["'`]?)""" + _VALUE
+_URL = r"""(?s)(://[^\s:/@]*:)(?!\d{1,5}/)(\S+?)(?=@[\w.\[\]:-]+(?:[/?#,;"'`)\]}>\\]|$))"""
+_URL_TEXT = r"://[^\s:/@]*:[^\s@]+@"
 _BENIGN = "(?i)(sha[0-9]*|md5|commit|checksum|digest|hash|uuid|revision|build|etag|order|card|phone|ref)"
 _PLACEHOLDER = "(?i)(example|xxxx|dummy|change.?me|your|sample|placeholder|1234567|0000000|abcdef)"
 _TEST_PATH = "(?i)(test|fixture|example|mock|docs?/)"
@@ -39,7 +48,7 @@ _CONFIG_PATH = r"(?i)(\.env|config|\.ya?ml|\.json|\.properties|credential|settin
 
 FEATURES = ["length", "digit_share", "upper_share", "letter_share", "vowel_share", "transitions", "case_changes",
             "distinct_share", "hexadecimal", "numeric", "separators", "longest_letters", "coverage", "test_path",
-            "config_path", "keyword_near", "keyword_lead", "assigned", "quoted", "benign_near", "placeholder", "named"]
+            "config_path", "keyword_near", "keyword_lead", "assigned", "quoted", "benign_near", "placeholder", "named", "punctuation", "url_password"]
 
 
 def candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = "source", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -50,10 +59,16 @@ def candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = "
     the second run before it, ``named`` whether a separator follows.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
-    words = docs.where(F.col(text_col).rlike(_CANDIDATE)).select(
-        *carry, path.alias("__path"), F.split(F.regexp_replace(F.col(text_col), f"^{_SPACE}", ""), _SPACE).alias("__w"))
+    text = F.col(text_col)
+    keyed, url = text.rlike(_KEYWORDS) & text.rlike("[=:]"), text.rlike(_URL_TEXT)
+    words = docs.where(text.rlike(_CANDIDATE) | keyed | url).select(
+        *carry, path.alias("__path"), keyed.alias("__keyed"), url.alias("__url"),
+        F.split(F.regexp_replace(text, f"^{_SPACE}", ""), _SPACE).alias("__w"))
+    # words that can hold a candidate; _expand has the last word
+    holds = lambda w, i: w.rlike(_CANDIDATE) | (F.col("__url") & w.rlike(_URL_TEXT)) | (F.col("__keyed") & F.concat_ws(
+        " ", F.get("__w", i - 2), F.get("__w", i - 1), w).rlike(_KEYWORDS))
     found = words.select(*carry, "__path", "__w", F.explode(F.filter(
-        F.transform("__w", lambda w, i: F.when(w.rlike(_CANDIDATE), i)), lambda i: i.isNotNull())).alias("position"))
+        F.transform("__w", lambda w, i: F.when(holds(w, i), i)), lambda i: i.isNotNull())).alias("position"))
     at = lambda d: F.get("__w", F.col("position") + d)
     return _expand(found.select(*carry, F.col("__path").alias("path"), "position", at(0).alias("word"),
                                 at(-2).alias("before2"), at(-1).alias("before1"), at(1).alias("after"))).drop("nth")
@@ -67,7 +82,17 @@ def _expand(words: DataFrame) -> DataFrame:
     runs = F.transform("__runs", lambda r, i: F.struct(
         r.alias("run"), F.concat(before("__gaps", i), before("__runs", i), F.get("__gaps", i)).alias("lead"),
         (F.get("__tails", i) != "").alias("named")))
-    return (d.select(*words.columns, F.posexplode(F.filter(runs, lambda c: c["run"].rlike(_CANDIDATE))).alias("nth", "__c"))
+    value = lambda run, lead: F.struct(run.alias("run"), lead.alias("lead"), F.lit(False).alias("named"))
+    every = lambda pattern: F.zip_with(F.regexp_extract_all("word", F.lit(pattern), F.lit(2)),
+                                       F.regexp_extract_all("word", F.lit(pattern), F.lit(1)), value)
+    near = F.concat_ws(" ", "before2", "before1")
+    whole = F.when(near.rlike(_ASSIGNS) | (near.rlike(_KEYWORDS) & F.col("word").rlike("^[=:]")),
+                   F.array(value(F.regexp_extract("word", _WHOLE, 2), F.regexp_extract("word", _WHOLE, 1))))
+    d = d.withColumn("__values", F.concat(F.coalesce(whole, F.slice(every(_URL), 1, 0)), every(_IN_WORD), every(_URL)))
+    # each value once, and not if it is a run of the word
+    values = F.filter("__values", lambda v, i: v["run"].rlike("[A-Za-z0-9]|[^\\x00-\\x7F]") & ~F.array_contains(
+        F.col("__runs"), v["run"]) & (F.array_position(F.col("__values.run"), v["run"]) == i + 1))
+    return (d.select(*words.columns, F.posexplode(F.concat(runs, values)).alias("nth", "__c"))
             .select(*words.columns, "nth", "__c.*"))
 
 
@@ -107,10 +132,11 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         "coverage": F.coalesce("__covered", F.lit(0)) / size,
         "test_path": flag(F.col("path").rlike(_TEST_PATH)), "config_path": flag(F.col("path").rlike(_CONFIG_PATH)),
         "keyword_near": flag(near.rlike(_KEYWORDS)), "keyword_lead": flag(F.col("lead").rlike(_KEYWORDS)),
-        "assigned": flag(F.col("before1").rlike("[=:]>?$") | F.col("lead").rlike("[=:][\"']?$")),
+        "assigned": flag(F.col("before1").rlike("[=:]>?$") | F.col("lead").rlike("[=:]>?\\\\?[\"'`]?$")),
         "quoted": flag(F.col("lead").rlike("[\"'`]$")),
         "benign_near": flag(near.rlike(_BENIGN)), "placeholder": flag(F.col("run").rlike(_PLACEHOLDER)),
-        "named": flag(F.col("named")),
+        "named": flag(F.col("named")), "punctuation": share("[^A-Za-z0-9+/_=-]"),
+        "url_password": flag(F.col("lead").rlike("://[^/]*:$")),
     }).drop("__covered", "lead")
 
 
@@ -153,14 +179,17 @@ def redact(docs: DataFrame, labelled: DataFrame, text_col: str = "text", path_co
     """``docs`` with every secret of every text replaced by MASK; no row is dropped.
 
     Findings meet their texts by the MD5 of the text, so rows without an id
-    and rows that share one are redacted too.
+    and rows that share one are redacted too.  A secret is masked wherever the
+    text has it; one that is no key-like run, only where no letter or digit adjoins it.
     """
     keyed = docs.withColumn("__text_key", F.md5(text_col))
     secrets = (secret_findings(keyed, labelled, text_col, path_col, ("__text_key",)).where("is_secret")
                .groupBy("__text_key").agg(F.collect_set("secret").alias("__secrets")))
     longest_first = F.array_sort("__secrets", lambda a, b: F.when(F.length(a) > F.length(b), -1).when(
         F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
-    masked = F.aggregate(longest_first, F.col(text_col), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    apart = lambda s: F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+    masked = F.aggregate(longest_first, F.col(text_col), lambda t, s: F.when(
+        s.rlike(f"^{_RUN}$"), F.replace(t, s, F.lit(MASK))).otherwise(F.regexp_replace(t, apart(s), F.lit(MASK))))
     return keyed.join(secrets, "__text_key", "left").withColumn(
         text_col, F.when(F.col("__secrets").isNull(), F.col(text_col)).otherwise(masked)).drop("__text_key", "__secrets")
 
@@ -182,6 +211,9 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
     uuid = F.concat_ws("-", hex40.substr(1, 8), hex40.substr(9, 4), hex40.substr(13, 4), hex40.substr(17, 4), hex40.substr(21, 12))
     compound = F.concat(word(3), word(4), word(5), word(6), word(7), word(8))
 
+    letters = F.translate(F.upper(alnum), "0123456789", "QWZRTYUJKP")
+    short = F.concat(alnum.substr(3, 5), F.get(F.split(F.lit("&!@$%#*?^~"), ""), F.pmod(F.xxhash64("i"), F.lit(10)).cast("int")), alnum.substr(8, 4))
+
     def finding(label: int, path: str, before2, before1, w, after=None):
         text = lambda c: F.lit(c) if isinstance(c, str) else c
         return F.struct(F.lit(path).alias("path"), text(w).alias("word"), text(before2).alias("before2"),
@@ -203,6 +235,20 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
         finding(0, "src8", word(1), word(2), "AWS_SECRET_ACCESS_KEY_ID_2"), finding(0, "src9", "the", word(1), "aws_secret_access_key_name"),
         finding(0, "src2", word(1), word(2), F.concat(F.lit("https://host.com/api/v1/"), word(3), F.lit("/list/"), word(4), F.lit("/v2"))),
         finding(0, "src3", word(1), word(2), F.concat(F.lit("https://host.com/api/v2/item?commit="), hex40)),
+        finding(1, "src4", word(1), word(2), F.concat(F.lit("AKIA"), letters.substr(1, 16))),
+        finding(1, "src5", "key", "is", F.concat(F.lit("AKIA"), letters.substr(9, 16))),
+        finding(1, "src1", word(1), "password:", short), finding(1, "src2", "password", "=", q(short)),
+        finding(1, "app/.env", word(1), word(2), F.concat(F.lit("DB_PASSWORD="), alnum.substr(6, 10))),
+        finding(1, "src6", word(1), word(2), F.concat(F.lit('{"password":"'), short, F.lit('"}'))),
+        finding(1, "src3", word(1), word(2), F.concat(F.lit("postgres://user:"), short, F.lit("@host"))),
+        finding(1, "src9", word(1), word(2), F.concat(F.lit("https://"), word(4), F.lit(":"), alnum.substr(8, 9), F.lit("@host.com/"), word(5))),
+        finding(0, "src1", word(1), "password:", word(3)), finding(0, "src2", "token", "=", word(4)),
+        finding(0, "src4", F.concat(F.lit("password="), short), word(1), word(2)), finding(0, "src5", word(1), F.concat(F.lit("token="), hex40), word(3)),
+        finding(0, "src3", "password:", short, word(5)), finding(0, "src6", "Authorization:", word(1), F.concat(word(2), F.lit(","))),
+        finding(0, "src7", word(1), "author:", F.initcap(word(4))), finding(0, "src8", "max_tokens", "=", digits.substr(1, 4)),
+        finding(0, "src9", word(1), word(2), "auth=true"), finding(0, "src1", word(1), word(2), '{"token":null}'),
+        finding(0, "src2", word(1), word(2), F.concat(F.lit("http://host:"), digits.substr(1, 4), F.lit("/"), word(3), F.lit("@"), word(4))),
+        finding(0, "src3", word(1), word(2), F.concat(F.upper(word(3)), F.lit("_"), F.upper(word(4)), F.lit("_"), F.upper(word(5)), F.lit("_"), F.upper(word(6)))),
         finding(0, "src1", word(1), word(2), digits), finding(0, "src2", "card", word(2), digits),
         finding(0, "src3", word(1), word(2), F.concat(digits, F.lit("!!"))),
         finding(0, "src4", word(1), "commit", hex40), finding(0, "src5", "sha1", "=", q(hex40)),
