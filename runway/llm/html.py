@@ -36,8 +36,10 @@ CELLS = 40_000              # blocks, padding included, that are labelled at onc
 
 # fixed values: element names of HTML by role
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe svg math object canvas".split())
+_RAW = frozenset("script style".split())
+_EMBEDDED = frozenset("noscript template iframe svg math object canvas".split())   # these may close themselves
 _INLINE = frozenset(
+    "mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup munder mover munderover mstyle mspace mpadded semantics "
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -62,7 +64,9 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
     Character references are decoded, white space is one space, blocks without
     text are left out.  Scripts, styles, comments and markup give no blocks.
     Broken markup is read as far as it goes: an unclosed element ends with its
-    parent, an end tag without a start is ignored.
+    parent (a script or style with the page, as in browsers), an end tag without a
+    start is ignored.  What svg, math, object, canvas, noscript, template and iframe
+    hold are blocks like others.
     """
     found: list[tuple[tuple[str, ...], str, float]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -97,6 +101,9 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             if name == "a":
                 in_link = max(0, in_link + (-1 if m[1] else 1))
             continue
+        if name in _EMBEDDED and not m[1] and m[3].endswith("/"):
+            text.append(" ")
+            continue
         if name in _RAW and not m[1]:
             end = _END_RAW[name].search(page, at)
             at = end.end() if end else len(page)
@@ -154,6 +161,8 @@ def _made_page(rng: np.random.Generator, texts: list[str]) -> list[tuple[tuple[s
         page.append((top + holder + (pick(["h1", "h1", "h2"]),), words(12), 0.0))
     for _ in range(1 + len(some(14))):
         leaf = pick([("p",), ("p",), ("p",), ("p",), ("h2",), ("ul", "li"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("div",), ()])
+        if rng.random() < 0.1:
+            leaf = pick([leaf, ()]) + (pick(sorted(_EMBEDDED)),) + pick([(), (), ("p",), ("text",)])
         page.append((top + holder + leaf, pick(texts) if rng.random() < 0.8 else words(5), float(rng.random() < 0.05)))
         if rng.random() < 0.12:
             furniture(top + holder)

@@ -71,3 +71,23 @@ def test_long_page_and_empty_table(spark, labeller):
     df = spark.createDataFrame([(1, "u", long, "c")], PAGES)
     assert html.extract(df, labeller).first()["text"] == "\n".join(f"Paragraph {i} of the text." for i in range(5000))
     assert html.extract(spark.createDataFrame([], PAGES), labeller).count() == 0
+
+
+def test_embedded_elements_lose_no_text(spark, labeller):
+    """Self-closed, unclosed, nested and visible svg, math, object, canvas, noscript, template and iframe."""
+    texts = lambda page: [b[1] for b in html.blocks(page)]
+    assert texts("<p>a <svg/> b</p><p>c</p>") == ["a b", "c"]
+    for name in ("svg", "math", "object", "canvas", "noscript", "template", "iframe"):
+        assert texts(f"<p>a</p><{name} class='x' /><p>b</p>") == ["a", "b"]
+        assert texts(f"<div><p>a</p><{name}><p>b</p></div><p>c</p>") == ["a", "b", "c"]
+        assert html.blocks(f"<div><{name}>a</div><p>c</p>")[1][0] == ("p",)
+        assert texts(f"<{name}>a<{name}>b</{name}>c</{name}>d") == ["a", "b", "c", "d"]
+    assert texts("<svg><script>var a = '<p>no</p>'</script><style>p{}</style><text>yes</text></svg>") == ["yes"]
+    assert texts("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p>") == ["a", "x=1"]
+    cases = [page(f"<article><h1>Title</h1><p>First words of it.</p>{x}<p>Second.</p></article>") for x in (
+        "<svg/>", "<object><p>Words inside.</p></object>", "<noscript><p>Words inside.</p></noscript>", "<canvas>Words inside.</canvas>",
+        "<object><p>Words inside.</p>", "<svg><text>Words inside.</text></svg>")]
+    rows = html.extract(spark.createDataFrame([(i, None, h, "") for i, h in enumerate(cases)], PAGES), labeller).collect()
+    for r in rows:
+        inside = "" if r["page_id"] == 0 else "Words inside.\n"
+        assert r["text"] == f"Title\nFirst words of it.\n{inside}Second.", r["page_id"]
