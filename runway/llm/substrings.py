@@ -123,16 +123,17 @@ def _others_hold(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": out})
 
 
-def _earlier_hold(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per block of a hash range: which hashes an earlier block holds."""
+def _earlier_hold(pdf: pd.DataFrame, late: int) -> pd.DataFrame:
+    """Per block of a hash range: which hashes an earlier block holds; blocks from ``late`` on are earlier than none."""
     pdf = pdf.sort_values("block")
     seen, out = np.empty(0, np.uint64), []
-    for raw in pdf["hashes"]:
+    for block, raw in zip(pdf["block"], pdf["hashes"], strict=True):
         x = np.frombuffer(raw, "<u8")
         at = np.minimum(np.searchsorted(seen, x), max(0, len(seen) - 1))
         old = seen[at] == x if len(seen) else np.zeros(len(x), dtype=bool)
         out.append(np.packbits(old).tobytes())
-        seen = np.union1d(seen, x[~old])
+        if block < late:
+            seen = np.union1d(seen, x[~old])
     return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": out})
 
 
@@ -165,7 +166,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cuts = sorted({int(c) for c in cuts})
     # the number of cuts at or below the id: ranges of ids, in order; rows without an id by a hash, after them
     number = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("doc"))) if cuts else F.lit(0)
-    late = len(cuts) + 1 + F.pmod(F.xxhash64("text"), F.lit(blocks))
+    first_late = len(cuts) + 1
+    late = first_late + F.pmod(F.xxhash64("text"), F.lit(blocks))
     dealt = base.withColumn("block", F.when(F.col("doc").isNull(), late).otherwise(number).cast("long")).repartition("block")
     shape, reply = "block long, bucket long, hashes binary, flags binary", "block long, bucket long, flags binary"
 
@@ -184,7 +186,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             return _asking(int(pdf["block"].iloc[0]), found, np.ones(len(found), dtype=bool), shift)
 
     asked = dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInPandas(ask_windows, shape)
-    windows = asked.groupBy("bucket").applyInPandas(_earlier_hold, reply)
+    windows = asked.groupBy("bucket").applyInPandas(lambda pdf: _earlier_hold(pdf, first_late), reply)
 
     def finish(pdf: pd.DataFrame, seeds: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         with np.errstate(over="ignore"):

@@ -52,3 +52,13 @@ def test_spans_are_maximal(make_docs, lorem):
 
 def test_empty_table(make_docs):
     assert run(make_docs([])) == []
+
+
+def test_rows_without_an_id_in_several_blocks(make_docs, lorem, monkeypatch):
+    """Rows without an id make no other row's words repeats, in whichever late blocks they are."""
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 2000)
+    shared, held = lorem(30), lorem(20)
+    pairs = [(i, lorem(40)) for i in range(20)] + [(20, held)]
+    pairs += [(None, f"{lorem(10)} {shared} {lorem(5)} {held} {lorem(5)}") for _ in range(12)]
+    got = run(make_docs(pairs))
+    assert got == brute(pairs) and {r[2] for r in got if r[0] is None} == {20}
