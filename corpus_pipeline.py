@@ -31,10 +31,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
+    """One document of each near-duplicate group stays: the one with the smallest id.
+
+    An id's rows with words share their verdict; its rows without any are always kept.
+    """
     limit_batches(spark)
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(DOCUMENT_COLUMNS)
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    with_words = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("doc_id"))
+    return docs.join(gone, with_words == F.col("__gone"), "left_anti").select(DOCUMENT_COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

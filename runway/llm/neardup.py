@@ -161,8 +161,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = listed.select("doc").distinct()
     texts = base.select(F.col("doc_id").alias("doc"), "text").join(candidates, "doc", "left_semi")
     sets = texts.mapInPandas(_sets, "doc long, members binary")
+    same_id = None
     if not named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         sets = sets.distinct()  # rows that share an id: each of its sets once
+        # and the representatives of its texts are connected
+        reps = materialise(spark, named.join(classes, ["k1", "k2", "n_words"]).select("doc_id", "doc").distinct(), "same_id")
+        low = reps.groupBy("doc_id").agg(F.min("doc").alias("a"))
+        same_id = reps.join(low, "doc_id").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
     sets = materialise(spark, sets, "sets")
 
     # 1. each text against the hub it shares most lists with
@@ -183,7 +188,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")))
     near = materialise(spark, to_hub.unionByName(_neighbours(apart)).distinct().join(best, ["a", "b"], "left_anti"), "near")
     links = materialise(spark, links.unionByName(_links(near, sigs, sets)), "links")
-    comp = materialise(spark, connected_components(links), "components")
+    edges = links.select("a", "b")
+    comp = materialise(spark, connected_components(edges.unionByName(same_id) if same_id is not None else edges), "components")
 
     # 3. what is left: pairs of one list in different components (a list of two is done)
     rest = with_component(apart.where("n > 2").select("token", "doc"), comp)

@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import corpus_pipeline
 from runway.llm.neardup import near_duplicates
 
 
@@ -92,3 +93,14 @@ def test_large_group_of_near_copies(make_docs, lorem):
     base = lorem(100)
     pairs = [(i, edited(base, [(i * 7) % 100, (i * 31) % 100, (i * 43) % 100][: i % 4])) for i in range(1, 160)]
     assert run(make_docs(pairs, clashing=False)) == sorted(brute(pairs), key=str)
+
+
+def test_an_id_with_several_texts(spark, make_docs, lorem):
+    """The texts of one id are one document: links through any of them connect; the pipeline drops the very rows that are not kept."""
+    x, y, z, v, w = (lorem(60) for _ in range(5))
+    pairs = [(3, x), (5, x), (5, y), (5, ""), (5, None), (7, y + " end"), (8, z), (9, z), (9, v), (10, v), (11, w), (11, lorem(50)), (12, w), (None, x), (20, lorem(60))]
+    want = brute(pairs)
+    assert run(make_docs(pairs)) == sorted(want, key=str)
+    out = corpus_pipeline.drop_near_duplicates(spark, make_docs(pairs), "")
+    assert sorted((tuple(r) for r in out.select("doc_id", "text").collect()), key=str) == sorted(
+        (p for p, r in zip(pairs, want, strict=True) if r[3]), key=str)
