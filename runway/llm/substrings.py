@@ -1,4 +1,4 @@
-"""Substring dedup: seeds on winnowed anchors, extension to the length threshold.
+"""Substring dedup: winnowed anchors as a filter, an exact join of window hashes.
 
 A word run of ``LENGTH`` words (a window) that also starts in a document with a
 smaller id is a repeat.  Seeds are winnowed anchors: in every window, the k-gram
@@ -8,11 +8,14 @@ equal anchors at the same place, and a document has about one anchor per five wo
 
 1. Seed.  The documents' distinct anchors meet by hash; an anchor that no
    other block of documents holds, and that its own block holds once, seeds nothing.
-2. Extend.  Around each remaining anchor the match is extended both ways to the
-   windows that chose it (at most LENGTH - SEED + 1 of them, one word apart), and those
-   windows meet by hash.  A window repeats if an earlier document holds it.
-3. Maximal repeats.  Repeated windows that overlap or touch one after the other form one span; spans
-   are as long as they can be and at least LENGTH words.
+2. Windows.  The windows that chose a remaining anchor (at most LENGTH - SEED + 1 of
+   them, one word apart) meet by hash.  A window repeats if an earlier document holds it.
+3. Spans.  Repeated windows that overlap or touch one after the other form one span of
+   at least LENGTH words.  Its windows may come from different documents.
+
+No two documents are joined and no match is extended word by word: a word is in a
+match of LENGTH words with an earlier document exactly if such a window covers it, so
+the removed words are the same, and a passage that many documents share makes no pairs.
 
 Blocks are ranges of document ids of about ``BLOCK_BYTES`` of text, so "held by
 an earlier block" settles the order between blocks and only one block's documents
@@ -149,7 +152,7 @@ def _answers(replies: pd.DataFrame, values: np.ndarray, shift: int) -> np.ndarra
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept (text without the repeated words), spans.
 
-    ``spans`` are the maximal repeats of the row: arrays of (start, words).  The
+    ``spans`` are the row's runs of repeated windows: arrays of (start, words).  The
     words that remain are joined by one space.  NULL texts have no words.  Rows
     that share an id are one document: none makes the other's words repeats
     (they are judged against smaller ids only).  Rows without an id count as later than all
