@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from runway.llm import bpe, html, quality, records, secrets, sharding
 from runway.llm.batches import limit_batches
 from runway.llm.decontaminate import benchmark_matches
+from runway.llm.divergence import audit
+from runway.llm.exactdup import exact_duplicates, normalised
 from runway.llm.neardup import near_duplicates
+from runway.llm.resample import resample
 from runway.llm.substrings import repeats
 from runway.llm.topk import top_k
 from runway.sources import read_table
@@ -112,3 +115,22 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     found = html.extract(pages, html.train_labeller(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and whether it is the one that stays."""
+    docs = read_table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(normalised("text"), 256))
+    return exact_duplicates(docs, carry=("text_sha256",))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that mark each source."""
+    return audit(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's words; a tenth of the longer ones are drawn."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
