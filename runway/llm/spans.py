@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -62,4 +63,4 @@ def text_runs(batches: Iterator[pa.RecordBatch], text: str, run_bytes: int) -> I
 
 
 def _offsets(column: pa.Array) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
