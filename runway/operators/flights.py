@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runway.functions.text import comma_part, concat_key
 from runway.functions.timecols import block_hour, hhmm_round_hour, hhmm_timestamp, trunc_hour
@@ -30,16 +31,22 @@ def lag_by(df: DataFrame, value: str, key: str, order: list[str], out: str,
     """``out = lag(value, 1) over (partition by key order by order...)``, skew safe.
 
     Rows with a NULL ``key`` form one group, as in a Spark window.  ``order`` is
-    ascending with NULLs first, of any sortable types; give enough columns to make it
-    unique: ties are broken arbitrarily (as in the plain window) and stay in one range.
+    ascending with NULLs first, of any sortable types.  Rows that it leaves tied are
+    ordered by a hash of their content, so the result does not depend on how the rows
+    were partitioned; rows alike in all columns are told apart by a row number, which
+    cannot change the result.  Columns of map type stay out of the hash.
 
     ``df`` runs once: it is written, cut into ``ranges`` (default: the shuffle
-    partitions) by sampled borders of (key, order...), and the cut rows are
+    partitions) by sampled borders of (key, order..., hash, number), and the cut rows are
     written again, so that a lost executor finds the same ranges.  However the keys
-    and times are spread, a range holds about 1 / ranges of the rows.
+    and times are spread, all of them equal or NULL included, a range holds about
+    1 / ranges of the rows.
     """
     spark = df.sparkSession
-    rows = materialise(spark, df, "lag-rows")
+    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    numbered = df.withColumns({"_hash": F.xxhash64(*content), "_row": F.monotonically_increasing_id()})
+    rows = materialise(spark, numbered, "lag-rows")
+    order = [*order, "_hash", "_row"]
     cut = rows.repartitionByRange(ranges or default_parallelism(spark), key, *order)
     cut = materialise(spark, cut.withColumn("_range", F.spark_partition_id()), "lag-ranges")
 
@@ -56,7 +63,7 @@ def lag_by(df: DataFrame, value: str, key: str, order: list[str], out: str,
                         F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_to")) & (F.col("_rn") == 1),
                         "left")
     result = fixed.withColumn(out, F.when(F.col("_to").isNotNull(), F.col("_prev.v")).otherwise(F.col("_lag")))
-    return result.drop("_range", "_lag", "_rn", "_key", "_to", "_prev")
+    return result.drop("_hash", "_row", "_range", "_lag", "_rn", "_key", "_to", "_prev")
 
 
 def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
@@ -64,8 +71,8 @@ def normalise_flights(df: DataFrame, tie_breakers: tuple[str, ...] = (),
                       prior: bool = True, ranges: int | None = None) -> DataFrame:
     """Raw legs -> the 35-column flight contract (plus ``keep`` columns).
 
-    ``tie_breakers`` extend the window order after ``CRS_DEP_TIMESTAMP`` so the
-    previous leg is well defined when two legs share a scheduled time.  With
+    ``tie_breakers`` extend the window order after ``CRS_DEP_TIMESTAMP``; legs
+    that share a scheduled time without them are ordered by their content.  With
     ``prior=False`` the previous-leg flag is left NULL and no window runs (for
     consumers that never read it).
     """

@@ -90,6 +90,22 @@ def test_lag_by_ranges_of_a_hot_key_are_bounded(spark, kind, monkeypatch):
     assert largest <= 2 * 20_000 / 40
 
 
+@pytest.mark.parametrize("order", [("t",), ("t", "tie")])
+def test_ties_without_tie_breakers_are_cut_evenly_and_fixed(spark, order, monkeypatch):
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 20 == 0, F.lit("N1")).alias("k"), F.lit(None).cast("timestamp_ntz").alias("t"),
+        F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("tie"),
+        F.when(F.col("id") % 2 == 0, F.lit("1.0")).otherwise((F.col("id") % 7).cast("string")).alias("v"))
+    seen, keep = [], flights.materialise
+    monkeypatch.setattr(flights, "materialise", lambda s, x, name: seen.append(keep(s, x, name)) or seen[-1])
+    results = [sorted(map(tuple, flights.lag_by(df.repartition(p), "v", "k", list(order), "p", ranges=r).collect()), key=str) for p, r in ((3, 40), (11, 16))]
+    assert results[0] == results[1] and len(results[0]) == n
+    assert sum(row[-1] is None for row in results[0]) == 2              # the first leg of each tail
+    for table, ranges in ((seen[1], 40), (seen[3], 16)):
+        assert table.groupBy("k", "_range").count().agg(F.max("count")).first()[0] <= 2 * n / ranges
+
+
 def test_final_columns_list():
     assert len(FINAL_COLUMNS) == 51 and len(set(FINAL_COLUMNS)) == 51
     assert len(flights.FLIGHT_COLUMNS) == 35
