@@ -8,6 +8,11 @@ pre-aggregated row per task before the shuffle.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +21,12 @@ from runway.functions.text import delay_label
 from runway.session import default_parallelism
 from runway.sources.sinks import materialise
 
+#: a variance below this part of the mean square is computed once more, exactly
+CONSTANT = 1e-7
+#: size of a delay sketch: its rank error stays below SKETCH_ERROR with 99 % confidence
+SKETCH_K = 1024
+SKETCH_ERROR = 0.005
+
 
 def carrier_stats(df: DataFrame, carrier: str = "OP_UNIQUE_CARRIER",
                   delay: str = "DEP_DELAY_NEW") -> DataFrame:
@@ -74,6 +85,45 @@ def delay_quantiles(df: DataFrame, probs=(0.25, 0.5, 0.75), carrier: str = "OP_U
     return counts.groupBy("carrier").agg(*[F.percentile("v", p, F.col("n")).alias(f"q{round(p * 100)}") for p in probs])
 
 
+def delay_sketches(df: DataFrame, keys: tuple[str, ...] = ("OP_UNIQUE_CARRIER",), delay: str = "DEP_DELAY_NEW", k: int = SKETCH_K) -> DataFrame:
+    """A mergeable quantile sketch (KLL) of the delays of each group: the key columns, n, sketch.
+
+    For continuous delays, where ``delay_quantiles`` would keep every distinct value.  A
+    sketch is some tens of kilobytes however many delays it has seen; sketches of days or
+    airports can be written and merged later (``merge_sketches``).  NULL and NaN delays
+    are left out; a group without any has no row.
+    """
+    seen = df.where(F.col(delay).isNotNull() & ~F.isnan(F.col(delay).cast("double")))
+    return seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(delay).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Sketches of finer groups (or of several tables) merged to one per ``keys``."""
+    return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """The sketches' quantiles, one column q25, q50, ... each: delays that occurred, whose rank is off by SKETCH_ERROR at most."""
+    quantiles = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(f"q{round(p * 100)}") for p in probs]
+    return sketches.select(*[c for c in sketches.columns if c not in ("n", "sketch")], "n", *quantiles)
+
+
+def sketch_rank_errors(df: DataFrame, quantiles: DataFrame, probs=(0.25, 0.5, 0.75), carrier: str = "OP_UNIQUE_CARRIER",
+                       delay: str = "DEP_DELAY_NEW") -> DataFrame:
+    """(carrier, prob, n, rank_error): how far each sketched quantile is from its place among the delays, counted exactly.
+
+    A value that occurs often covers a range of places; the error is the distance from that range.
+    """
+    long = quantiles.select(F.col(carrier).alias("carrier"), F.inline(F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.col(f"q{round(p * 100)}").alias("value")) for p in probs])))
+    seen = df.where(F.col(delay).isNotNull()).groupBy(F.col(carrier).alias("of"), F.col(delay).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counted = (long.join(seen, F.col("carrier").eqNullSafe(F.col("of"))).groupBy("carrier", "prob")
+               .agg(F.sum("c").alias("n"), F.sum(F.when(F.col("v") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+                    F.sum(F.when(F.col("v") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto")))
+    low, high = F.col("below") / F.col("n"), F.col("upto") / F.col("n")
+    return counted.select("carrier", "prob", "n", F.greatest(F.lit(0.0), low - F.col("prob"), F.col("prob") - high).alias("rank_error"))
+
+
 def numbered_distinct(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL values of a column with their place in sorted order (from 1).
 
@@ -101,35 +151,78 @@ def delay_labels(df: DataFrame, delay: str = "DEP_DELAY_NEW",
 def pearson_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pairwise Pearson correlation in long form (col_a, col_b, corr).
 
-    Pairwise complete: each pair uses the rows where both are non-NULL.  A
-    constant column gives NULL (not an error under ANSI).  Every row emits one
-    (pair, x, y) record per column pair and a three-aggregate ``groupBy(pair)``
-    summarises them; partial aggregation leaves at most one row per pair and
-    task before the shuffle, so the data is read once and nothing is skewed.
+    Pairwise complete: each pair uses the rows where both are neither NULL nor NaN.
+    A column that is constant on a pair's rows, or holds an infinite value, gives NULL
+    (not an error under ANSI).
+
+    The columns are written once.  A first pass takes each column's mean and range; the
+    second turns each row into one vector of the shifted and scaled values, of which
+    values are present, and of the squares, and sums up the vectors' Gram matrix: it
+    holds, for every pair, the number of complete rows and the sums of x, y, xy, xx and yy.
+    A task keeps one such matrix, and matrices are merged as a tree, so what
+    travels depends on the number of columns alone.  Pairs whose variance all but
+    vanishes on their common rows are computed once more by exact aggregates.
     """
     if columns is None:
         columns = columns_of_type(df)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    records = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"),
-                                 F.col(b).cast("double").alias("y"))
-                        for i, (a, b) in enumerate(pairs)])
-    long = df.select(F.inline(records)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    moments = long.groupBy("p").agg(F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"),
-                                    F.stddev_pop("y").alias("sy"))
-    # every pair appears, with a NULL correlation when it has no complete row
-    index = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("p"))
-    moments = index.join(F.broadcast(moments), "p", "left")   # both sides: one row per pair
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    idx = F.col("p") + 1
-    r = F.try_divide(F.col("c"), F.col("sx") * F.col("sy"))
-    a, b = F.element_at(names_a, idx), F.element_at(names_b, idx)
-
-    def cell(x, y):
-        return F.struct(x.alias("col_a"), y.alias("col_b"), r.alias("corr"))
-
-    # both orientations from one pass (a union would plan the input twice)
-    cells = F.when(a == b, F.array(cell(a, b))).otherwise(F.array(cell(a, b), cell(b, a)))
-    return moments.select(F.explode(cells).alias("m")).select("m.*")
+    spark = df.sparkSession
+    schema = "col_a string, col_b string, corr double"
+    if not columns:
+        return spark.createDataFrame([], schema)
+    k = len(columns)
+    number = [F.col(c).cast("double") for c in columns]
+    values = materialise(spark, df.select(*[F.when(~F.isnan(c), c).alias(f"v{i}") for i, c in enumerate(number)]), "numbers")
+    values = _scaled(values, k)
+    moments = _comoments(values, k)
+
+    doubtful, found = [], {}
+    for i in range(k):
+        for j in range(i, k):
+            n, sx, sy, sxy, sxx, syy = moments(i, j)
+            if not n:
+                found[i, j] = None
+                continue
+            var_x, var_y = sxx / n - (sx / n) ** 2, syy / n - (sy / n) ** 2
+            if not (math.isfinite(var_x) and math.isfinite(var_y)):
+                found[i, j] = None
+            elif var_x <= CONSTANT * sxx / n or var_y <= CONSTANT * syy / n:
+                doubtful.append((i, j))
+            else:
+                found[i, j] = (sxy / n - sx / n * (sy / n)) / math.sqrt(var_x * var_y)
+    for at in range(0, len(doubtful), 50):
+        found |= _exact_correlations(values, doubtful[at:at + 50])
+    cells = [(columns[a], columns[b], found[min(a, b), max(a, b)]) for a in range(k) for b in range(k)]
+    return spark.createDataFrame(cells, schema)
+
+
+def _scaled(values: DataFrame, k: int) -> DataFrame:
+    """The columns v0 ... less their mean, divided by their range, so that sums of squares neither lose digits nor overflow."""
+    names = [f"v{i}" for i in range(k)]
+    seen = values.agg(*[F.avg(c).alias(f"m_{c}") for c in names], *[(F.max(c) - F.min(c)).alias(f"r_{c}") for c in names]).first()
+    return values.select(*[((F.col(c) - F.lit(seen[f"m_{c}"] or 0.0)) / F.lit(seen[f"r_{c}"] or 1.0)).alias(c) for c in names])
+
+
+def _comoments(values: DataFrame, k: int):
+    """Lookup of (n, sum x, sum y, sum xy, sum xx, sum yy) of a pair of the columns v0 ... of ``values``."""
+    z = [F.col(f"v{i}") for i in range(k)]
+    absent = F.lit(0.0)
+    vector = F.array(*[F.coalesce(x, absent) for x in z], *[x.isNotNull().cast("double") for x in z], *[F.coalesce(x * x, absent) for x in z])
+    rows = MLUtils.convertVectorColumnsFromML(values.select(array_to_vector(vector).alias("row")), "row")
+    if rows.isEmpty():
+        return lambda i, j: (0, 0.0, 0.0, 0.0, 0.0, 0.0)
+    gram = RowMatrix(rows, numCols=3 * k).computeGramianMatrix().toArray().tolist()
+
+    def pair(i: int, j: int) -> tuple:
+        return (gram[k + i][k + j], gram[i][k + j], gram[j][k + i], gram[i][j], gram[2 * k + i][k + j], gram[2 * k + j][k + i])
+    return pair
+
+
+def _exact_correlations(values: DataFrame, pairs: list[tuple[int, int]]) -> dict[tuple[int, int], float | None]:
+    """Correlations by Spark's own covariance and deviation, each over the rows where both are present."""
+    def one(i: int, j: int):
+        both = F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull()
+        x, y = F.when(both, F.col(f"v{i}")), F.when(both, F.col(f"v{j}"))
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        return F.when(~F.isnan(r), r).alias(f"r{i}_{j}")
+    got = values.agg(*[one(i, j) for i, j in pairs]).first()
+    return {(i, j): got[f"r{i}_{j}"] for i, j in pairs}

@@ -544,6 +544,14 @@ def delay_quantiles(spark, d):
     return stats.delay_quantiles(_departures(spark, d))
 
 
+@query
+def delay_sketch_bound(spark, d):
+    """Whether the sketched quartiles of each carrier's delays keep to the sketch's rank error."""
+    dep = _departures(spark, d)
+    errors = stats.sketch_rank_errors(dep, stats.sketch_quantiles(stats.delay_sketches(dep)))
+    return errors.select("carrier", "prob", "n", (F.col("rank_error") <= stats.SKETCH_ERROR).alias("within"))
+
+
 @query(sums=WEATHER_MEANS)
 def select_by_type(spark, d):
     """The double-typed columns of the departure feature table (J-7)."""

@@ -569,6 +569,9 @@ SELECT OP_UNIQUE_CARRIER AS carrier, round(round(quantile_cont(DEP_DELAY_NEW, 0.
        round(round(quantile_cont(DEP_DELAY_NEW, 0.5), 9), 6) AS q50,
        round(round(quantile_cont(DEP_DELAY_NEW, 0.75), 9), 6) AS q75
 FROM dep WHERE DEP_DELAY_NEW IS NOT NULL GROUP BY OP_UNIQUE_CARRIER"""
+    out["delay_sketch_bound"] = base + """
+SELECT OP_UNIQUE_CARRIER AS carrier, CAST(p AS DOUBLE) AS prob, count(*) AS n, TRUE AS within
+FROM dep, (VALUES (0.25), (0.5), (0.75)) AS probs(p) WHERE DEP_DELAY_NEW IS NOT NULL GROUP BY ALL"""
     out["select_by_type"] = sides + f"SELECT {', '.join(FEATURE_DOUBLES)} FROM ({_features_select('dep')})"
     out["corr_matrix"] = _corr_sql(sides)
     return out
