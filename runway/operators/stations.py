@@ -8,11 +8,9 @@ of three rules, in order of precedence:
 3. ``call`` - otherwise: CALL_SIGN contains ``'K' + code``.
 
 The reference runs one filter per airport.  Here the rules become one table
-(airport, field, needle) and the ``contains`` tests become one equi-join: each
-distinct station emits the substrings of its NAME / CALL_SIGN whose lengths
-occur among the needles, and these are joined to the needles.  That is exact
-``contains`` semantics without a nested-loop join, and it runs on distinct
-stations, never on the reports.
+(airport, field, needle) and the ``contains`` tests become one equi-join over
+short substrings, verified afterwards.  That is exact ``contains`` semantics
+without a nested-loop join, and it runs on distinct stations, never on the reports.
 """
 
 from __future__ import annotations
@@ -22,6 +20,8 @@ from pyspark.sql import functions as F
 
 from runway.functions.text import call_sign, city_key
 
+GRAM = 3     # characters of an indexed substring
+
 
 def hub_table(spark: SparkSession, hubs: dict[str, str]) -> DataFrame:
     """The fixed hub -> station-name table as a DataFrame."""
@@ -81,41 +81,43 @@ def airport_rules(codes: DataFrame, stations: DataFrame, hubs: DataFrame) -> Dat
     return base.select("code", rule.alias("rule"), field.alias("field"), needle.alias("needle"))
 
 
-def _substrings(text: Column, lengths: list[int]) -> Column:
-    """All substrings of ``text`` whose length is in ``lengths`` (NULL text -> none)."""
-    empty = F.array().cast("array<string>")
-
-    def cut(n: int):
-        return lambda start: F.substr(text, start, F.lit(n))
-
-    parts = []
-    for n in lengths:
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        parts.append(F.coalesce(F.when(F.length(text) >= n, F.transform(starts, cut(n))), empty))
-    return F.array_distinct(F.concat(*parts)) if parts else empty
+def grams(text: Column, q: int) -> Column:
+    """The distinct substrings of ``q`` characters of a text: no more than it has characters (NULL or shorter: none)."""
+    starts = F.sequence(F.lit(1), F.length(text) - (q - 1))
+    cut = F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, F.lit(q))))
+    return F.coalesce(F.when(F.length(text) >= q, cut), F.array().cast("array<string>"))
 
 
 def match_stations(stations: DataFrame, rules: DataFrame) -> DataFrame:
     """(NAME, CALL_SIGN, code) for every station an airport's rule selects.
 
-    ``rules`` is read twice: pass a written table.  ``stations`` holds distinct (NAME, CALL_SIGN).  A station can serve several
+    ``stations`` holds distinct (NAME, CALL_SIGN).  A station can serve several
     airports and an airport several stations, as with the reference's filters.
+    A NULL needle selects nothing; an empty one every station whose field is not NULL.
+
+    An inverted index of the needles: each stands under one of its ``GRAM``-character
+    substrings, the one that the fewest stations have, a shorter needle under all
+    of itself.  A station is looked up by the substrings of its NAME and of its CALL_SIGN,
+    at most as many per size as the text has characters, and each needle found is
+    verified against the text.  Both tables are read more than once: pass written ones.
     """
-    rules = rules.where(F.col("needle").isNotNull())
-    # one small planning job: the needle lengths of each tested field
-    plan = {r["field"]: r for r in rules.groupBy("field").agg(
-        F.collect_set(F.length("needle")).alias("lens")).collect()}
-    out = None
-    for field in ("NAME", "CALL_SIGN"):
-        if field not in plan:
-            continue
-        subset = rules.where(F.col("field") == field).select("code", "needle")
-        lengths = sorted(plan[field]["lens"])
-        probes = stations.select("NAME", "CALL_SIGN",
-                                 F.explode(_substrings(F.col(field), lengths)).alias("_sub"))
-        hit = probes.join(subset, probes["_sub"] == subset["needle"]).select("NAME", "CALL_SIGN", "code")
-        out = hit if out is None else out.unionByName(hit)
-    if out is None:
-        spark = stations.sparkSession
-        return spark.createDataFrame([], "NAME string, CALL_SIGN string, code string")
-    return out.distinct()
+    needles = rules.where(F.col("needle").isNotNull()).select("code", "field", "needle")
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("NAME", "CALL_SIGN")])
+    texts = stations.select("NAME", "CALL_SIGN", F.inline(fields)).where(F.col("text").isNotNull())
+    sizes = [F.when(F.lit(q) <= F.length("text"), grams(F.col("text"), q)).otherwise(F.array().cast("array<string>")) for q in range(1, GRAM + 1)]
+    # a size below GRAM is looked up only if a needle is as short
+    short = needles.where(F.length("needle") < GRAM).agg(*[F.count_if(F.length("needle") == q).alias(f"n{q}") for q in range(GRAM)]).first()
+    used = [sizes[q - 1] for q in range(1, GRAM + 1) if q == GRAM or short[f"n{q}"]]
+    probes = texts.select("NAME", "CALL_SIGN", "field", "text", F.explode(F.concat(*used)).alias("gram"))
+    common = probes.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n"))
+
+    keys = needles.select("code", "field", "needle", F.explode(
+        F.when(F.length("needle") < GRAM, F.array("needle")).otherwise(grams(F.col("needle"), GRAM))).alias("gram"))
+    # a needle whose gram no station has matches nothing, and that gram is the one chosen
+    index = (keys.join(common, ["field", "gram"], "left").groupBy("code", "field", "needle")
+             .agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0).cast("long")), "gram")).alias("gram")))
+    hits = probes.join(index, ["field", "gram"]).where(F.col("text").contains(F.col("needle"))).select("NAME", "CALL_SIGN", "code")
+    if short["n0"]:
+        anything = needles.where(F.col("needle") == "").select("code", "field")
+        hits = hits.unionByName(texts.join(anything, "field").select("NAME", "CALL_SIGN", "code"))
+    return hits.distinct()

@@ -15,9 +15,3 @@ def spark():
     s = build_session("local[4]", app="runway-tests", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect selected columns as plain tuples, sorted."""
-    sel = df.select(*cols) if cols else df
-    return sorted([tuple(r) for r in sel.collect()], key=lambda t: tuple((x is None, str(x)) for x in t))

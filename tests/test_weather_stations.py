@@ -1,7 +1,6 @@
 import datetime as dt
 
-from conftest import rows
-from fixtures import REPORT_SCHEMA, report
+from fixtures import REPORT_SCHEMA, report, rows
 from runway.operators import stations, weather
 
 JFK = "JFK INTERNATIONAL AIRPORT, NY US"
@@ -88,6 +87,22 @@ def test_match_equals_brute_force_contains(spark):
     assert got == want
 
 
+def test_probes_of_a_station_are_bounded_by_its_length(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    text = lambda n: "".join(rnd.choice("AB É") for _ in range(n))
+    names = [text(rnd.randint(0, 30)) for _ in range(60)] + ["A" * 5000]
+    calls = [rnd.choice([None, text(4)]) for _ in names]
+    needles = [(f"N{i}", "x", rnd.choice(["NAME", "CALL_SIGN"]), text(rnd.randint(0, 6))) for i in range(60)] + [("Z", "x", "NAME", "A" * 4000)]
+    keys = spark.createDataFrame(list(zip(names, calls)), "NAME string, CALL_SIGN string").distinct()
+    rules = spark.createDataFrame(needles, "code string, rule string, field string, needle string")
+    want = {(n, c, code) for n, c in zip(names, calls) for code, _, f, s in needles for t in [n if f == "NAME" else c] if t is not None and s in t}
+    assert set(map(tuple, stations.match_stations(keys, rules).collect())) == want
+    probes = keys.select("NAME", F.size(stations.grams(F.col("NAME"), stations.GRAM)).alias("n")).collect()
+    assert all(r["n"] <= len(r["NAME"]) for r in probes)
+
+
 def test_missing_call_signs(spark):
     st = spark.createDataFrame([("1", "KJFK "), ("2", None)], "STATION string, CALL_SIGN string")
     codes = spark.createDataFrame([("JFK",), ("PWM",)], "code string")
