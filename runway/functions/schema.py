@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,19 +63,23 @@ def spark_type_for(dtype_name: str) -> T.DataType:
     return DTYPE_TO_SPARK.get(dtype_name, T.StringType())
 
 
-def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = True, failed: Observation | None = None) -> DataFrame:
     """Cast ``df`` to a declared schema, by column name and in the schema's order.
 
     A value that does not convert raises (ANSI cast); with ``strict=False`` it
     becomes NULL (``try_cast``).  Missing columns become typed NULLs.
+
+    With ``strict=False``, ``failed`` (an unused ``pyspark.sql.Observation``) counts, in
+    the same pass, the values that did not convert: after the first action on
+    the result ``failed.get`` holds one number per column that both sides have, and
+    ``rows``.  A column of the input that is itself called ``rows`` is counted as ``rows_``.
     """
-    cols = []
     present = set(df.columns)
-    for f in schema.fields:
-        if f.name in present:
-            c = F.col(f.name)
-            c = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
-        else:
-            c = F.lit(None).cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(cols)
+    cast = {f.name: F.col(f"`{f.name}`").cast(f.dataType) if strict else F.col(f"`{f.name}`").try_cast(f.dataType)
+            for f in schema.fields if f.name in present}
+    if failed is not None:
+        if strict:
+            raise ValueError("a strict cast raises at the first value that does not convert: there is nothing to count")
+        counts = [F.count_if(F.col(f"`{n}`").isNotNull() & c.isNull()).alias("rows_" if n == "rows" else n) for n, c in cast.items()]
+        df = df.observe(failed, F.count(F.lit(1)).alias("rows"), *counts)
+    return df.select(*[cast.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])

@@ -27,7 +27,7 @@ from runway.operators.predicates import contains, either_end, open_span
 from runway.operators.stations import airport_rules, both_ends, hub_table, match_stations
 from runway.operators.weather import observations, pool_hourly, station_hour_partials
 from runway.params import FINAL_COLUMNS, JobParams
-from runway.sources.sinks import materialise, write_replace
+from runway.sources.sinks import materialise, replace_table
 
 
 def prepare_legs(flights: DataFrame, params: JobParams, tie_breakers: tuple[str, ...] = (),
@@ -150,10 +150,14 @@ def write_feature_tables(dep: DataFrame, arr: DataFrame, out_dir: str, airport:
     """Replace the airport's departure and arrival feature tables under ``out_dir``.
 
     Partitioned by year and month so later reads of a date range prune files.
-    Returns the two paths.
+    Returns the two paths; ``sinks.read_current`` reads them.
     """
-    paths = {"dep": f"{out_dir.rstrip('/')}/airlines_dep_{airport}.parquet",
-             "arr": f"{out_dir.rstrip('/')}/airlines_arr_{airport}.parquet"}
-    write_replace(dep, paths["dep"], partition_by)
-    write_replace(arr, paths["arr"], partition_by)
+    spark, paths = dep.sparkSession, feature_paths(out_dir, airport)
+    replace_table(spark, dep, paths["dep"], partition_by)
+    replace_table(spark, arr, paths["arr"], partition_by)
     return paths
+
+
+def feature_paths(out_dir: str, airport: str) -> dict[str, str]:
+    """Where an airport's feature tables stand under ``out_dir``."""
+    return {side: f"{out_dir.rstrip('/')}/airlines_{side}_{airport}.parquet" for side in ("dep", "arr")}

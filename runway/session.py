@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -73,33 +74,57 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_written: list[str] = []      # intermediate tables of this process, oldest first
+#: the intermediate tables written inside the current ``intermediates`` blocks, innermost last;
+#: kept per thread and task, so that jobs at the same time do not see each other's
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("runway_intermediates", default=())
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/runway-{name}-{uuid.uuid4().hex[:12]}"
-    _written.append(path)
+    for scope in _scopes.get()[-1:]:
+        scope.append(path)
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Delete the intermediate tables written inside the block at its end, also on failure.
 
-    For jobs that end with a written result; a query that returns a lazy
-    DataFrame still needs its tables.
+    For work that ends with a written result; a query that returns a lazy
+    DataFrame still needs its tables.  Blocks can be nested.
+    """
+    written: list[str] = []
+    token = _scopes.set((*_scopes.get(), written))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in written:
+            delete_path(spark, path)
+
+
+@contextmanager
+def fixed_partitions(spark: SparkSession) -> Iterator[None]:
+    """Plans that run inside the block keep the partitioning they state, and their checkpoints remember it.
+
+    Adaptive execution would merge partitions at run time and hide the partitioning
+    from whoever reads the checkpoint.
     """
-    before = len(_written)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
     try:
         yield
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _written[before:]:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
-        del _written[before:]
+        spark.conf.set(key, before)
 
 
 def default_parallelism(spark: SparkSession) -> int:
