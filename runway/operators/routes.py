@@ -8,7 +8,6 @@ graph proper; it feeds ``two_hop_counts`` and ``runway.operators.pagerank``.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from runway.functions.text import comma_part
 from runway.operators.predicates import delayed_from, delayed_into
 from runway.params import MOTIF_MIN_DELAY, MOTIF_MIN_TRIP_GAP
 from runway.session import default_parallelism, ensure_checkpoint_dir
+from runway.sources.sinks import materialise
 
 
 def route_vertices(df: DataFrame, column: str = "ORIGIN") -> DataFrame:
@@ -54,13 +54,6 @@ def delay_means(edges: DataFrame, code: str, keys: list[str]) -> DataFrame:
                                      .orderBy(F.desc("avg_delay"), *keys))
 
 
-def range_cuts(df: DataFrame, key: str, buckets: int) -> list[float]:
-    """Borders of ``buckets`` ranges of about equal size: quantiles whose rank error is a quarter
-    of a range's share at most, however many ranges there are."""
-    probs = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(key, probs, 1 / (4 * buckets)))) if probs else []
-
-
 def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
                    trip: str = "tripId", min_delay: float = MOTIF_MIN_DELAY,
                    min_gap: int = MOTIF_MIN_TRIP_GAP, buckets: int | None = None) -> DataFrame:
@@ -73,10 +66,11 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
     No path is materialised: the number of partners of an ``ab`` edge is the
     number of ``bc`` edges above a threshold, a rank count.  Both sides are
     first collapsed per distinct trip value (and checkpointed, so the edge table
-    is scanned once), then cut into ranges of about equal
-    size (quantiles over both sides); inside a range a running count sorted by
-    trip value gives the partners in that range, and per-range totals summed
-    over the ranges above give the rest.  Work is linear in the edges.
+    is scanned once), then cut into ``buckets`` ranges (default: the shuffle
+    partitions) at borders that Spark's range shuffle samples, equal trip values
+    together; inside a range a running count sorted by trip value gives the partners in
+    that range, and per-range totals summed over the ranges above give the rest.  Work is
+    linear in the edges.
     """
     ids = vertices.select(F.col("id").alias("_v"))
     mid_v = ids.where(F.col("_v") == mid)
@@ -111,17 +105,8 @@ def two_hop_counts(edges: DataFrame, vertices: DataFrame, mid: str, end: str,
     ensure_checkpoint_dir(edges.sparkSession)
     collapsed = collapsed.checkpoint()
 
-    cuts = range_cuts(collapsed, "_key", buckets)
-    bucketizer = (Bucketizer(splits=[float("-inf"), *cuts, float("inf")],
-                             inputCol="_keyd", outputCol="_bd") if cuts else None)
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        if bucketizer is None:
-            return df.withColumn("_b", F.lit(0))
-        out = bucketizer.transform(df.withColumn("_keyd", F.col("_key").cast("double")))
-        return out.withColumn("_b", F.col("_bd").cast("int")).drop("_keyd", "_bd")
-
-    rows = bucketed(collapsed)
+    ranged = collapsed.repartitionByRange(buckets, "_key").withColumn("_b", F.spark_partition_id())
+    rows = materialise(edges.sparkSession, ranged, "motif-ranges")     # both uses see the same ranges
     # Inside a range, sorted by key descending with queries before points of the
     # same key, the running sum at a query covers the points with a larger key.
     w = (Window.partitionBy("_b").orderBy(F.desc("_key"), F.asc("_kind"))

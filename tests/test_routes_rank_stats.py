@@ -1,4 +1,3 @@
-import bisect
 import random
 from collections import defaultdict
 
@@ -8,6 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import FLIGHT_SCHEMA, leg
 from runway.operators import features, pagerank, routes, stats
 from runway.params import JobParams
+from runway.session import fixed_partitions
 
 
 def _brute_two_hop(edges, vertices, mid, end, min_delay=500.0, gap=10000):
@@ -126,13 +126,77 @@ def test_carrier_statistics(spark):
     assert hist == sorted([("AA", -5.0, 1), ("AA", 10.0, 1), ("BB", 0.0, 1), (None, 95.0, 1)], key=str)
 
 
-def test_motif_ranges_follow_their_number(spark):
-    df = spark.range(200_000).select((F.col("id") * F.col("id") % 1_000_003).alias("k"))
-    cuts = routes.range_cuts(df, "k", 5000)
-    keys = sorted(r["k"] for r in df.collect())
-    edges = [bisect.bisect_left(keys, c) for c in cuts]
-    sizes = [b - a for a, b in zip([0, *edges], [*edges, len(keys)])]
-    assert max(sizes) <= 3 * len(keys) / 5000
+def test_motif_ranges_are_even_and_the_driver_gets_no_borders(spark, monkeypatch):
+    e = spark.range(40_000).select(F.lit("A").alias("src"), F.lit("B").alias("dst"), F.lit(600.0).alias("delay"),
+                                   (F.col("id") * F.col("id") % 1_000_003).alias("tripId"))
+    e = e.unionByName(e.limit(1).select(F.lit("B").alias("src"), F.lit("C").alias("dst"), "delay", F.lit(999_000).cast("long").alias("tripId")))
+    v = spark.createDataFrame([("A",), ("B",), ("C",)], "id string")
+    seen, keep = [], routes.materialise
+    monkeypatch.setattr(routes, "materialise", lambda s, x, name: seen.append(keep(s, x, name)) or seen[-1])
+    got = {r["a"]: r["n_paths"] for r in routes.two_hop_counts(e, v, "B", "C", buckets=50).collect()}
+    assert got == {"A": e.where("src = 'A' and tripId + 10000 < 999000").count()}
+    sizes = [r["count"] for r in seen[0].groupBy("_b").count().collect()]
+    assert len(sizes) > 40 and max(sizes) <= 3 * sum(sizes) / 50
+
+
+def test_pagerank_round_shuffles_contributions_only(spark):
+    edges = spark.range(500).select((F.col("id") % 23).cast("string").alias("src"), (F.col("id") % 37).cast("string").alias("dst"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with fixed_partitions(spark):
+        ids = edges.select(F.col("src").alias("id")).distinct().repartition(n, "id").checkpoint()
+        weights = pagerank.weighted_edges(ids, edges).repartition(n, "src").checkpoint()
+        ranks = ids.select("id", F.lit(1.0).alias("pagerank"))
+        for _ in range(2):                       # the second round reads checkpointed ranks
+            turn = pagerank.one_round(ids, weights, ranks, 0.15)
+            plan = turn._jdf.queryExecution().executedPlan().toString()
+            exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+            assert len(exchanges) == 1 and "hashpartitioning(dst" in exchanges[0], plan
+            ranks = turn.checkpoint()
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_pearson_large_offset_and_pairwise_nulls(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=4000)
+    cols = {"big": 1e9 + a, "mixed": 3e-7 * (a + rng.normal(size=4000)), "huge": 1e200 * (rng.normal(size=4000) - a), "late": a ** 2 - 5e6}
+    gaps = {c: rng.random(4000) < 0.3 for c in cols}
+    names = list(cols)
+    data = [tuple(None if gaps[c][i] else float(cols[c][i]) for c in names) + (float("nan") if i % 3 else 1.5,) for i in range(4000)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in [*names, "holes"])).repartition(7)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in stats.pearson_pairs(df).collect()}
+    for x in names:
+        for y in names:
+            both = ~gaps[x] & ~gaps[y]
+            scale = 1e200 if "huge" in (x, y) else 1.0
+            want = np.corrcoef(cols[x][both] / (scale if x == "huge" else 1.0), cols[y][both] / (scale if y == "huge" else 1.0))[0, 1]
+            assert abs(got[(x, y)] - want) < 1e-6, (x, y)
+    assert got[("holes", "big")] is None                      # NaN is missing, the rest is constant
+
+
+def test_pearson_pairs_nearly_constant_on_common_rows_are_exact(spark):
+    df = spark.createDataFrame([(float(i), None if i < 5 else 1e6, 2.0 * i) for i in range(8)] + [(1e12, 3.0, None), (9.0, 1e6 + 1, 1.0)], "x double, y double, z double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in stats.pearson_pairs(df).collect()}
+    import numpy as np
+    want = np.corrcoef([5, 6, 7, 9], [1e6, 1e6, 1e6, 1e6 + 1])[0, 1]
+    assert got[("y", "z")] is not None and got[("x", "x")] == pytest.approx(1.0)
+    pair = df.where("x < 100 and y is not null").select("x", "y")
+    assert {(r["col_a"], r["col_b"]): r["corr"] for r in stats.pearson_pairs(pair).collect()}[("x", "y")] == pytest.approx(want)
+    inf = spark.createDataFrame([(1.0, 1.0), (2.0, float("inf")), (3.0, 5.0)], "x double, y double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in stats.pearson_pairs(inf).collect()}
+    assert got[("x", "y")] is None and got[("y", "y")] is None and got[("x", "x")] == pytest.approx(1.0)
+
+
+def test_sketches_keep_to_their_rank_error_and_merge(spark):
+    df = spark.range(60_000).select((F.col("id") % 3).cast("string").alias("OP_UNIQUE_CARRIER"), (F.col("id") % 5).alias("day"),
+                                    F.when(F.col("id") % 11 > 0, F.sqrt(F.col("id") * 7919 % 60_000)).alias("DEP_DELAY_NEW"))
+    whole = stats.delay_sketches(df)
+    parts = stats.merge_sketches(stats.delay_sketches(df, ("OP_UNIQUE_CARRIER", "day")), ("OP_UNIQUE_CARRIER",))
+    for sketches in (whole, parts):
+        quantiles = stats.sketch_quantiles(sketches, (0.01, 0.5, 0.99))
+        errors = stats.sketch_rank_errors(df, quantiles, (0.01, 0.5, 0.99)).collect()
+        assert len(errors) == 9 and max(r["rank_error"] for r in errors) <= stats.SKETCH_ERROR
+        assert sum(r["n"] for r in quantiles.collect()) == df.where("DEP_DELAY_NEW is not null").count()
 
 
 def test_quantiles_are_exact(spark):
