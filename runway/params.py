@@ -39,6 +39,7 @@ CALL_SIGN_PREFIX = "K"            # call sign = prefix + airport code
 PAGERANK_RESET = 0.15
 PAGERANK_ITERATIONS = 5
 PAGERANK_TOP = 50
+MOTIF_MID, MOTIF_END = "SFO", "JFK"
 MOTIF_MIN_DELAY = 500.0
 MOTIF_MIN_TRIP_GAP = 10000
 
