@@ -15,7 +15,7 @@ without a nested-loop join, and it runs on distinct stations, never on the repor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runway.functions.text import call_sign, city_key
@@ -96,10 +96,10 @@ def match_stations(stations: DataFrame, rules: DataFrame) -> DataFrame:
     A NULL needle selects nothing; an empty one every station whose field is not NULL.
 
     An inverted index of the needles: each stands under one of its ``GRAM``-character
-    substrings, the one that the fewest stations have, a shorter needle under all
+    substrings, the one that the fewest needles have, a shorter needle under all
     of itself.  A station is looked up by the substrings of its NAME and of its CALL_SIGN,
     at most as many per size as the text has characters, and each needle found is
-    verified against the text.  Both tables are read more than once: pass written ones.
+    verified against the text.  ``rules`` is read twice: pass a written table.
     """
     needles = rules.where(F.col("needle").isNotNull()).select("code", "field", "needle")
     fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("NAME", "CALL_SIGN")])
@@ -109,13 +109,10 @@ def match_stations(stations: DataFrame, rules: DataFrame) -> DataFrame:
     short = needles.where(F.length("needle") < GRAM).agg(*[F.count_if(F.length("needle") == q).alias(f"n{q}") for q in range(GRAM)]).first()
     used = [sizes[q - 1] for q in range(1, GRAM + 1) if q == GRAM or short[f"n{q}"]]
     probes = texts.select("NAME", "CALL_SIGN", "field", "text", F.explode(F.concat(*used)).alias("gram"))
-    common = probes.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n"))
-
     keys = needles.select("code", "field", "needle", F.explode(
         F.when(F.length("needle") < GRAM, F.array("needle")).otherwise(grams(F.col("needle"), GRAM))).alias("gram"))
-    # a needle whose gram no station has matches nothing, and that gram is the one chosen
-    index = (keys.join(common, ["field", "gram"], "left").groupBy("code", "field", "needle")
-             .agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0).cast("long")), "gram")).alias("gram")))
+    shared = keys.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("field", "gram")))
+    index = shared.groupBy("code", "field", "needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
     hits = probes.join(index, ["field", "gram"]).where(F.col("text").contains(F.col("needle"))).select("NAME", "CALL_SIGN", "code")
     if short["n0"]:
         anything = needles.where(F.col("needle") == "").select("code", "field")
