@@ -1,6 +1,6 @@
 """BPE encoding and decoding over a distinct-word table.
 
-The tokenizer never joins pieces over ASCII white space, so a text's ids are the
+A tokenizer that never joins pieces over ASCII white space gives a text the
 ids of its words (runs without ASCII white space) in order; trailing punctuation
 counts as a word of its own (see ``Parts``).  Consecutive texts form compressed
 blocks of about ``BLOCK_BYTES``; each block names its distinct words once, the words meet in buckets by a hash, where each distinct word is encoded
@@ -15,6 +15,7 @@ each id up in the table of pieces, whose size is that of the vocabulary.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -48,8 +49,42 @@ def load(path: str):
 
 def encode_words(tokenizer, words: list[bytes]) -> list[bytes]:
     """The ids of each word as little-endian 32-bit integers."""
-    texts = [w.decode("utf-8", "replace") for w in words]
-    return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    out = []
+    for at in range(0, len(words), 1000):      # an encoding holds far more than its ids
+        texts = [w.decode("utf-8", "replace") for w in words[at:at + 1000]]
+        out += [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return out
+
+
+def splits_words(tokenizer) -> bool:
+    """Whether the tokenizer works on the parts of ``Parts`` one by one, so that their ids can be joined.
+
+    It must lower-case after NFC, turn white space into spaces, cut letters,
+    digits and other characters apart with the pattern below, drop what is between, and have no
+    special token that begins with anything but "<|".  Only then are texts cut into parts;
+    any other tokenizer gets whole texts.
+    """
+    rules = json.loads(tokenizer.to_str())
+    special = all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) and not re.search(r"\s", t["content"])
+                  for t in rules["added_tokens"])
+    return special and rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and rules["post_processor"] is None
+
+
+# fixed values: the rules of a tokenizer that never joins pieces over the borders of parts
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def encode_texts(tokenizer, texts: list[bytes]) -> list[np.ndarray]:
+    """The ids of whole texts, a few at a time; for any tokenizer."""
+    out = []
+    for at in range(0, len(texts), 16):
+        some = [t.decode("utf-8", "replace") for t in texts[at:at + 16]]
+        out += [np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+    return out
 
 
 def raw_text(text: str | None) -> bytes:
@@ -61,11 +96,16 @@ def _pack(items: list[bytes]) -> bytes:
     return zstandard.compress(np.uint32(len(items)).tobytes() + sizes.tobytes() + b"".join(items), 3)
 
 
-def _unpack(raw: bytes) -> list[bytes]:
+def _unpack(raw: bytes) -> tuple[np.ndarray, bytes]:
+    """Sizes and joined bytes of packed items."""
     data = zstandard.decompress(raw)
     n = int(np.frombuffer(data, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4)).tolist()
-    body = data[4 + 4 * n:]
+    return np.frombuffer(data, "<u4", n, 4).astype(np.int64), data[4 + 4 * n:]
+
+
+def _items(raw: bytes) -> list[bytes]:
+    sizes, body = _unpack(raw)
+    ends = np.cumsum(sizes).tolist()
     return [body[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -80,12 +120,13 @@ class Parts:
 
     A word's trailing punctuation is a part of its own if an ASCII letter or digit
     stands before it, and parts that differ in the case of ASCII letters are one: the
-    tokenizer splits and lowers there too.  A word that may spell a special token ("<|")
-    is one part, with its case.  Parts are told apart by a 64-bit hash.
+    tokenizer splits and lowers there too (``splits_words``).  A word that may spell a
+    special token ("<|") is one part, with its case.  Parts are told apart by a 64-bit hash.
     """
 
     def __init__(self, texts: list[bytes]) -> None:
         buf, starts, ends, at = joined_words(texts)
+        starts, ends = starts.astype(np.int32), ends.astype(np.int32)
         self.raw = buf.tobytes()
         special = np.zeros(len(starts), dtype=bool)
         found = [m.start() for m in re.finditer(rb"<\|", self.raw)]
@@ -98,35 +139,37 @@ class Parts:
         special[more] = True
         two = (cut > starts) & (cut < ends) & ~special
         two[two] = _ALNUM[buf[cut[two] - 1]]
-        n_parts = 1 + two
-        begin = np.cumsum(n_parts) - n_parts
+        n_parts = two.astype(np.int32) + np.int32(1)
+        begin = np.cumsum(n_parts, dtype=np.int32) - n_parts
+        self.at = np.append(begin, np.int32(len(starts) + np.count_nonzero(two)))[at]
         starts, ends = np.repeat(starts, n_parts), np.repeat(ends, n_parts)
         ends[begin[two]] = starts[begin[two] + 1] = cut[two]
-        self.at = np.concatenate([begin, [len(starts)]])[at]
         with np.errstate(over="ignore"):
             key = span_hashes(buf, starts, ends, lower=True)
             exact = begin[special]
             key[exact] = mix(span_hashes(buf, starts[exact], ends[exact], lower=False))
-        self.which, self.keys = pd.factorize(key)
-        first = np.empty(len(self.keys), dtype=np.int64)
-        first[self.which[::-1]] = np.arange(len(self.which) - 1, -1, -1)
-        self.starts, self.ends = starts[first].tolist(), ends[first].tolist()
-
-    def word(self, i: int) -> bytes:
-        """The i-th distinct part."""
-        return self.raw[self.starts[i]:self.ends[i]]
-
-    def ids(self, held: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text, given the ids of each distinct part."""
-        flat = np.frombuffer(b"".join(held), dtype="<u4")
-        size = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
-        # every part's ids in order: a run of `flat` for each
+        which, self.keys = pd.factorize(key)
+        self.which = which.astype(np.int32)
+        first = np.empty(len(self.keys), dtype=np.int32)
+        first[self.which[::-1]] = np.arange(len(self.which) - 1, -1, -1, dtype=np.int32)
+        self.starts, self.ends = starts[first], ends[first]
+
+    def words(self, numbers: np.ndarray) -> list[bytes]:
+        """Distinct parts by their numbers."""
+        return [self.raw[a:b] for a, b in zip(self.starts[numbers].tolist(), self.ends[numbers].tolist(), strict=True)]
+
+    def ids(self, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and where each text's begin; the i-th part's are ``flat[first[i]:first[i] + size[i]]``."""
         sizes = size[self.which]
-        after = np.cumsum(sizes)
-        from_flat = (np.cumsum(size) - size)[self.which] - (after - sizes)
-        out = flat[np.arange(after[-1] if len(after) else 0) + np.repeat(from_flat, sizes)]
-        bounds = np.concatenate([[0], after])[self.at]
-        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        after = np.cumsum(sizes, dtype=np.int64)
+        out = np.empty(int(after[-1]) if len(after) else 0, dtype=flat.dtype)
+        for lo in range(0, len(sizes), _STEP):
+            hi = min(len(sizes), lo + _STEP)
+            begin = after[lo:hi] - sizes[lo:hi]
+            at = np.repeat(first[self.which[lo:hi]] - begin, sizes[lo:hi])
+            at += np.arange(begin[0], after[hi - 1])
+            out[begin[0]:after[hi - 1]] = flat[at]
+        return out, np.append(np.int64(0), after)[self.at]
 
     def by_bucket(self, buckets: int) -> list[np.ndarray]:
         """The distinct parts' numbers by bucket, in order."""
@@ -135,6 +178,9 @@ class Parts:
         return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
 
 
+_STEP = 1 << 17      # parts whose ids are put in place at once
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of rows (last column: text) as compressed Arrow data, with a number for each run."""
     from pyspark import TaskContext
@@ -164,61 +210,81 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _rows(data: bytes) -> pd.DataFrame:
-    """The rows of a block; whole numbers stay whole beside NULLs."""
-    whole = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.int16(): pd.Int16Dtype(), pa.int8(): pd.Int8Dtype()}
-    return pa.ipc.open_stream(data).read_all().to_pandas(types_mapper=whole.get)
-
-
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and ``ids`` array<int> of each row's whole text (no special tokens added).
 
-    NULL and empty texts and texts of white space have no ids.  Special tokens
-    that a text spells out are encoded as the library does.  Repeated rows stay
-    as many; other columns are ignored.
+    NULL and empty texts have no ids.  Special tokens that a text spells out are
+    encoded as the library does.  Repeated rows stay as many, no rows give none;
+    other columns are ignored.  A tokenizer that does not keep to the
+    words (``splits_words``) encodes whole texts, each in its place.
     """
     names = [f"c{i}" for i in range(len(carry))]
     base = docs.select(*[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)], F.col(text_col).cast("string").alias("text"))
+    out_type = T.StructType([*[T.StructField(n, base.schema[n].dataType) for n in names], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    back = [F.col(n).alias(c) for n, c in zip(names, carry, strict=True)]
+
+    def with_ids(rows: pa.Table, flat: np.ndarray, bounds: np.ndarray) -> pa.Table:
+        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32, copy=False), pa.int32()))
+        return rows.drop_columns(["text"]).append_column("ids", ids)
+
+    if not splits_words(load(tokenizer_path)):
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokenizer = load(tokenizer_path)
+            for batch in batches:
+                found = encode_texts(tokenizer, [raw_text(t) for t in batch.column("text").to_pylist()])
+                bounds = np.cumsum([0, *map(len, found)])
+                yield from with_ids(pa.Table.from_batches([batch]), np.concatenate([np.empty(0, "<u4"), *found]), bounds).combine_chunks().to_batches()
+
+        return base.mapInArrow(whole, out_type).select(*back, "ids")
+
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(max(1, -(-total // BLOCK_BYTES)), BUCKETS)
     dealt = base.mapInArrow(_blocks, "block long, data binary").repartition("block")
 
-    def parts_of(data: bytes) -> tuple[pd.DataFrame, Parts]:
-        rows = _rows(data)
-        return rows, Parts([raw_text(t) for t in rows["text"]])
-
-    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, parts = parts_of(pdf["data"].iloc[0])
-        lists = [[parts.word(i) for i in x.tolist()] for x in parts.by_bucket(buckets)]
-        some = [i for i, x in enumerate(lists) if x]
-        return pd.DataFrame({"block": pd.Series([int(pdf["block"].iloc[0])] * len(some), dtype="int64"),
-                             "bucket": pd.Series(some, dtype="int64"), "data": [_pack(lists[i]) for i in some]})
-
-    def answer(lists: pd.DataFrame) -> pd.DataFrame:
-        tokenizer, known, replies = load(tokenizer_path), {}, []
-        for data in lists["data"]:
-            words = _unpack(data)
-            new = [w for w in words if w not in known]
-            for at in range(0, len(new), 10_000):
-                part = new[at:at + 10_000]
-                known.update(zip(part, encode_words(tokenizer, part), strict=True))
-            replies.append(_pack([known[w] for w in words]))
-        return pd.DataFrame({"block": lists["block"], "bucket": lists["bucket"], "data": replies})
-
-    out_type = T.StructType([*[T.StructField(n, base.schema[n].dataType) for n in names], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-
-    def place(block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        rows, parts = parts_of(block["data"].iloc[0])
-        lists, held = parts.by_bucket(buckets), [b""] * len(parts.keys)
-        for bucket, data in zip(replies["bucket"], replies["data"], strict=True):
-            for i, ids in zip(lists[bucket].tolist(), _unpack(data), strict=True):
-                held[i] = ids
-        return rows[names].assign(ids=[x.view("<i4") for x in parts.ids(held)])
+    def parts_of(block: pa.Table) -> tuple[pa.Table, Parts]:
+        rows = pa.ipc.open_stream(block.column("data")[0].as_buffer()).read_all()
+        return rows, Parts([raw_text(t) for t in rows.column("text").to_pylist()])
+
+    def ask(block: pa.Table) -> pa.Table:
+        _, parts = parts_of(block)
+        some = [(i, _pack(parts.words(numbers))) for i, numbers in enumerate(parts.by_bucket(buckets)) if len(numbers)]
+        return pa.table({"block": pa.array([block.column("block")[0].as_py()] * len(some), pa.int64()),
+                         "bucket": pa.array([i for i, _ in some], pa.int64()), "data": pa.array([x for _, x in some], pa.binary())})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the lists of a bucket come one after the other; its distinct words alone are held
+        tokenizer, known, now = load(tokenizer_path), {}, None
+        for batch in batches:
+            replies = []
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
+                words = _items(data)
+                new = [w for w in words if w not in known]
+                known.update(zip(new, encode_words(tokenizer, new), strict=True))
+                replies.append(_pack([known[w] for w in words]))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), pa.array(replies, pa.binary())], names=["block", "bucket", "data"])
+
+    def place(block: pa.Table, replies: pa.Table) -> pa.Table:
+        rows, parts = parts_of(block)
+        parts.raw = b""
+        lists = parts.by_bucket(buckets)
+        first, size = np.zeros(len(parts.keys), dtype=np.int64), np.zeros(len(parts.keys), dtype=np.int32)
+        flat, at = [np.empty(0, "<u4")], 0
+        for bucket, data in zip(replies.column("bucket").to_pylist(), replies.column("data"), strict=True):
+            sizes, body = _unpack(data.as_buffer())
+            sizes //= 4
+            ends = np.cumsum(sizes)
+            first[lists[bucket]], size[lists[bucket]] = at + ends - sizes, sizes
+            flat.append(np.frombuffer(body, "<u4"))
+            at += len(flat[-1])
+        return with_ids(rows, *parts.ids(np.concatenate(flat), first, size))
 
     shape = "block long, bucket long, data binary"
-    replies = dealt.groupBy("block").applyInPandas(ask, shape).groupBy("bucket").applyInPandas(answer, shape)
-    encoded = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(place, out_type)
-    return encoded.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "ids")
+    asked = dealt.groupBy("block").applyInArrow(ask, shape).repartition("bucket").sortWithinPartitions("bucket")
+    replies = asked.mapInArrow(answer, shape)
+    encoded = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(place, out_type)
+    return encoded.select(*back, "ids")
 
 
 def pieces(tokenizer_path: str) -> list[str]:

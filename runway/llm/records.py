@@ -22,18 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runway.llm.bpe import Parts, encode_words, load, raw_text
+from runway.llm.bpe import Parts, encode_texts, encode_words, load, raw_text, splits_words
+from runway.llm.spans import text_runs
 from runway.session import shared_path
 from runway.sources.sinks import materialise
 
 FILE_BYTES = 24 << 20       # text per file, about
 RUN_BYTES = 4 << 20         # payload of a run of records, about
-CACHE_PARTS = 1_200_000       # word parts whose ids a worker remembers; more start the table anew
-BATCH_BYTES = 4 << 20       # text that is encoded at once, about
+CACHE_BYTES = 64 << 20      # of the table of word parts that a worker keeps
+BATCH_BYTES = 2 << 20       # text that is encoded at once, about
 FLAG_ID, FLAG_WIDE = 1, 2
 
 _CHUNK = 1024
@@ -146,42 +148,95 @@ def unframe(data: bytes) -> Iterator[tuple[int, bytes]]:
             found = []
 
 
-class WordCache:
-    """Encodes texts by their word parts (``bpe.Parts``) and remembers the ids of up to CACHE_PARTS of them.
+class WordIds:
+    """The ids of word parts (``bpe.Parts``) that have been met, in flat arrays: some 20 bytes a part.
 
-    The table belongs to the Python worker, so the next task starts with it.
+    Keys are kept sorted, in a large run and a small one of late comers.  Beyond
+    CACHE_BYTES the table starts anew.
     """
 
-    def __init__(self, path: str) -> None:
-        self.tokenizer, self.known, self.ids = load(path), {}, []
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.dtype = "<u2" if tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4"
+        self.clear()
+
+    def clear(self) -> None:
+        self.runs = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2     # keys ascending, number of the part
+        self.bounds, self.parts = np.zeros(1024, dtype=np.int32), 0          # where each part's ids end, from the second place on
+        self.flat = np.empty(4096, dtype=self.dtype)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key's part, -1 if new."""
+        out = np.full(len(keys), -1, dtype=np.int32)
+        for held, number in self.runs:
+            if len(held):
+                at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                out = np.where(held[at] == keys, number[at], out)
+        return out
+
+    def _add(self, keys: np.ndarray, found: list[bytes]) -> np.ndarray:
+        """Remember the ids of new keys; their numbers."""
+        n, used = self.parts, int(self.bounds[self.parts])
+        ids = np.frombuffer(b"".join(found), "<u4").astype(self.dtype)
+        ends = used + np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4)
+        self.bounds = _grown(self.bounds, n + len(keys) + 1)
+        self.bounds[n + 1:n + len(keys) + 1] = ends
+        self.flat = _grown(self.flat, used + len(ids))
+        self.flat[used:used + len(ids)] = ids
+        self.parts = n + len(keys)
+        number = np.arange(n, self.parts, dtype=np.int32)
+        large, small = self.runs
+        small = _merged(small, (keys, number))
+        self.runs = [_merged(large, small), (keys[:0], number[:0])] if len(small[0]) * 8 > len(large[0]) else [large, small]
+        return number
+
+    def held_bytes(self) -> int:
+        return self.flat.nbytes + self.bounds.nbytes + sum(k.nbytes + n.nbytes for k, n in self.runs)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and where each text's begin."""
         parts = Parts(texts)
-        slot = list(map(self.known.get, parts.keys.tolist()))
-        new = [i for i, s in enumerate(slot) if s is None]
-        if len(self.ids) + len(new) > CACHE_PARTS:
-            self.known, self.ids = {}, []
-            new = list(range(len(slot)))
-        for lo in range(0, len(new), 10_000):
-            some = new[lo:lo + 10_000]
-            places = range(len(self.ids), len(self.ids) + len(some))
-            self.ids += encode_words(self.tokenizer, [parts.word(i) for i in some])
-            for i, place in zip(some, places, strict=True):
-                slot[i] = place
-            self.known.update(zip(parts.keys[some].tolist(), places, strict=True))
-        return parts.ids([self.ids[s] for s in slot])
+        if self.held_bytes() > CACHE_BYTES:
+            self.clear()
+        number = self._find(parts.keys)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._add(parts.keys[new], encode_words(self.tokenizer, parts.words(new)))
+        first = self.bounds[number].astype(np.int64)
+        return parts.ids(self.flat, first, self.bounds[number + 1] - first)
+
+
+def _grown(x: np.ndarray, size: int) -> np.ndarray:
+    return x if size <= len(x) else np.concatenate([x, np.zeros(size + size // 4 - len(x), dtype=x.dtype)])
+
+
+def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([a[0], b[0]])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], np.concatenate([a[1], b[1]])[order]
+
 
+class WholeTexts:
+    """Encodes whole texts, for tokenizers that do not keep to words."""
 
-_caches: dict[str, WordCache] = {}
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
 
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = encode_texts(self.tokenizer, texts)
+        return np.concatenate([np.empty(0, "<u4"), *found]), np.cumsum([0, *map(len, found)])
 
-def word_cache(path: str) -> WordCache:
-    """This Python worker's cache for a tokenizer."""
-    if path not in _caches:
-        _caches.clear()
-        _caches[path] = WordCache(path)
-    return _caches[path]
+
+_encoders: dict[str, WordIds | WholeTexts] = {}
+
+
+def encoder(path: str) -> WordIds | WholeTexts:
+    """This Python worker's encoder for a tokenizer; the next task goes on with its table, CACHE_BYTES at most."""
+    if path not in _encoders:
+        _encoders.clear()
+        tokenizer = load(path)
+        _encoders[path] = (WordIds if splits_words(tokenizer) else WholeTexts)(tokenizer)
+    return _encoders[path]
 
 
 def payload(doc: int | None, ids: np.ndarray) -> bytes:
@@ -195,18 +250,12 @@ def parse(data: bytes) -> tuple[int | None, np.ndarray]:
     return (doc if flags & FLAG_ID else None), np.frombuffer(data, "<u4" if flags & FLAG_WIDE else "<u2", offset=9).astype("<u4")
 
 
-def _runs_of(group: np.ndarray) -> tuple[list[int], list[int]]:
-    """Starts and ends of the runs of equal values."""
-    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
-    return (edges[:-1], edges[1:]) if len(group) else ([], [])
-
-
 def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id``, and write the records to ``folder`` in ascending id order.
 
     Rows without an id come first; rows that share an id are ordered by a hash
-    of their text.  NULL and empty texts are a record with ``end_id`` alone.
-    Files hold about FILE_BYTES of text each; ranges are split by id and text, so
+    of their text.  NULL and empty texts are a record with ``end_id`` alone.  An
+    empty table makes files without records; other columns are ignored.  Files hold about FILE_BYTES of text each; ranges are split by id and text, so
     one id with many rows does not make one file.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
@@ -215,23 +264,20 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     ordered = base.repartitionByRange(max(1, -(-size // FILE_BYTES)), "doc", "tie").sortWithinPartitions("doc", "tie")
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, held, held_bytes = word_cache(tokenizer_path), [], 0
+        tokens, held, held_bytes = encoder(tokenizer_path), [], 0
         end = np.array([end_id], dtype="<u4")
-        for pdf in batches:
-            texts = [raw_text(t) for t in pdf["text"]]
-            group = np.cumsum([len(t) for t in texts]) // BATCH_BYTES
-            for at, to in zip(*_runs_of(group), strict=True):
-                for doc, found in zip(pdf["doc"].iloc[at:to], cache.encode(texts[at:to]), strict=True):
-                    p = payload(None if pd.isna(doc) else int(doc), np.concatenate([found, end]))
-                    held.append(p)
-                    held_bytes += len(p)
-                    if held_bytes >= RUN_BYTES:
-                        yield pd.DataFrame({"run": [frame(held)]})
-                        held, held_bytes = [], 0
+        for rows in text_runs(batches, "text", BATCH_BYTES):
+            flat, bounds = tokens.encode([raw_text(t) for t in rows.column("text").to_pylist()])
+            for doc, a, b in zip(rows.column("doc").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                held.append(payload(doc, np.concatenate([flat[a:b], end])))
+                held_bytes += len(held[-1])
+                if held_bytes >= RUN_BYTES:
+                    yield pa.RecordBatch.from_pydict({"run": pa.array([frame(held)], pa.binary())})
+                    held, held_bytes = [], 0
         if held:
-            yield pd.DataFrame({"run": [frame(held)]})
+            yield pa.RecordBatch.from_pydict({"run": pa.array([frame(held)], pa.binary())})
 
-    rows = ordered.select("doc", "text").mapInPandas(runs, "run binary")
+    rows = ordered.select("doc", "text").mapInArrow(runs, "run binary")
     (rows.select(F.col("run").cast("string").alias("value")).write.mode("errorifexists")
      .option("encoding", "ISO-8859-1").option("lineSep", EMPTY.decode("latin-1")).text(folder))
 

@@ -106,9 +106,28 @@ def test_files_of_an_empty_table(make_docs):
     assert index.count() == 0
 
 
-def test_word_cache_forgets_and_stays_right(tokenizer, lorem, monkeypatch):
-    monkeypatch.setattr(records, "CACHE_PARTS", 20)
-    cache = records.WordCache(PATH)
-    for t in [lorem(15), "y" * 200 + " short", lorem(40), lorem(3)]:
-        raw = cache.encode([t.encode(), b""])
-        assert raw[0].tolist() == expected(tokenizer, t) and len(raw[1]) == 0
+def test_word_table_forgets_and_stays_right(tokenizer, lorem, monkeypatch):
+    for limit in (records.CACHE_BYTES, 30_000, 0):
+        monkeypatch.setattr(records, "CACHE_BYTES", limit)
+        table = records.WordIds(tokenizer)
+        for t in [lorem(15), "y" * 200 + " short", lorem(4000), lorem(3), "", lorem(2000)]:
+            flat, bounds = table.encode([t.encode(), b"", b"two words"])
+            got = [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            assert got == [expected(tokenizer, x) for x in (t, "", "two words")]
+            assert len(table.runs[0][0]) + len(table.runs[1][0]) == table.parts
+
+
+OTHER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_tokenizers_that_do_not_keep_to_words_get_whole_texts(spark, make_docs, lorem):
+    other = bpe.load(OTHER)
+    assert bpe.splits_words(bpe.load(PATH)) and not bpe.splits_words(other)
+    import random
+    rng = random.Random(6)
+    pairs = texts(lorem) + [(100 + i, "".join(rng.choice("aB \n\t'.,!<|>é1 ") for _ in range(rng.randint(0, 80)))) for i in range(200)]
+    got = sorted(((r["doc_id"], list(r["ids"])) for r in bpe.encode(make_docs(pairs), OTHER).collect()), key=str)
+    assert got == sorted(((d, expected(other, t)) for d, t in pairs), key=str)
+    folder, _ = records.encode_to_files(make_docs(pairs), OTHER, end_id=50256)
+    got = sorted(((r["doc_id"], list(r["ids"])) for r in records.read_records(spark, folder, ids=True).collect()), key=str)
+    assert got == sorted(((d, expected(other, t) + [50256]) for d, t in pairs), key=str)
