@@ -37,7 +37,9 @@ _KEYWORDS = "(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|bearer|creden
 _VALUE = (r"""((?<=")[^"]+?(?=\\?(?:"|$))|(?<=')[^']+?(?=\\?(?:'|$))|(?<=`)[^`]+?(?=`|$)"""
           r"""|(?<!["'`])(?:(?![&,;][\w.-]*=)(?![,;.)\]}>\\]{0,8}(?:$|["'`]))[^"'`])++)""")
 _ASSIGNS = _KEYWORDS + "[^=:]*[=:]"
-_IN_WORD = "(?s)(" + _KEYWORDS.replace("(?i)(", "(?i:") + r"""[\w.\-\[\]"'`\\]{0,60}[=:]{1,2}>?\\?["'`]?)""" + _VALUE
+# from a keyword on, the rest of the name, however long; the next keyword starts anew, so a word is read once
+_KEYWORD = _KEYWORDS.replace("(?i)(", "(?i:")
+_IN_WORD = f"(?s)({_KEYWORD}(?:(?!{_KEYWORD})" + r"""[\w.\-\[\]"'`\\])*+[=:]{1,2}>?\\?["'`]?)""" + _VALUE
 _WHOLE = r"""(?s)^([=:(\[{<]*>?\\?["'`]?)""" + _VALUE
 _URL = r"""(?s)(://[^\s:/@]*:)(?!\d{1,5}/)(\S+?)(?=@[\w.\[\]:-]+(?:[/?#,;"'`)\]}>\\]|$))"""
 _URL_TEXT = r"://[^\s:/@]*:[^\s@]+@"
@@ -54,10 +56,15 @@ FEATURES = ["length", "digit_share", "upper_share", "letter_share", "vowel_share
 def candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = "source", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per candidate: the carried columns, path, position (word number from 0), word, before2, before1, after, run, lead, named.
 
-    Words are runs without ASCII white space.  NULL and empty texts have none.
+    Words are runs without ASCII white space.  NULL and empty texts have none, repeated
+    rows have theirs each, no rows give no rows.
     ``run`` is the candidate itself, ``lead`` what stands before it in its word, back to
-    the second run before it, ``named`` whether a separator follows.
+    the second run before it, ``named`` whether a separator follows.  Columns that are not carried are
+    ignored, whatever their names; a carried column that is called like a result raises a ValueError.
     """
+    clash = {"path", "position", "word", "before2", "before1", "after", "run", "lead", "named"} & set(carry)
+    if clash:
+        raise ValueError(f"carried columns are called like results: {sorted(clash)}")
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.col(text_col)
     keyed, url = text.rlike(_KEYWORDS) & text.rlike("[=:]"), text.rlike(_URL_TEXT)
@@ -101,9 +108,9 @@ def _pieces(run: str) -> F.Column:
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(piece): letter runs of 3 to 20 letters that occur at least DICTIONARY_MIN times in all texts."""
+    """(piece): letter runs of at least 3 letters that occur at least DICTIONARY_MIN times in all texts."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+")).alias("piece"))
-    return (words.where(F.length("piece").between(3, 20)).groupBy("piece").agg(F.count("*").alias("n"))
+    return (words.where(F.length("piece") >= 3).groupBy("piece").agg(F.count("*").alias("n"))
             .where(F.col("n") >= DICTIONARY_MIN).select("piece"))
 
 
@@ -146,14 +153,17 @@ def fit(findings: DataFrame, words: DataFrame, trees: int = 40, depth: int = 8,
     A label 0 holds for every candidate of the word, a label 1 for the last one: those
     before it count as 0 if they are names, and not at all otherwise.  Rows with
     another label, or whose word holds no candidate, are ignored; at least one row
-    of each label is needed.
+    of each label is needed (ValueError).  Repeated rows count each; other columns are ignored.
     """
+    findings = findings.select("path", "word", "before2", "before1", "after", "label")
     found = _expand(findings.where("label in (0, 1)").withColumn("__row", F.monotonically_increasing_id()))
     last = F.col("nth") == F.max("nth").over(Window.partitionBy("__row"))
     found = found.withColumn("__last", last).where("label = 0 or __last or named").withColumn(
         "label", F.when(F.col("__last"), F.col("label")).otherwise(F.lit(0)))
     rows = describe(found, words)
     rows = rows.select(*FEATURES, F.col("label").cast("double").alias("label"))
+    if rows.select("label").distinct().count() < 2:
+        raise ValueError("labelled findings of both kinds are needed")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(rows)
 
@@ -162,15 +172,25 @@ def secret_findings(docs: DataFrame, labelled: DataFrame, text_col: str = "text"
                     carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Every candidate of ``docs`` with its verdict: carried columns, position, secret, probability, is_secret.
 
-    A text's repeated candidate is a finding at each position.  Empty tables
-    give an empty result.
+    A text's repeated candidate is a finding at each position, and so are those of
+    repeated rows.  Tables that are empty or without candidates give an empty
+    result, and nothing is trained.  Columns that are not carried are ignored, whatever
+    their names; a carried column may be called anything but like a result (ValueError).
     """
     spark = docs.sparkSession
+    clash = {"position", "secret", "probability", "is_secret"} & set(carry)
+    if clash:
+        raise ValueError(f"carried columns are called like results: {sorted(clash)}")
+    names = tuple(f"__c{i}" for i in range(len(carry)))
+    back = [F.col(n).alias(c) for n, c in zip(names, carry, strict=True)]
+    own = docs.select(*[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)], F.col(text_col).alias("__text"),
+                      (F.col(path_col) if path_col else F.lit(None)).cast("string").alias("__source"))
+    found = materialise(spark, candidates(own, "__text", "__source", names), "candidates")
+    if found.isEmpty():
+        return found.select(*back, "position", F.col("run").alias("secret"), F.lit(0.0).alias("probability"), F.lit(False).alias("is_secret"))
     words = materialise(spark, dictionary(docs, text_col), "dictionary")
-    model = fit(labelled, words)
-    found = materialise(spark, candidates(docs, text_col, path_col, carry), "candidates")
-    scored = model.transform(describe(found, words))
-    return scored.select(*carry, "position", F.col("run").alias("secret"),
+    scored = fit(labelled, words).transform(describe(found, words))
+    return scored.select(*back, "position", F.col("run").alias("secret"),
                          vector_to_array("probability")[1].alias("probability")).withColumn(
         "is_secret", F.col("probability") >= THRESHOLD)
 
@@ -198,12 +218,16 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
     """A stand-in table of labelled findings, since the test tables hold none: path, word, before2, before1, after, label.
 
     ``documents`` (the documented bound) picks that many documents by a hash of
-    their id; each yields a few secret-like and a few harmless findings of usual
-    formats, filled with digests of the id and words of the text.
+    their id and text; each yields a few secret-like and a few harmless findings of usual
+    formats, filled with digests of the id and words of the text.  The choice is made on
+    hashes alone, ``documents`` of each task; only the chosen rows' texts are fetched.
+    The findings are written once.  Equal rows count once; an empty table gives no findings.
     """
-    d = (docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"),
-                     F.split(F.lower(F.substring(F.coalesce(text_col, F.lit("")), 1, 2000)), "[^a-z]+").alias("w"))
-         .orderBy(F.xxhash64("i"), "i").limit(documents))
+    base = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.coalesce(text_col, F.lit("")).alias("t"))
+    base = base.withColumn("h", F.xxhash64("i", "t"))
+    chosen = base.select("h").distinct().orderBy("h").limit(documents)          # `documents` numbers
+    d = (base.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"])
+         .select("i", F.split(F.lower("t"), "[^a-z]+").alias("w")))
     hex40, hex64, alnum = F.sha1("i"), F.sha2("i", 256), F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat("i", F.lit("k")), 512))), "[+/=\\s]", "")
     word = lambda k: F.coalesce(F.get("w", F.lit(k)), F.lit("word"))
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
@@ -259,4 +283,4 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
         finding(0, "src2", "token", "=", F.concat(word(3), F.lit("_"), word(4), F.lit("_"), word(5), F.lit("_"), word(6), F.lit("_2"))),
         finding(0, "src3", word(1), word(2), F.concat(F.lit("http://host/"), word(3), F.lit("/2024-01-02-"), word(4), F.lit("-"), word(5))),
     )
-    return d.select(F.explode(rows).alias("f")).select("f.*")
+    return materialise(docs.sparkSession, d.select(F.explode(rows).alias("f")).select("f.*"), "labelled")
