@@ -315,9 +315,15 @@ class Labeller:
 
 
 def train_labeller(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Labeller:
-    """Fit the labeller on a bounded sample of ``pages`` and on made-up pages; works on an empty table too."""
-    chosen = pages.select(F.col(html_col).alias("h")).where("h is not null").orderBy(
-        F.xxhash64(F.col(id_col), F.lit(1)), F.xxhash64("h")).limit(TRAIN_PAGES).collect() if pages.columns else []
+    """Fit the labeller on a bounded sample of ``pages`` and on made-up pages; works on an empty table too.
+
+    The pages are chosen by a hash of id and html, and only the hashes are sorted; the
+    html of the TRAIN_PAGES chosen ones alone reaches the driver.  Equal rows count once.
+    """
+    base = pages.select(F.col(id_col).alias("i"), F.col(html_col).alias("h")).where("h is not null").withColumn("k", F.xxhash64("i", "h"))
+    keys = base.select("k").distinct().orderBy("k").limit(TRAIN_PAGES)
+    chosen = base.join(F.broadcast(keys), "k", "left_semi").dropDuplicates(["k"]).select("k", "h").collect()
+    chosen.sort(key=lambda r: r["k"])
     real = [b[:TRAIN_BLOCKS] for b in (blocks(r["h"]) for r in chosen) if b]
     texts = [b[1][:400] for p in real[:50] for b in p][:1000] or ["some words of a page", "a longer line of words that stands for a paragraph of text"]
     rng = np.random.default_rng(9)
