@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_neardup import brute as brute_components
 
@@ -95,11 +96,43 @@ def test_run_applies_the_stages(spark, corpus):
     assert ids >= set(range(20, 120)) and not ids & {*range(200, 260), *range(300, 310), *range(340, 344)}
 
 
+CLASHES = ("stats", "token", "component", "block", "word", "run", "lead", "path", "position", "label", "kept", "ids", "data", "v", "secret", "features")
+
+
+@pytest.mark.parametrize("rows", ["none", "bad", "some"])
+def test_registered_queries_take_empty_tables_and_clashing_columns(spark, corpus, rows):
+    """op1 and the pipeline on documents with extra columns, on none, and on documents of which no stage keeps any."""
+    base, _, _ = corpus
+    docs = spark.read.parquet(f"{base}/documents.parquet").withColumns({c: F.lit("clash") for c in CLASHES})
+    docs = docs.where({"none": "false", "bad": "doc_id between 200 and 259", "some": "true"}[rows])
+    folder = shared_path(spark, f"corpus-{rows}")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{base}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    out = P.run(spark, folder)
+    found = queries.QUERIES["op1_secret_scan"](spark, folder)
+    if rows == "none":
+        assert out.count() == 0 and found.count() == 0
+    elif rows == "bad":
+        assert out.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decoded"] and out.count() <= 60
+    else:
+        want = {(r["doc_id"], tuple(r["ids"])) for r in P.run(spark, base).collect()}
+        assert {(r["doc_id"], tuple(r["ids"])) for r in out.collect()} == want
+        assert {r["doc_id"] for r in found.where("is_secret").collect()} == set(range(350, 355))
+
+
+def test_run_leaves_the_input_of_its_last_stage_only(spark, corpus):
+    folder = os.path.dirname(corpus[0].removeprefix("file:"))
+    before = set(os.listdir(folder))
+    assert P.run(spark, corpus[0]).count() > 100
+    assert len([n for n in set(os.listdir(folder)) - before if n.startswith("runway-")]) == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 @pytest.mark.parametrize("name", sorted(oracle.ORACLES))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(oracle.ORACLES[name])
     columns = [c[0] for c in res.description]
