@@ -3,7 +3,9 @@
 Five stages in order, each over everything that the stage before kept: drop
 what the quality classifier rejects, keep one document of each near-duplicate
 group, drop documents that hold a benchmark passage, mask secrets, encode
-with BPE (and decode again).  The first four return the columns of documents.
+with BPE (and decode again).  The first four return the columns of documents;
+columns beside those are ignored, whatever their names.  Every stage takes NULL ids
+and texts, repeated rows and an empty table, which gives an empty table.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from runway.llm.batches import limit_batches
 from runway.llm.decontaminate import benchmark_hits
 from runway.llm.neardup import near_duplicates
 from runway.llm.queries import tokenizer_path
-from runway.sources.sinks import materialise
+from runway.session import delete_path, intermediates, shared_path
+from runway.sources.sinks import write_replace
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,10 +27,10 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least 0.3, learned from the labels of this table's documents."""
     limit_batches(spark)
-    scored = docs.withColumn("__stats", quality.statistics("text"))
+    scored = docs.select(*DOCUMENT_COLUMNS, quality.statistics("text").alias("stats"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(quality.training_rows(scored.withColumnRenamed("__stats", "stats"), labels))
-    return scored.where(quality.scorer(model)("__stats") >= quality.THRESHOLD).select(DOCUMENT_COLUMNS)
+    model = quality.fit(quality.training_rows(scored, labels))
+    return scored.where(quality.scorer(model)("stats") >= quality.THRESHOLD).select(DOCUMENT_COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,8 +80,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents of ``sf_dir``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to the documents of ``sf_dir``, each written and read again.
+
+    A stage's intermediate tables go when its result is written, and that result goes
+    when the next one is; only what the last stage reads stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(spark, stage(spark, docs, sf_dir), name)
+        path = shared_path(spark, name)
+        with intermediates(spark):
+            write_replace(stage(spark, docs, sf_dir), path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
