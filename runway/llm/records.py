@@ -5,11 +5,14 @@ CRC-32C of those bytes (4), the payload, and the masked CRC-32C of the payload
 (4).  A payload is a flag byte (1: the document has an id, 2: ids are four bytes
 wide, else two), the document id (8 bytes), then the ids.  Records stand in
 ascending document order within a file and over the files in order of their part
-number.  An empty record ends each run of records and is skipped by readers.
-
-Spark's text sink writes the files: a row is a run of whole records and the
-empty record is the line separator, so commits, retries and every file system
-that Spark knows come with it.  The index, a Parquet table made by reading the
+number.  They come in runs of about ``RUN_BYTES``: a run begins with a record that
+states its place (flag 4; the run's byte offset in the file, then the number of ids before
+it in the file) and ends with an empty record.  Readers of ids skip both.
+
+Spark's text sink writes the files and its text source reads them back: a row is a run
+and the empty record is the line separator, so commits, retries, splits and every
+file system that Spark knows come with it, and no task holds more than a run of a
+file, however large it is.  The index, a Parquet table made by reading the
 files back, gives for each record its file, byte offset, length, number of ids
 and the number of ids before it, so that a reader can fetch records in any order.
 """
@@ -21,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,11 +34,11 @@ from runway.llm.spans import text_runs
 from runway.session import shared_path
 from runway.sources.sinks import materialise
 
-FILE_BYTES = 24 << 20       # text per file, about
-RUN_BYTES = 4 << 20         # payload of a run of records, about
+FILE_BYTES = 32 << 20       # text per file, about
+RUN_BYTES = 256 << 10       # payload of a run of records, about
 CACHE_BYTES = 64 << 20      # of the table of word parts that a worker keeps
 BATCH_BYTES = 2 << 20       # text that is encoded at once, about
-FLAG_ID, FLAG_WIDE = 1, 2
+FLAG_ID, FLAG_WIDE, FLAG_PLACE = 1, 2, 4
 
 _CHUNK = 1024
 
@@ -255,68 +257,90 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
 
     Rows without an id come first; rows that share an id are ordered by a hash
     of their text.  NULL and empty texts are a record with ``end_id`` alone.  An
-    empty table makes files without records; other columns are ignored.  Files hold about FILE_BYTES of text each; ranges are split by id and text, so
-    one id with many rows does not make one file.
+    empty table makes files without records; other columns are ignored.  Files
+    hold about FILE_BYTES of text each; ranges are split by id and text, so
+    one id with many rows does not make one file unless its texts are equal too.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     base = base.withColumn("tie", F.xxhash64("text"))
     ordered = base.repartitionByRange(max(1, -(-size // FILE_BYTES)), "doc", "tie").sortWithinPartitions("doc", "tie")
 
-    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, held, held_bytes = encoder(tokenizer_path), [], 0
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, held, held_bytes, held_ids = encoder(tokenizer_path), [], 0, 0
+        offset = before = 0         # of the run: a task writes one file
         end = np.array([end_id], dtype="<u4")
+
+        def run() -> pa.RecordBatch:
+            nonlocal held, held_bytes, held_ids, offset, before
+            data = frame([struct.pack("<Bqq", FLAG_PLACE, offset, before), *held])
+            offset, before = offset + len(data) + len(EMPTY), before + held_ids
+            held, held_bytes, held_ids = [], 0, 0
+            return pa.RecordBatch.from_pydict({"run": pa.array([data], pa.binary())})
+
         for rows in text_runs(batches, "text", BATCH_BYTES):
             flat, bounds = tokens.encode([raw_text(t) for t in rows.column("text").to_pylist()])
             for doc, a, b in zip(rows.column("doc").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 held.append(payload(doc, np.concatenate([flat[a:b], end])))
-                held_bytes += len(held[-1])
+                held_bytes, held_ids = held_bytes + len(held[-1]), held_ids + b - a + 1
                 if held_bytes >= RUN_BYTES:
-                    yield pa.RecordBatch.from_pydict({"run": pa.array([frame(held)], pa.binary())})
-                    held, held_bytes = [], 0
+                    yield run()
         if held:
-            yield pa.RecordBatch.from_pydict({"run": pa.array([frame(held)], pa.binary())})
+            yield run()
 
     rows = ordered.select("doc", "text").mapInArrow(runs, "run binary")
-    (rows.select(F.col("run").cast("string").alias("value")).write.mode("errorifexists")
-     .option("encoding", "ISO-8859-1").option("lineSep", EMPTY.decode("latin-1")).text(folder))
+    (rows.select(F.col("run").cast("string").alias("value")).write.mode("errorifexists").option("maxRecordsPerFile", 0)
+     .options(**TEXT_OPTIONS).text(folder))
+
+
+#: rows of the text source are runs: as written, whatever the bytes
+TEXT_OPTIONS = {"encoding": "ISO-8859-1", "lineSep": EMPTY.decode("latin-1")}
 
 
 def read_records(spark: SparkSession, folder: str, ids: bool = False) -> DataFrame:
-    """The records of ``folder``: file, part, offset, length, doc_id, n_tokens, before (ids before it in its file), ids_crc32.
+    """The records of ``folder``: file, size (of the file), offset, length, doc_id, n_tokens, before (ids before it in its file), ids_crc32, part.
 
     With ``ids``, the token ids too.  Every checksum is checked; a broken file raises.
     """
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows, before = [], 0
-                for offset, data in unframe(content):
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size, run in zip(batch.column("file").to_pylist(), batch.column("size").to_pylist(), batch.column("run"), strict=True):
+                rows: list[tuple] = []
+                at = before = None
+                for offset, data in unframe(run.as_buffer().to_pybytes()):
+                    if data[0] & FLAG_PLACE:
+                        _, at, before = struct.unpack("<Bqq", data)
+                        continue
+                    if at is None:
+                        raise ValueError("a run does not state its place")
                     doc, x = parse(data)
-                    rows.append((path, offset, len(data), doc, len(x), before, zlib.crc32(x.tobytes()), *([x.astype(np.int32)] if ids else [])))
+                    rows.append((path, size, at + offset, len(data), doc, len(x), before, zlib.crc32(x.tobytes()), *([x.astype(np.int32)] if ids else [])))
                     before += len(x)
-                    if len(rows) == 5000:
-                        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-                        rows = []
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * len(kinds), kinds, strict=True)], names=names)
 
-    schema = "file string, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long" + (", ids array<int>" if ids else "")
-    names = T._parse_datatype_string(schema).names
-    files = spark.read.format("binaryFile").load(folder).where(F.col("path").rlike(r"/part-[0-9]+[^/]*$")).select("path", "content")
-    return files.mapInPandas(records, schema).withColumn("part", F.regexp_extract("file", r"/part-([0-9]+)", 1).cast("int"))
+    schema = T._parse_datatype_string("file string, size long, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long"
+                                      + (", ids array<int>" if ids else ""))
+    names, kinds = schema.names, [pa.string(), *[pa.int64()] * 7, *([pa.list_(pa.int32())] if ids else [])]
+    runs = spark.read.options(**TEXT_OPTIONS).text(folder).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("run"))
+    return runs.mapInArrow(records, schema).withColumn("part", F.regexp_extract("file", r"/part-([0-9]+)", 1).cast("int"))
 
 
 def build_index(spark: SparkSession, folder: str) -> DataFrame:
     """The offset index of ``folder``, written to a table of its own: the columns of read_records and ``start``.
 
     ``start`` counts the ids of all records before; only one number per file is
-    added up in order.
+    added up in order.  A file whose records do not follow one another without a gap up to its end raises.
     """
     rows = materialise(spark, read_records(spark, folder), "offsets")
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    totals = rows.groupBy("part").agg(
+        F.sum("n_tokens").alias("n"), F.max(F.col("before") + F.col("n_tokens")).alias("counted"),
+        F.max(F.col("offset") + F.col("length") + 16 + len(EMPTY)).alias("end"), F.max("size").alias("size"))
+    whole = (F.col("n") == F.col("counted")) & (F.col("end") == F.col("size"))
+    totals = totals.withColumn("n", F.when(whole, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("records are missing from part "), F.col("part").cast("string")))))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
-    return rows.join(starts, "part").withColumn("start", F.col("file_start") + F.col("before")).drop("file_start")
+    return rows.join(starts, "part").withColumn("start", F.col("file_start") + F.col("before")).drop("file_start", "size")
 
 
 def encode_to_files(docs: DataFrame, tokenizer_path: str, end_id: int) -> tuple[str, DataFrame]:

@@ -101,6 +101,37 @@ def test_files_and_index(spark, make_docs, lorem, tokenizer, monkeypatch, file_b
     assert os.path.isdir(folder.removeprefix("file:"))
 
 
+def test_large_files_are_read_in_splits_and_missing_runs_are_seen(spark, make_docs, lorem, monkeypatch):
+    import struct as st
+    monkeypatch.setattr(records, "RUN_BYTES", 2000)
+    pairs = [(i, lorem(150)) for i in range(300)]
+    folder = records.shared_path(spark, "records-test")
+    records.write_records(make_docs(pairs), PATH, folder, end_id=2)
+    whole = sorted(map(tuple, records.read_records(spark, folder).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")            # splits begin anywhere in a run, a record or a separator
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = records.read_records(spark, folder)
+        assert split.rdd.getNumPartitions() > 30
+        assert sorted(map(tuple, split.collect())) == whole and len(whole) == 300
+        assert records.build_index(spark, folder).agg({"start": "max"}).first()[0] > 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    local = folder.removeprefix("file:")
+    name = next(n for n in os.listdir(local) if n.startswith("part-"))
+    data = open(f"{local}/{name}", "rb").read()
+    parts = data.split(records.EMPTY)
+    assert st.unpack_from("<Bqq", parts[3], 12)[1] == data.index(parts[3])
+    for cut in (records.EMPTY.join(parts[:5] + parts[6:]), records.EMPTY.join(parts[1:]), data[:-3]):
+        broken = records.shared_path(spark, "records-broken")
+        os.makedirs(broken.removeprefix("file:"))
+        with open(f"{broken.removeprefix('file:')}/{name}", "wb") as f:
+            f.write(cut)
+        with pytest.raises(Exception, match="missing|longer|cut off|checksum"):
+            records.build_index(spark, broken).collect()
+
+
 def test_files_of_an_empty_table(make_docs):
     _, index = records.encode_to_files(make_docs([]), PATH, end_id=2)
     assert index.count() == 0
