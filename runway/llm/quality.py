@@ -64,12 +64,16 @@ def text_statistics(text: str | None, words: np.ndarray) -> list[float]:
     ]
 
 
+def _all_statistics(texts: pd.Series) -> list[list[float]]:
+    with np.errstate(over="ignore"):
+        h, at = word_hashes([None if t is None else t for t in texts], lower=False)
+        return [text_statistics(t, h[at[i]:at[i + 1]]) for i, t in enumerate(texts)]
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def statistics(texts: pd.Series) -> pd.Series:
     """Statistics of whole texts; a NULL text counts as empty."""
-    with np.errstate(over="ignore"):
-        h, at = word_hashes([None if t is None else t for t in texts], lower=False)
-        return pd.Series([text_statistics(t, h[at[i]:at[i + 1]]) for i, t in enumerate(texts)])
+    return pd.Series(_all_statistics(texts))
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -120,9 +124,10 @@ def _blank(seed: int, mean: np.ndarray, scale: np.ndarray) -> Model:
 
 
 def fit(labelled: DataFrame, seed: int = 11) -> Model:
-    """Fit on all rows of ``labelled`` (stats array<double>, label 0/1, fold int).
+    """Fit on all rows of ``labelled`` (stats array<double>, label 0/1, fold int), which is read three times: pass a written table.
 
-    Rows whose label is not 0 or 1 are ignored.  Without any usable row every score is 0.5.
+    Rows whose label is not 0 or 1 are ignored, repeated rows count each, other columns are
+    ignored.  Without any usable row every score is 0.5.
     """
     rows = labelled.where("label in (0, 1) and stats is not null").select("stats", F.col("label").cast("double"), "fold")
     k = len(STATISTICS)
@@ -186,3 +191,11 @@ def scorer(model: Model):
     def score(stats: pd.Series) -> pd.Series:
         return pd.Series(model.score(np.array(stats.tolist()).reshape(len(stats), len(STATISTICS))))
     return score
+
+
+def text_scorer(model: Model):
+    """The fitted model as a column function of whole texts: statistics and score in one call."""
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array(_all_statistics(texts)).reshape(len(texts), len(STATISTICS))))
+    return score.asNondeterministic()      # evaluated once a row, wherever its result is used

@@ -1,5 +1,6 @@
 """op8: held-out accuracy, isotonic fit, normal equations, odd rows."""
 
+import os
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runway.llm import quality
+from runway.llm.wordhash import word_hashes
 
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
 
@@ -81,3 +83,41 @@ def test_normal_equations_match_one_solve(spark, make_docs, corpus):
     want = np.linalg.solve(z.T @ z + quality.RIDGE * np.eye(z.shape[1]), z.T @ y)
     assert np.allclose(z @ model.weights, z @ want, atol=1e-6)
     assert rows.where(F.col("fold").isNull()).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_query_against_brute_force(spark):
+    """op8 recomputed in plain numpy: one solve over all training rows, isotonic levels by averages of all ranges."""
+    from runway.llm import queries
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_quality"](spark, sf).collect()}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    labels = {(r["doc_id"], r["quality"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert set(got) == set(texts)
+    crc = {d: zlib.crc32(str(d).encode()) for d in texts}
+    stats = {}
+    with np.errstate(over="ignore"):
+        for d, t in texts.items():
+            h, _ = word_hashes([t], lower=False)
+            stats[d] = quality.text_statistics(t, h)
+    train = [(d, q) for d, q in labels if d in texts and crc[d] % 5]
+    x = np.array([stats[d] for d, _ in train])
+    model = quality._blank(11, x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6))
+    wave = lambda rows: np.hstack([np.cos(np.clip((rows - model.mean) / model.scale, -8, 8) @ model.waves + model.phase) * np.sqrt(2 / quality.FEATURES), np.ones((len(rows), 1))])
+    fold = np.array([crc[d] // 5 % quality.FOLDS for d, _ in train])
+    y = np.array([q for _, q in train], dtype=float)
+    z = wave(x[fold != 0])
+    weights = np.linalg.solve(z.T @ z + quality.RIDGE * np.eye(z.shape[1]), z.T @ y[fold != 0])
+    raw = wave(x[fold == 0]) @ weights
+    cell = np.clip(((raw + 0.5) / 2 * quality.GRID).astype(int), 0, quality.GRID - 1)
+    cells = np.unique(cell)
+    n = np.array([(cell == c).sum() for c in cells], dtype=float)
+    ones = np.array([y[fold == 0][cell == c].sum() for c in cells])
+    # isotonic by its definition: the largest over beginnings of the smallest over ends of a range's mean
+    mean = lambda a, b: ones[a:b + 1].sum() / n[a:b + 1].sum()
+    levels = [max(min(mean(a, b) for b in range(i, len(cells))) for a in range(i + 1)) for i in range(len(cells))]
+    every = sorted(texts)
+    score = np.clip(np.interp(wave(np.array([stats[d] for d in every])) @ weights, (cells + 0.5) / quality.GRID * 2 - 0.5, levels), 0, 1)
+    for d, s in zip(every, score.tolist(), strict=True):
+        assert abs(got[d]["score"] - s) < 1e-6 and got[d]["held_out"] == (crc[d] % 5 == 0)
+        assert got[d]["predicted"] == int(got[d]["score"] >= 0.3)
