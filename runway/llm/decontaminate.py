@@ -14,8 +14,9 @@ item cannot reach the threshold and get no fingerprint; the test is one running
 sum.  At similarity 0.75 a fingerprint bit differs with probability 0.172, so
 more than 24 of 64 differ in about 3 of 100,000 windows.
 
-Documents are never shuffled.  Benchmark items reach the tasks in slices of at
-most ``SLICE_BYTES`` of text; a larger benchmark takes more passes.
+Documents are never shuffled.  Benchmark items reach the driver and the tasks in slices
+of about ``SLICE_BYTES`` of text, one at a time: a larger benchmark takes as many passes
+over the documents, each written before the next one starts.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.wordhash import gram_hashes, shingle_list, word_hashes
+from runway.sources.sinks import materialise
 
 WORDS = 5
 SIMILARITY = 0.75
@@ -146,7 +148,7 @@ def _finder(index: ItemIndex):
                 else:
                     out.append([])
         return pd.Series(out)
-    return find
+    return find.asNondeterministic()       # evaluated once a row, also where a plan filters on its result first
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "benchmark_hits") -> DataFrame:
@@ -162,12 +164,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
         "item_id is not null and text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-total // SLICE_BYTES)
-    found = []
+    out = docs.withColumn(out_col, F.array().cast(HIT))
     for s in range(slices):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s).orderBy("item_id", "text").collect()
-        found.append(_finder(ItemIndex([(r["item_id"], r["text"]) for r in rows]))(F.col(text_col)))
-    hits = F.concat(*found) if found else F.array().cast(HIT)
-    return docs.withColumn(out_col, hits)
+        found = _finder(ItemIndex([(r["item_id"], r["text"]) for r in rows]))(F.col(text_col))
+        out = out.withColumn(out_col, F.concat(F.col(out_col), found))
+        if s + 1 < slices:      # a pass of its own, so that one slice's index is held at a time
+            out = materialise(docs.sparkSession, out, "benchmark_pass")
+    return out
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
