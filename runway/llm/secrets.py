@@ -12,6 +12,8 @@ findings.  Candidates that it scores at ``THRESHOLD`` or more are secrets.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -43,7 +45,7 @@ _IN_WORD = f"(?s)({_KEYWORD}(?:(?!{_KEYWORD})" + r"""[\w.\-\[\]"'`\\])*+[=:]{1,2
 _WHOLE = r"""(?s)^([=:(\[{<]*>?\\?["'`]?)""" + _VALUE
 _URL = r"""(?s)(://[^\s:/@]*:)(?!\d{1,5}/)(\S+?)(?=@[\w.\[\]:-]+(?:[/?#,;"'`)\]}>\\]|$))"""
 _URL_TEXT = r"://[^\s:/@]*:[^\s@]+@"
-_BENIGN = "(?i)(sha[0-9]*|md5|commit|checksum|digest|hash|uuid|revision|build|etag|order|card|phone|ref)"
+_BENIGN = "(?i)(sha[0-9]*|md5|commit|checksum|digest|hash|uuid|revision|build|etag|order|card|phone|ref|integrity|base64|image)"
 _PLACEHOLDER = "(?i)(example|xxxx|dummy|change.?me|your|sample|placeholder|1234567|0000000|abcdef)"
 _TEST_PATH = "(?i)(test|fixture|example|mock|docs?/)"
 _CONFIG_PATH = r"(?i)(\.env|config|\.ya?ml|\.json|\.properties|credential|settings)"
@@ -240,7 +242,7 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
 
     def finding(label: int, path: str, before2, before1, w, after=None):
         text = lambda c: F.lit(c) if isinstance(c, str) else c
-        return F.struct(F.lit(path).alias("path"), text(w).alias("word"), text(before2).alias("before2"),
+        return F.struct(text(path).alias("path"), text(w).alias("word"), text(before2).alias("before2"),
                         text(before1).alias("before1"), (word(9) if after is None else text(after)).alias("after"),
                         F.lit(label).alias("label"))
 
@@ -283,4 +285,84 @@ def labelled_findings(docs: DataFrame, documents: int = 250, id_col: str = "doc_
         finding(0, "src2", "token", "=", F.concat(word(3), F.lit("_"), word(4), F.lit("_"), word(5), F.lit("_"), word(6), F.lit("_2"))),
         finding(0, "src3", word(1), word(2), F.concat(F.lit("http://host/"), word(3), F.lit("/2024-01-02-"), word(4), F.lit("-"), word(5))),
     )
-    return materialise(docs.sparkSession, d.select(F.explode(rows).alias("f")).select("f.*"), "labelled")
+    # what the varied ones are made of: numbers, letters and digests of the id, in columns of their own
+    stuff = F.transform(F.sequence(F.lit(1), F.lit(200)), lambda k: F.xxhash64("i", k))
+    hexes = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(6)), lambda k: F.sha2(F.concat("i", k.cast("string")), 512)), "")
+    plain = F.regexp_replace(F.base64(F.unhex(F.repeat(hexes, 2))), "[+/=\\s]", "x")
+    varied = materialise(docs.sparkSession, d.select("w", stuff.alias("numbers"), hexes.alias("digits"), plain.alias("letters")), "findings_of")
+    every = [d.select(F.explode(rows).alias("f"))]
+    made = _varied_findings(word, finding)
+    every += [varied.select(F.explode(F.array(*made[k:k + 6])).alias("f")) for k in range(0, len(made), 6)]
+    return materialise(docs.sparkSession, functools.reduce(DataFrame.unionByName, every).select("f.*"), "labelled")
+
+
+def _varied_findings(word, finding) -> list[F.Column]:
+    """Findings whose keywords, separators, quotes, alphabets, lengths and trailing noise vary from document to document."""
+    places: dict[str, int] = {}
+
+    def number(name: str, below: int) -> F.Column:      # a number of the document for each name
+        return F.pmod(F.get("numbers", F.lit(places.setdefault(name, len(places)))), F.lit(below))
+
+    def pick(salt: str, *options: str) -> F.Column:
+        return F.element_at(F.array(*map(F.lit, options)), (number(salt, len(options)) + 1).cast("int"))
+
+    def letters(salt: str) -> F.Column:            # 80 letters and digits
+        return F.substr("letters", (number(salt + " at", 500) + 1).cast("int"), F.lit(80))
+
+    def between(salt: str, lo: int, hi: int) -> F.Column:
+        return (number(salt + " size", hi - lo + 1) + lo).cast("int")
+
+    def value(salt: str, lo: int, hi: int) -> F.Column:
+        raw, hexa = letters(salt), F.substr("digits", (number(salt + " at", 500) + 1).cast("int"), F.lit(80))
+        some = F.element_at(F.array(hexa, F.upper(hexa), F.translate(raw, "kqZ", "-_-"), F.lower(raw), F.translate(raw, "jwQ", "/+/"), raw), (number(salt + " kind", 6) + 1).cast("int"))
+        return F.substr(some, F.lit(1), between(salt, lo, hi))
+
+    def quoted(salt: str, c: F.Column) -> F.Column:
+        return F.concat(pick(salt, '"', '"', "'", "`", ""), c, pick(salt, '"', '"', "'", "`", ""))
+
+    noise = lambda salt: pick(salt, "", "", "", "", ",", ";", ".", "!!", "###", "***", "%%%", "$$$", "&&&")
+    keyword = lambda salt: pick(salt, "token", "secret", "api_key", "apikey", "access_key", "auth_token", "password", "passwd", "pwd", "credential",
+                                "private_key", "accessToken", "apiKey", "TOKEN", "Secret", "refresh_token")
+    path = lambda salt: pick(salt, "src1", "src2", "app/main.py", "config/app.yaml", ".env", "server.js", "notes.txt")
+    join = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    camel = lambda salt, first: join(word(first), *[F.initcap(word(first + k)) for k in (1, 2)], pick(salt, "", "ById", "V2", "From", "Handler"), F.initcap(word(first + 3)))
+    base64 = F.concat(F.substr(F.translate(letters("b"), "kq", "+/"), F.lit(1), F.element_at(F.array(*map(F.lit, (27, 43, 86))), (number("b64", 3) + 1).cast("int"))), pick("b=", "=", "==", ""))
+    digest = F.substr("digits", (number("d at", 500) + 1).cast("int"), F.lit(128))
+
+    def at(label, salt, before2, before1, w, after=None):
+        return finding(label, path("path" + salt), before2, before1, w, after)
+
+    # formats of the tests that hold some out (tests/llm/test_secrets.py: HELD_OUT) have no template here
+    return [
+        at(1, "1", keyword("1"), pick("1s", "=", ":", ":=", "=>"), F.concat(quoted("1q", value("1", 16, 64)), noise("1n"))),
+        at(1, "2", word(1), F.concat(keyword("2"), pick("2s", ":", "=")), F.concat(quoted("2q", value("2", 14, 48)), noise("2n"))),
+        at(1, "3", word(1), pick("3x", "export", "set", "ENV", "-"), join(pick("3p", "MY_", "APP_", "PROD_", "", "SERVICE_"), F.upper(keyword("3")), pick("3s", "=", ":"), quoted("3q", value("3", 12, 64)))),
+        at(1, "4", word(1), word(2), join('{"', keyword("4"), '":"', value("4", 16, 64), pick("4e", '"}', '",', '"}]'))),
+        at(1, "5", word(1), word(2), F.concat(quoted("5q", F.concat(pick("5p", "ghp_", "gho_", "npm_", "hf_", "pypi-", "AIza", "SG."), F.substring(letters("5"), 1, 36))), noise("5n"))),
+        at(1, "5b", word(1), word(2), F.concat(quoted("5r", join(F.substr(word(4), F.lit(1), between("5l", 2, 5)), pick("5t", "_", "-", "_test_", "_prod_", "."), F.substr(letters("5b"), F.lit(1), between("5b", 18, 44)))), noise("5m"))),
+        at(1, "5c", word(1), pick("5u", "use", "key", "with", "="), join(F.substr(word(5), F.lit(1), between("5v", 2, 4)), "-", F.rpad(F.regexp_replace(digest, "[^0-9]", ""), 11, "4"), "-", F.substr(letters("5c"), F.lit(1), between("5c", 20, 36)))),
+        at(1, "6", word(1), word(2), join("https://", word(3), ".com/", word(4), "?", word(5), "=1&", keyword("6"), "=", value("6", 16, 48))),
+        at(1, "7", pick("7h", "Authorization:", '"Authorization":', "auth"), pick("7b", "Bearer", "Basic", "Token"), F.concat(value("7", 20, 70), noise("7n"))),
+        at(1, "8", word(1), pick("8k", "password:", "passwd=", "pwd:", "PASSWORD:", "pass_phrase:", "secret:"),
+           F.concat(F.substring(letters("8"), 1, 5), pick("8c", "!", "@", "#", "$", "%", "&", "*"), F.substring(letters("8"), 9, 6))),
+        at(1, "9", word(1), word(2), join(pick("9u", "mysql", "redis", "https", "amqp", "mongodb"), "://", word(3), ":", value("9", 8, 24), "@", word(4), ".com/", word(5))),
+        at(0, "a", word(1), word(2), F.concat(camel("a", 3), noise("an"))), at(0, "b", word(1), word(2), F.concat(camel("b", 4), pick("bn", "(", "();", "()", "."))),
+        at(0, "c", keyword("c"), "=", F.concat(camel("c", 5), pick("cn", "()", "();", "", ","))),
+        at(0, "d", pick("db", "integrity", "integrity=", "link"), pick("ds", "=", ":", "script"), quoted("dq", F.concat(pick("dp", "sha256-", "sha512-", "sha1-"), base64))),
+        at(0, "e", word(1), word(2), join(pick("ep", "integrity=\"sha256-", "integrity='sha512-", "digest=sha256:"), base64)),
+        at(0, "f", word(1), pick("fs", "src", "url:", "href"), join("data:image/", pick("fi", "png", "gif"), ";base64,", F.translate(letters("f"), "kq", "+/"))),
+        at(0, "g", word(1), word(2), join("/usr/", word(3), "/", word(4), "/", word(5), pick("ge", ".txt", ".so", "", "/"))),
+        at(0, "h", word(1), pick("hb", "src", "href", "file"), join(word(3), pick("hs", "-", "."), F.substr(digest, F.lit(1), between("h", 8, 24)), pick("he", ".js", ".css", ".min.js"))),
+        at(0, "j", word(1), word(2), F.concat_ws("-", *[word(k) for k in range(3, 9)])),
+        at(0, "k", word(1), word(2), join(pick("kp", "MAX_", "ENABLE_", "DEFAULT_", "USE_"), F.upper(keyword("k")), pick("ks", "_LENGTH_LIMIT", "_REFRESH_SECONDS", "_HEADER_NAME"))),
+        at(0, "l", pick("lb", "commit", "revision", "tree", "parent", "etag", "checksum"), pick("ls", ":", "=", "is"), F.concat(quoted("lq", F.substr(digest, F.lit(1), pick("ln", "32", "40", "64").cast("int"))), noise("lz"))),
+        at(0, "m", pick("mb", "id", "uuid", "request_id", "trace"), pick("ms", ":", "=", ""), quoted("mq", F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))),
+        at(0, "n", keyword("n"), pick("ns", "=", ":"), quoted("nq", pick("nv", "<your-token-here>", "changeme_changeme", "REDACTED_REDACTED", "${SERVICE_TOKEN}", "your-api-key-goes-here", "insert_your_key_here"))),
+        at(0, "o", keyword("o"), "=", join(pick("ov", "os.environ['", "process.env.", "config.get('", "settings."), F.upper(keyword("o2")), pick("oe", "']", "", "')", ";"))),
+        at(0, "p", word(1), word(2), F.concat(F.rpad(F.regexp_replace(digest, "[^0-9]", ""), 16, "3"), noise("pn"))),
+        at(0, "q", pick("qb", "card", "phone", "order", "ref"), pick("qs", ":", "no", "="), F.concat_ws("-", *[F.rpad(F.regexp_replace(F.substring(digest, 20 * k + 1, 20), "[^0-9]", ""), 4, "5") for k in range(4)])),
+        at(0, "r", pick("rb", "from", "until", "date:"), word(2), F.concat(F.lit("2024-0"), F.substring(F.regexp_replace(digest, "[^1-9]", ""), 1, 1), F.lit("-11T10:20:30.000Z"))),
+        at(0, "s", word(1), "class", join('"', word(3), "-", word(4), "--", word(5), "__", word(6), '"')),
+        at(0, "t", word(1), word(2), join("com/", word(3), "/", word(4), "/", F.initcap(word(5)), F.initcap(word(6)), pick("te", ".java", ".class", ""))),
+        at(0, "u", word(1), word(2), join("https://", word(3), ".com/", word(4), "/", word(5), "-", word(6), "-", word(7), "?page=", between("u", 1, 99).cast("string"))),
+    ]
