@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from runway.session import default_parallelism
+
 SHARD_ROWS = 16_384        # vectors in a shard, about
 QUERY_ROWS = 1_024         # queries in a block, about
 RUN = 4_096                # vectors in a run of postings
@@ -123,7 +125,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     parts = _packed(v.withColumn("shard", of(shards)), "shard", "ids", "vectors")
     parts = parts.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     questions = _packed(queries.withColumn("block", of(blocks)), "block", "query_ids", "query_vectors")
-    met = parts.join(questions, ["dim", "block"])
+    # few rows, each worth seconds: a stated number of partitions, which adaptive execution leaves alone
+    spread = min(1 << 15, max(default_parallelism(vectors.sparkSession), 4 * shards * blocks))
+    met = parts.join(questions, ["dim", "block"]).repartition(spread, "dim", "shard", "block")
     found = met.groupBy("dim", "shard", "block").applyInPandas(lambda pdf: _search(pdf, k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
