@@ -43,3 +43,23 @@ def test_one_shard_and_empty_table(make_docs):
 def test_native_plan(make_docs, lorem):
     plan = sharding.assign_shards(make_docs([(1, "a")]), 40)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_winning_shards_recomputed_outside_spark(make_docs):
+    """The highest score of each key over all shards, with the hashes of the xxhash library."""
+    import math
+    import struct
+
+    import xxhash
+
+    def winner(doc, weights):
+        def score(shard):
+            first = xxhash.xxh64(struct.pack("<q", doc), seed=42).intdigest()
+            h = xxhash.xxh64(struct.pack("<i", shard), seed=first).intdigest() >> 12
+            return weights[shard] / -math.log((h + 0.5) / (1 << 52))
+        return max(range(len(weights)), key=lambda s: (score(s), -s))
+
+    docs = make_docs([(i * 7919 - 1000, "x") for i in range(400)])
+    for weights in ([1.0] * 40, [1.0, 3.0, 0.5]):
+        for r in sharding.assign_shards(docs, weights).collect():
+            assert r["shard"] == winner(r["doc_id"], weights) and r["grown_shard"] == winner(r["doc_id"], [*weights, 1.0])
