@@ -19,7 +19,7 @@ from runway.llm.decontaminate import benchmark_hits
 from runway.llm.neardup import near_duplicates
 from runway.llm.queries import tokenizer_path
 from runway.session import delete_path, intermediates, shared_path
-from runway.sources.sinks import write_replace
+from runway.sources.sinks import materialise, write_replace
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -27,10 +27,10 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least 0.3, learned from the labels of this table's documents."""
     limit_batches(spark)
-    scored = docs.select(*DOCUMENT_COLUMNS, quality.statistics("text").alias("stats"))
+    stats = docs.select("doc_id", quality.statistics("text").alias("stats"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(quality.training_rows(scored, labels))
-    return scored.where(quality.scorer(model)("stats") >= quality.THRESHOLD).select(DOCUMENT_COLUMNS)
+    model = quality.fit(materialise(spark, quality.training_rows(stats, labels), "training"))
+    return docs.where(quality.text_scorer(model)("text") >= quality.THRESHOLD).select(DOCUMENT_COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
