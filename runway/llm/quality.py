@@ -186,7 +186,7 @@ def training_rows(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", l
 
 
 def scorer(model: Model):
-    """The fitted model as a column function of the statistics."""
+    """The fitted model as a column function of the statistics; equal rows score alike."""
     @F.pandas_udf("double")
     def score(stats: pd.Series) -> pd.Series:
         return pd.Series(model.score(np.array(stats.tolist()).reshape(len(stats), len(STATISTICS))))
