@@ -20,6 +20,8 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -64,10 +66,27 @@ def splits_words(tokenizer) -> bool:
     special token that begins with anything but "<|".  Only then are texts cut into parts;
     any other tokenizer gets whole texts.
     """
-    rules = json.loads(tokenizer.to_str())
-    special = all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) and not re.search(r"\s", t["content"])
-                  for t in rules["added_tokens"])
-    return special and rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and rules["post_processor"] is None
+    rules = lambda part: None if part is None else json.loads(part.__getstate__())
+    special = all(t.content.startswith("<|") and not (t.normalized or t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content))
+                  for t in tokenizer.get_added_tokens_decoder().values())
+    return (special and rules(tokenizer.normalizer) == NORMALIZER and rules(tokenizer.pre_tokenizer) == PRE_TOKENIZER
+            and tokenizer.post_processor is None)
+
+
+class Facts(NamedTuple):
+    """What the driver needs to know of a tokenizer."""
+
+    splits_words: bool
+    has_decoder: bool
+    pieces: tuple[str, ...]      # of every id of the vocabulary, special tokens included
+
+
+@lru_cache(maxsize=4)
+def facts(tokenizer_path: str) -> Facts:
+    """The facts of the tokenizer at a path, which is loaded once for them and let go."""
+    t = load(tokenizer_path)
+    by_id = {i: p for p, i in t.get_vocab(with_added_tokens=True).items()}
+    return Facts(splits_words(t), t.decoder is not None, tuple(by_id.get(i, "") for i in range(max(by_id) + 1)))
 
 
 # fixed values: the rules of a tokenizer that never joins pieces over the borders of parts
@@ -227,7 +246,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry:
         ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32, copy=False), pa.int32()))
         return rows.drop_columns(["text"]).append_column("ids", ids)
 
-    if not splits_words(load(tokenizer_path)):
+    if not facts(tokenizer_path).splits_words:
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokenizer = load(tokenizer_path)
             for batch in batches:
@@ -287,22 +306,15 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry:
     return encoded.select(*back, "ids")
 
 
-def pieces(tokenizer_path: str) -> list[str]:
-    """The piece of every id of the vocabulary, special tokens included."""
-    t = load(tokenizer_path)
-    by_id = {i: p for p, i in t.get_vocab(with_added_tokens=True).items()}
-    return [by_id.get(i, "") for i in range(max(by_id) + 1)]
-
-
 def decode(ids_col: str, tokenizer_path: str) -> Column:
     """The text of a column of ids: their pieces joined by spaces, as a tokenizer without a decoder joins them.
 
     The table of pieces, as large as the vocabulary, is one constant of the plan;
     each id is looked up in it by its number.  NULL ids give the empty text.
     """
-    if load(tokenizer_path).decoder is not None:
+    if facts(tokenizer_path).has_decoder:
         raise ValueError("decode() joins plain pieces; this tokenizer has a decoder of its own")
-    table = pieces(tokenizer_path)
+    table = facts(tokenizer_path).pieces
     if any("\x01" in p for p in table):
         raise ValueError("a piece holds the separator")
     constant = F.split(F.lit("\x01".join(table)), "\x01")
