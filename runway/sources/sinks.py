@@ -118,3 +118,24 @@ def materialise(spark: SparkSession, df: DataFrame, name: str,
     path = shared_path(spark, name)
     write_replace(df, path, partition_by)
     return spark.read.parquet(path)
+
+
+def materialise_buckets(spark: SparkSession, df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """``materialise`` with the rows in ``buckets`` by the hash of a column, so that a join on it need not shuffle them.
+
+    A task writes a file for each bucket that its rows belong to, all at the same
+    time instead of sorted, so ``by`` should take few values in a task.  The table's name is
+    dropped at once; its files are those of the returned scan.
+    """
+    path = shared_path(spark, name)
+    table = f"`{path.rpartition('/')[2].replace('-', '_')}`"
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(buckets))
+    try:
+        df.write.bucketBy(buckets, by).option("path", path).format("parquet").saveAsTable(table)
+    finally:
+        spark.conf.set(key, before)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows

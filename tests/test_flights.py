@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -8,6 +9,9 @@ from pyspark.sql import functions as F
 from fixtures import FLIGHT_SCHEMA, leg
 from runway.operators import flights
 from runway.operators.features import FINAL_COLUMNS
+from runway.sources import standins
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_drops_cancelled_diverted_and_null_flags(spark):
@@ -106,6 +110,52 @@ def test_ties_without_tie_breakers_are_cut_evenly_and_fixed(spark, order, monkey
         assert table.groupBy("k", "_range").count().agg(F.max("count")).first()[0] <= 2 * n / ranges
 
 
+def _plan_lines(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("\n")
+
+
+def test_lag_by_moves_only_the_columns_of_the_order(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _random_legs(spark, n=500, seed=9).withColumn("ballast", F.concat("tie", F.lit(" and more")))
+        lines = _plan_lines(flights.lag_by(df, "v", "k", ["t", "tie"], "p", ranges=6))
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        at = next(i for i, x in enumerate(lines) if "FileScan" in x and "ballast" in x)
+        above, least = [], depth(lines[at])
+        for line in reversed(lines[:at]):
+            if depth(line) < least:
+                above, least = [*above, line], depth(line)
+        assert above and not [x for x in above if "Exchange" in x or "Sort" in x]
+        _same_as_plain(df, 6)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lag_by_over_batches_and_pieces(spark, monkeypatch):
+    monkeypatch.setattr(flights, "PIECE_BITS", 5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = _random_legs(spark, n=700, seed=4)
+        _same_as_plain(df, 5)
+        copies = df.limit(40).unionByName(df.limit(40))           # rows alike in all columns
+        got = [r["p"] for r in flights.lag_by(copies, "v", "k", ["t", "tie"], "p", ranges=3).collect()]
+        plain = copies.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "tie")))
+        assert sorted(got, key=str) == sorted((r["p"] for r in plain.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_legs_meet_orders_that_know_their_customers(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("test tables not present")
+    lines = _plan_lines(standins.flights_raw(spark, SF))
+    at = {t: next(i for i, x in enumerate(lines) if "FileScan" in x and t in x) for t in ("l_orderkey", "o_orderkey", "c_custkey")}
+    join = next(i for i, x in enumerate(lines) if "Join [o_custkey" in x)
+    assert at["l_orderkey"] < join < at["o_orderkey"] < at["c_custkey"]      # the join is beside the lines, not above them
+
+
 def test_final_columns_list():
     assert len(FINAL_COLUMNS) == 51 and len(set(FINAL_COLUMNS)) == 51
     assert len(flights.FLIGHT_COLUMNS) == 35
