@@ -52,9 +52,10 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     dst = place.select(F.col("n_nationkey").alias("d_nk"), F.col("n_name").alias("d_name"),
                        F.col("r_name").alias("d_region"))
 
-    legs = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # customers meet the orders, not the lines: few and narrow rows to shuffle when neither is small
+    orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    legs = (li.join(orders, li.l_orderkey == F.col("o_orderkey"))
               .join(supplier, li.l_suppkey == supplier.s_suppkey)
-              .join(customer, orders.o_custkey == customer.c_custkey)
               .join(org, F.col("s_nationkey") == F.col("o_nk"))
               .join(dst, F.col("c_nationkey") == F.col("d_nk")))
 
