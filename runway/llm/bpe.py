@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,15 +78,36 @@ class Facts(NamedTuple):
 
     splits_words: bool
     has_decoder: bool
-    pieces: tuple[str, ...]      # of every id of the vocabulary, special tokens included
 
 
 @lru_cache(maxsize=4)
 def facts(tokenizer_path: str) -> Facts:
-    """The facts of the tokenizer at a path, which is loaded once for them and let go."""
-    t = load(tokenizer_path)
-    by_id = {i: p for p, i in t.get_vocab(with_added_tokens=True).items()}
-    return Facts(splits_words(t), t.decoder is not None, tuple(by_id.get(i, "") for i in range(max(by_id) + 1)))
+    """The facts of the tokenizer at a path, which a task loads for them: the driver never holds it."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            t = load(tokenizer_path)
+            yield pa.RecordBatch.from_arrays([pa.array([splits_words(t)]), pa.array([t.decoder is not None])], names=list(Facts._fields))
+
+    one = SparkSession.active().range(1, numPartitions=1)
+    return Facts(*one.mapInArrow(read, "splits_words boolean, has_decoder boolean").first())
+
+
+@lru_cache(maxsize=4)
+def pieces(tokenizer_path: str) -> pa.Array:
+    """The piece of every id of the vocabulary, special tokens included; a worker loads the tokenizer once for them."""
+    by_id = {i: p for p, i in load(tokenizer_path).get_vocab(with_added_tokens=True).items()}
+    return pa.array([by_id.get(i, "") for i in range(max(by_id) + 1)])
+
+
+def join_pieces(ids: pa.Array, table: pa.Array) -> pa.Array:
+    """The pieces of each list of ids, joined by spaces; a NULL list gives the empty text, unknown ids nothing."""
+    flat = ids.flatten()
+    known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table))), False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+    before = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])
+    offsets = before[np.concatenate([[0], ends]).astype(np.int64)]
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), table.take(flat.filter(known)))
+    return pc.binary_join(lists, " ")
 
 
 # fixed values: the rules of a tokenizer that never joins pieces over the borders of parts
@@ -309,13 +330,15 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", carry:
 def decode(ids_col: str, tokenizer_path: str) -> Column:
     """The text of a column of ids: their pieces joined by spaces, as a tokenizer without a decoder joins them.
 
-    The table of pieces, as large as the vocabulary, is one constant of the plan;
-    each id is looked up in it by its number.  NULL ids give the empty text.
+    The table of pieces, as large as the vocabulary, is loaded by the tasks; as a constant
+    of the plan it would be in every description of it that the driver makes.  Each id is looked
+    up by its number.  NULL ids give the empty text.
     """
     if facts(tokenizer_path).has_decoder:
         raise ValueError("decode() joins plain pieces; this tokenizer has a decoder of its own")
-    table = facts(tokenizer_path).pieces
-    if any("\x01" in p for p in table):
-        raise ValueError("a piece holds the separator")
-    constant = F.split(F.lit("\x01".join(table)), "\x01")
-    return F.coalesce(F.array_join(F.transform(ids_col, lambda i: F.get(constant, i)), " "), F.lit(""))
+
+    @F.arrow_udf("string")
+    def text(ids: pa.Array) -> pa.Array:
+        return join_pieces(ids, pieces(tokenizer_path))
+
+    return text(ids_col)

@@ -162,3 +162,15 @@ def test_tokenizers_that_do_not_keep_to_words_get_whole_texts(spark, make_docs,
     folder, _ = records.encode_to_files(make_docs(pairs), OTHER, end_id=50256)
     got = sorted(((r["doc_id"], list(r["ids"])) for r in records.read_records(spark, folder, ids=True).collect()), key=str)
     assert got == sorted(((d, expected(other, t) + [50256]) for d, t in pairs), key=str)
+
+
+def test_the_vocabulary_stays_out_of_plans_and_of_the_driver(spark, tokenizer, monkeypatch):
+    bpe.facts.cache_clear()
+    with monkeypatch.context() as m:
+        m.setattr("tokenizers.Tokenizer", None)       # tasks have a module of their own
+        assert bpe.facts(PATH) == (True, False)
+    rows = [(1, [5, 6, 700]), (2, []), (3, None), (4, [5, None, 10_000_000, -1, 6])]
+    out = spark.createDataFrame(rows, "doc_id long, ids array<int>").select("doc_id", bpe.decode("ids", PATH).alias("text"))
+    assert len(out._jdf.queryExecution().toString()) < 20_000
+    assert dict(map(tuple, out.collect())) == {1: tokenizer.decode([5, 6, 700], skip_special_tokens=False), 2: "", 3: "",
+                                               4: tokenizer.decode([5, 6], skip_special_tokens=False)}
