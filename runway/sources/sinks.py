@@ -20,13 +20,14 @@ POINTER = "_current"     # names the current version; Spark's readers skip names
 
 
 def write_replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
-                  max_records_per_file: int | None = None) -> None:
+                  max_records_per_file: int | None = None, bucket_by: tuple[str, int, str] | None = None) -> None:
     """Write ``df`` as the dataset at ``path`` (overwrite, optionally partitioned).
 
     Rows are rebalanced by the partition columns first, so a partition is written by
     few tasks and a large one by several.  Spark's overwrite removes the old
     dataset before it writes, so this is for fresh folders; results that are
-    replaced go through ``replace_table``.
+    replaced go through ``replace_table``.  ``bucket_by`` names a column, a number of buckets
+    and the catalog table that describes them.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -35,7 +36,11 @@ def write_replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if bucket_by:
+        by, buckets, table = bucket_by
+        writer.bucketBy(buckets, by).option("path", path).format("parquet").saveAsTable(table)
+    else:
+        writer.parquet(path)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -133,7 +138,7 @@ def materialise_buckets(spark: SparkSession, df: DataFrame, name: str, by: str,
     before = spark.conf.get(key)
     spark.conf.set(key, str(buckets))
     try:
-        df.write.bucketBy(buckets, by).option("path", path).format("parquet").saveAsTable(table)
+        write_replace(df, path, bucket_by=(by, buckets, table))
     finally:
         spark.conf.set(key, before)
     rows = spark.table(table)
