@@ -59,10 +59,14 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as token ids, with the decoded text beside them."""
+    """All documents as token ids, with the decoded text beside them.
+
+    The ids are written before they are decoded: in one task, encoding and decoding would
+    each have a Python worker, and Spark keeps every worker for the stages that follow.
+    """
     limit_batches(spark)
     path = tokenizer_path()
-    ids = bpe.encode(docs, path, carry=("doc_id", "lang", "source"))
+    ids = materialise(spark, bpe.encode(docs, path, carry=("doc_id", "lang", "source")), "ids")
     return ids.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                       bpe.decode("ids", path).alias("decoded"))
 
@@ -83,7 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents of ``sf_dir``, each written and read again.
 
     A stage's intermediate tables go when its result is written, and that result goes
-    when the next one is; only what the last stage reads stays.
+    when the next one is; only the ids that the last stage has written stay.
     """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
@@ -93,4 +97,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             delete_path(spark, before)
         docs, before = spark.read.parquet(path), path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    delete_path(spark, before)
+    return out

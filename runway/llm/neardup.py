@@ -145,16 +145,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = materialise(spark, sigs, "sigs")
 
     # posting lists of values that several texts carry
-    tokens = sigs.select("doc", F.explode(F.transform(
-        "sig", lambda v, i: F.shiftleft(i.cast("long"), 32) + (v.cast("long") + F.lit(2147483648)))).alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    mine = tokens.join(shared, "token").groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("values"))  # at most K entries
-    # rare first: values held by one text alone take the first places of the prefix
-    prefix = mine.select("doc", F.explode(F.expr(
-        f"slice(values, 1, greatest(0, {COORDS - MATCHES + 1} - ({COORDS} - size(values))))")).alias("x")
-    ).select("doc", F.col("x.token").alias("token"))
-    prefix = materialise(spark, prefix, "postings")
+    prefix = materialise(spark, _postings(sigs), "postings")
     heads = prefix.groupBy("token").agg(F.count("*").alias("n"), F.min("doc").alias("hub")).where("n > 1")
     listed = materialise(spark, prefix.join(heads, "token"), "lists")
 
@@ -215,6 +206,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _postings(sigs: DataFrame) -> DataFrame:
+    """(doc, token): each text's prefix, its values that several texts carry without the M - 1 most frequent of them.
+
+    Values held by one text alone take the first places of the prefix and meet nobody.  All K
+    values of every text pass here: the rows are sorted once by value and what is left
+    once by text, nothing is joined back or gathered into arrays.
+    """
+    tokens = sigs.select("doc", F.explode(F.transform(
+        "sig", lambda v, i: F.shiftleft(i.cast("long"), 32) + (v.cast("long") + F.lit(2147483648)))).alias("token"))
+    shared = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    often_first = Window.partitionBy("doc").orderBy(F.desc("df"), F.desc("token"))
+    return shared.withColumn("place", F.row_number().over(often_first)).where(F.col("place") >= MATCHES).select("doc", "token")
+
+
 def _neighbours(lists: DataFrame) -> DataFrame:
     """Each text with the next one of its lists, in an order of each list's own, where their components differ.
 

@@ -1,9 +1,10 @@
 """op5: components of 5-word shingle sets against brute force, and the odd cases."""
 
-from collections import defaultdict
+import random
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from runway.llm.neardup import near_duplicates
+from runway.llm.neardup import COORDS, MATCHES, _postings, near_duplicates
 
 
 def shingles(text):
@@ -104,3 +105,18 @@ def test_an_id_with_several_texts(spark, make_docs, lorem):
     out = corpus_pipeline.drop_near_duplicates(spark, make_docs(pairs), "")
     assert sorted((tuple(r) for r in out.select("doc_id", "text").collect()), key=str) == sorted(
         (p for p, r in zip(pairs, want, strict=True) if r[3]), key=str)
+
+
+def test_postings_are_the_rare_shared_values_and_join_nothing(spark):
+    """Shuffled and sorted once by value and once by text; the values of one text alone take the first places."""
+    rng = random.Random(3)
+    rows = [(doc, [rng.choice([-2**31, -1, 7, 2**31 - 1, 100 + doc][: 2 + i % 4]) for i in range(COORDS)]) for doc in range(-3, 25)]
+    got = _postings(spark.createDataFrame(rows, "doc long, sig array<int>"))
+    df = Counter((i, v) for _, sig in rows for i, v in enumerate(sig))
+    want = []
+    for doc, sig in rows:
+        first = sorted((df[i, v], (i << 32) + v + 2**31) for i, v in enumerate(sig))[: COORDS - MATCHES + 1]
+        want += [(doc, token) for n, token in first if n > 1]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan and "collect_list" not in plan
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want

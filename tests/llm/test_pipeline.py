@@ -128,6 +128,14 @@ def test_run_leaves_the_input_of_its_last_stage_only(spark, corpus):
     assert len([n for n in set(os.listdir(folder)) - before if n.startswith("runway-")]) == 1
 
 
+def test_ids_are_written_before_they_are_decoded(spark, corpus):
+    """One Python worker a task: what the last stage returns reads written ids and only decodes them."""
+    out = P.encode_bpe(spark, spark.read.parquet(f"{corpus[0]}/documents.parquet"), corpus[0])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "InArrow" not in plan and "InPandas" not in plan
+    assert out.count() == len(corpus[1])
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 @pytest.mark.parametrize("name", sorted(oracle.ORACLES))
 def test_queries_match_their_sql(spark, name):
