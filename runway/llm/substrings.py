@@ -26,11 +26,11 @@ third of all documents share is one hash per block.
 
 from __future__ import annotations
 
-
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import raw_text
@@ -43,68 +43,98 @@ BUCKETS = 1 << 16          # most hash ranges
 _REACH = LENGTH - SEED     # a window's anchor starts at most so many words after the window
 
 
+def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` neighbours, by doubling."""
+    have = 1
+    while 2 * have <= width:
+        values, have = np.minimum(values[:-have], values[have:]), 2 * have
+    return np.minimum(values[:len(values) - width + have], values[width - have:])
+
+
+def _alike(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts ``values``, the sorted places where another value begins, and each sorted place's value number."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(ranked), dtype=bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    return order, np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - np.int32(1)
+
+
 class Block:
-    """The documents of a block in id order, with their words' hashes, windows and anchors."""
+    """The documents of a block in id order, with their words' hashes and anchors."""
 
     def __init__(self, pdf: pd.DataFrame) -> None:
-        pdf = pdf.sort_values(["doc", "text"], na_position="last", kind="stable")
-        self.rows = pdf.reset_index(drop=True)
-        h, self.at = word_hashes(self.rows["text"], lower=False)
+        self.rows = pdf.sort_values("doc", na_position="last", kind="stable").reset_index(drop=True)
+        self.words, self.at = word_hashes(self.rows["text"], lower=False)
         n_words = np.diff(self.at)
-        doc_of_word = np.repeat(np.arange(len(n_words)), n_words)
-        grams = gram_hashes(h, SEED)
-        starts = np.arange(max(0, len(h) - LENGTH + 1))
+        doc_of_word = np.repeat(np.arange(len(n_words), dtype=np.int32), n_words)
         # windows lie within one document
-        starts = starts[doc_of_word[starts] == doc_of_word[starts + LENGTH - 1]] if len(starts) else starts
-        self.starts, self.doc = starts, doc_of_word[starts] if len(starts) else starts
-        # rows that share an id are one document; rows without one come last and are each the last
+        self.starts = np.flatnonzero(doc_of_word[:1 - LENGTH] == doc_of_word[LENGTH - 1:])
+        self.doc = doc_of_word[self.starts]
+        best = _smallest(gram_hashes(self.words, SEED), _REACH + 1)[self.starts] if len(self.starts) else np.empty(0, np.uint64)
+        # neighbouring windows mostly share their anchor: one entry per run of windows of a document
+        first = np.ones(len(best), dtype=bool)
+        first[1:] = (best[1:] != best[:-1]) | (self.doc[1:] != self.doc[:-1])
+        self.run, found = np.cumsum(first, dtype=np.int32) - np.int32(1), best[first]
+        order, begin, number = _alike(found)
+        #: the block's distinct anchors, sorted, and which of them stand at several places of the block
+        self.anchors, self.several = found[order[begin]], np.diff(begin, append=len(found)) > 1
+        self.slot = np.empty(len(found), dtype=np.int32)
+        self.slot[order] = number
+
+    def seeded(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows whose anchor is kept, by their numbers, and their hashes."""
+        at = np.flatnonzero(keep[self.slot][self.run])
+        return at, gram_hashes(self.words, LENGTH)[self.starts[at]]
+
+    def ranks(self) -> np.ndarray:
+        """Rows that share an id are one document; rows without one come last and are each the last."""
         ids = self.rows["doc"].to_numpy(dtype=object, na_value=None)
         rank, last = np.zeros(len(ids), dtype=np.int64), -1
         for i, d in enumerate(ids):
             last = rank[i - 1] if i and d is not None and ids[i - 1] == d else last + 1
             rank[i] = len(ids) if d is None else last
-        self.rank = rank
-        self.windows = gram_hashes(h, LENGTH)[starts]
-        # the smallest of the _REACH + 1 grams of each window, the first on ties
-        best = grams[starts].copy() if len(starts) else np.empty(0, np.uint64)
-        where = starts.copy()
-        for j in range(1, _REACH + 1):
-            g = grams[starts + j]
-            less = g < best
-            best[less], where[less] = g[less], starts[less] + j
-        # neighbouring windows mostly share their anchor: one entry per run of windows
-        first = np.ones(len(where), dtype=bool)
-        first[1:] = where[1:] != where[:-1]
-        self.run, self.anchors = np.cumsum(first) - 1, best[first]
-
-    def anchor_list(self) -> tuple[np.ndarray, np.ndarray]:
-        """The block's distinct anchors, sorted, and which of them stand at several places of the block."""
-        values, counts = np.unique(self.anchors, return_counts=True)
-        return values, counts > 1
-
-    def seeded(self, values: np.ndarray, keep: np.ndarray) -> np.ndarray:
-        """Which windows belong to an anchor that is kept."""
-        return keep[np.searchsorted(values, self.anchors)][self.run] if len(values) else np.zeros(0, dtype=bool)
-
-    def repeated(self, seeded: np.ndarray, values: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        """Which windows start in an earlier document, of this block or of an earlier one."""
-        out = np.zeros(len(self.starts), dtype=bool)
-        at = np.flatnonzero(seeded)
-        if len(at):
-            slot = np.searchsorted(values, self.windows[at])
-            rank = self.rank[self.doc[at]]
-            least = np.full(len(values), len(self.rows) + 1, dtype=np.int64)
-            np.minimum.at(least, slot, rank)
-            out[at] = earlier[slot] | (rank > least[slot])
-        return out
+        return rank
+
+    def repeated(self, at: np.ndarray, windows: np.ndarray, answers: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Which of the seeded windows start in an earlier document, of this block or of an earlier one (``answers``)."""
+        if not len(at):
+            return at
+        order, begin, number = _alike(windows)
+        earlier, rank = answers(windows[order[begin]]), self.ranks()[self.doc[at[order]]]
+        return at[order[earlier[number] | (rank > np.minimum.reduceat(rank, begin)[number])]]
 
     def covered(self, repeated: np.ndarray) -> np.ndarray:
         """Which words a repeated window covers."""
         change = np.zeros(self.at[-1] + 1, dtype=np.int32)
-        np.add.at(change, self.starts[repeated], 1)
-        np.add.at(change, self.starts[repeated] + LENGTH, -1)
+        starts = self.starts[repeated]
+        change[starts] = 1
+        change[starts + LENGTH] -= 1
         return np.cumsum(change)[:-1] > 0
 
+    def remainders(self, gone: np.ndarray) -> pd.DataFrame:
+        """Each row's words, those that are gone, the text of the others, and the runs of gone words."""
+        removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[self.at])
+        edge = np.zeros(len(gone) + 1, dtype=bool)
+        edge[1:-1] = gone[1:] != gone[:-1]
+        edge[self.at] = True
+        # runs of equal words, which a document's end cuts
+        places = np.flatnonzero(edge)
+        begin, end = places[:-1][gone[places[:-1]]], places[1:][gone[places[:-1]]]
+        kept, spans, runs = [], [], np.searchsorted(begin, self.at).tolist()
+        for i, text in enumerate(self.rows["text"]):
+            words, base, own = raw_text(text).split(), int(self.at[i]), slice(runs[i], runs[i + 1])
+            pairs = list(zip((begin[own] - base).tolist(), (end[own] - base).tolist(), strict=True))
+            left, done = [], 0
+            for s, e in pairs:
+                left += words[done:s]
+                done = e
+            left += words[done:]
+            kept.append(b" ".join(left).decode("utf-8"))
+            spans.append([{"start": s, "words": e - s} for s, e in pairs])
+        return pd.DataFrame({"doc_id": self.rows["doc"], "n_words": np.diff(self.at), "n_removed": removed,
+                             "kept": kept, "spans": spans}).astype({"doc_id": "Int64"})
+
 
 def _asking(block: int, values: np.ndarray, flags: np.ndarray, shift: int) -> pd.DataFrame:
     """A block's sorted hashes cut by hash range, one row per range that has some."""
@@ -114,30 +144,40 @@ def _asking(block: int, values: np.ndarray, flags: np.ndarray, shift: int) -> pd
     return pd.DataFrame(rows, columns=["block", "bucket", "hashes", "flags"])
 
 
+def _lists(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all rows, one list after the other, and the lists' lengths."""
+    sizes = np.fromiter(map(len, pdf["hashes"]), dtype=np.int64, count=len(pdf)) // 8
+    return np.frombuffer(b"".join(pdf["hashes"]), "<u8"), sizes
+
+
+def _replies(pdf: pd.DataFrame, bits: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
+    ends = np.cumsum(sizes).tolist()
+    flags = [np.packbits(bits[lo:hi]).tobytes() for lo, hi in zip([0, *ends], ends, strict=False)]
+    return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": flags})
+
+
 def _others_hold(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per block of a hash range: which hashes another block holds too, or the block itself at several places."""
-    lists = [np.frombuffer(x, "<u8") for x in pdf["hashes"]]
-    values, counts = np.unique(np.concatenate(lists), return_counts=True)
-    twice = values[counts > 1]
-    out = []
-    for x, f in zip(lists, pdf["flags"], strict=True):
-        bits = np.isin(x, twice, assume_unique=True) | np.unpackbits(np.frombuffer(f, np.uint8), count=len(x)).astype(bool)
-        out.append(np.packbits(bits).tobytes())
-    return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": out})
+    values, sizes = _lists(pdf)
+    order, begin, number = _alike(values)
+    bits = np.empty(len(values), dtype=bool)
+    bits[order] = (np.diff(begin, append=len(values)) > 1)[number]
+    bits |= np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(pdf["flags"], sizes.tolist(), strict=True)]).astype(bool)
+    return _replies(pdf, bits, sizes)
 
 
 def _earlier_hold(pdf: pd.DataFrame, late: int) -> pd.DataFrame:
-    """Per block of a hash range: which hashes an earlier block holds; blocks from ``late`` on are earlier than none."""
-    pdf = pdf.sort_values("block")
-    seen, out = np.empty(0, np.uint64), []
-    for block, raw in zip(pdf["block"], pdf["hashes"], strict=True):
-        x = np.frombuffer(raw, "<u8")
-        at = np.minimum(np.searchsorted(seen, x), max(0, len(seen) - 1))
-        old = seen[at] == x if len(seen) else np.zeros(len(x), dtype=bool)
-        out.append(np.packbits(old).tobytes())
-        if block < late:
-            seen = np.union1d(seen, x[~old])
-    return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": out})
+    """Per block of a hash range: which hashes an earlier block holds; blocks from ``late`` on are earlier than none.
+
+    All lists are sorted at once, whatever the number of blocks: a hash's smallest block answers for all that hold it.
+    """
+    values, sizes = _lists(pdf)
+    order, begin, number = _alike(values)
+    block = np.repeat(pdf["block"].to_numpy(dtype=np.int64), sizes)[order]
+    first = np.minimum.reduceat(block, begin)[number]
+    bits = np.empty(len(values), dtype=bool)
+    bits[order] = (first < block) & (first < late)
+    return _replies(pdf, bits, sizes)
 
 
 def _answers(replies: pd.DataFrame, values: np.ndarray, shift: int) -> np.ndarray:
@@ -149,6 +189,13 @@ def _answers(replies: pd.DataFrame, values: np.ndarray, shift: int) -> np.ndarra
     return out
 
 
+def _at_or_below(cuts: list[int], column: Column) -> Column:
+    """How many of the ascending cuts are at or below the column, by halving: few looks at a constant array for each row."""
+    known, steps = F.lit(cuts), [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    # beyond the last cut the look-up gives NULL, so the step is not taken
+    return F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(known, at + step - F.lit(1)) <= column, at + step).otherwise(at))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept (text without the repeated words), spans.
 
@@ -168,7 +215,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cuts = base.where("doc is not null").approxQuantile("doc", [i / blocks for i in range(1, blocks)], 0.25 / blocks) if facts["n"] and blocks > 1 else []
     cuts = sorted({int(c) for c in cuts})
     # the number of cuts at or below the id: ranges of ids, in order; rows without an id by a hash, after them
-    number = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("doc"))) if cuts else F.lit(0)
+    number = _at_or_below(cuts, F.col("doc")) if cuts else F.lit(0)
     first_late = len(cuts) + 1
     late = first_late + F.pmod(F.xxhash64("text"), F.lit(blocks))
     dealt = base.withColumn("block", F.when(F.col("doc").isNull(), late).otherwise(number).cast("long")).repartition("block")
@@ -176,43 +223,30 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def ask_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
         with np.errstate(over="ignore"):
-            return _asking(int(pdf["block"].iloc[0]), *Block(pdf).anchor_list(), shift)
+            b = Block(pdf)
+            return _asking(int(pdf["block"].iloc[0]), b.anchors, b.several, shift)
 
     anchors = dealt.groupBy("block").applyInPandas(ask_anchors, shape).groupBy("bucket").applyInPandas(_others_hold, reply)
 
     def ask_windows(pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         with np.errstate(over="ignore"):
             b = Block(pdf)
-            values, _ = b.anchor_list()
-            keep = b.seeded(values, _answers(replies, values, shift))
-            found = np.unique(b.windows[keep])
-            return _asking(int(pdf["block"].iloc[0]), found, np.ones(len(found), dtype=bool), shift)
+            _, windows = b.seeded(_answers(replies, b.anchors, shift))
+            order, begin, _ = _alike(windows)
+            return _asking(int(pdf["block"].iloc[0]), windows[order[begin]], np.ones(len(begin), dtype=bool), shift)
 
     asked = dealt.groupBy("block").cogroup(anchors.groupBy("block")).applyInPandas(ask_windows, shape)
     windows = asked.groupBy("bucket").applyInPandas(lambda pdf: _earlier_hold(pdf, first_late), reply)
 
-    def finish(pdf: pd.DataFrame, seeds: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        with np.errstate(over="ignore"):
-            b = Block(pdf)
-            values, _ = b.anchor_list()
-            keep = b.seeded(values, _answers(seeds, values, shift))
-            found = np.unique(b.windows[keep])
-            gone = b.covered(b.repeated(keep, found, _answers(replies, found, shift)))
-        rows = []
-        for i, text in enumerate(b.rows["text"]):
-            words = raw_text(text).split()
-            cut = gone[b.at[i]:b.at[i + 1]]
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], cut.astype(np.int8), [0]])))
-            spans = [{"start": int(s), "words": int(e - s)} for s, e in zip(edge[0::2], edge[1::2], strict=True)]
-            left = words if not spans else [words[j] for j in np.flatnonzero(~cut)]
-            rows.append((b.rows["doc"].iloc[i], len(words), int(cut.sum()), b" ".join(left).decode("utf-8"), spans))
-        return pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept", "spans"]).astype({"doc_id": "Int64"})
-
     both = (anchors.select("block", "bucket", "flags", F.lit(0).alias("step"))
             .unionByName(windows.select("block", "bucket", "flags", F.lit(1).alias("step"))))
 
     def last(pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        return finish(pdf, replies[replies["step"] == 0], replies[replies["step"] == 1])
+        seeds, held = replies[replies["step"] == 0], replies[replies["step"] == 1]
+        with np.errstate(over="ignore"):
+            b = Block(pdf)
+            at, windows = b.seeded(_answers(seeds, b.anchors, shift))
+            return b.remainders(b.covered(b.repeated(at, windows, lambda found: _answers(held, found, shift))))
 
     return dealt.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(
         last, "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:long,words:long>>")
